@@ -363,6 +363,8 @@ def statements() -> dict[str, str]:
     # Views and tiles
     for name, body in VIEWS.items():
         out[name] = with_base(body)
+    for name, body in VIEWS.items():
+        out[f"rollup_{name}"] = with_base(body)
     for name, (view, select) in TILES.items():
         out[name] = over_view(view, select)
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from farelens.functions.features import add_features
 from farelens.operators.dims import dim_payment_type, dim_vendor
 from farelens.operators.quality import observed_filter
-from farelens.plans.views import register_views
+from farelens.plans.rollup import materialize_rollup, views_from_rollup
 from farelens.schema import FACT_COLUMNS
 from farelens.sources import io
 
@@ -36,6 +36,7 @@ class EtlResult:
     clean_rows: int
     fact_path: str
     views: dict[str, DataFrame] = field(default_factory=dict)
+    rollup: DataFrame | None = None
 
     @property
     def removed_rows(self) -> int:
@@ -63,13 +64,20 @@ def load(fact: DataFrame, cfg: EtlConfig) -> None:
                           dynamic_overwrite=cfg.dynamic_overwrite)
 
 
-def run_etl(spark: SparkSession, cfg: EtlConfig, build_views: bool = True) -> EtlResult:
-    """Extract -> transform -> load; then register views over the written fact."""
-    paths = cfg.raw_paths
-    if cfg.lake_path:
-        extract(spark, paths, cfg.lake_path)
-        paths = [cfg.lake_path]
-    raw = io.read_raw(spark, *paths)
+def run_etl(spark: SparkSession, cfg: EtlConfig, build_views: bool = True,
+            raw: DataFrame | None = None) -> EtlResult:
+    """Extract -> transform -> load; then the 17 views over the written fact.
+
+    ``raw`` replaces the raw file scan (for inputs Spark derives elsewhere).
+    The views come from one rollup pass over the written fact and are also
+    registered as temp views under their names.
+    """
+    if raw is None:
+        paths = cfg.raw_paths
+        if cfg.lake_path:
+            extract(spark, paths, cfg.lake_path)
+            paths = [cfg.lake_path]
+        raw = io.read_raw(spark, *paths)
     fact, raw_obs, clean_obs = transform(raw)
     load(fact, cfg)                                   # the one scan of the raw data
     result = EtlResult(raw_rows=int(raw_obs.get["rows"]), clean_rows=int(clean_obs.get["rows"]),
@@ -81,6 +89,12 @@ def run_etl(spark: SparkSession, cfg: EtlConfig, build_views: bool = True) -> Et
     if cfg.jdbc:
         io.write_fact_jdbc(written, cfg.jdbc)
     if build_views:
-        dims = {"dim_payment_type": dim_payment_type(spark), "dim_vendor": dim_vendor(spark)}
-        result.views = register_views(written, dims)
+        pay, ven = dim_payment_type(spark), dim_vendor(spark)
+        written.createOrReplaceTempView("fact_trips")
+        pay.createOrReplaceTempView("dim_payment_type")
+        ven.createOrReplaceTempView("dim_vendor")
+        result.rollup = materialize_rollup(written)
+        result.views = views_from_rollup(result.rollup, pay, ven)
+        for name, view in result.views.items():
+            view.createOrReplaceTempView(name)
     return result

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from farelens.functions.features import FEATURE_GROUPS, add_features
 from farelens.operators import checks, dims, keys, quality
-from farelens.plans import reports, tiles, views
+from farelens.plans import reports, rollup, tiles, views
 from farelens.plans.fact import build_fact
 from farelens.schema import FACT_COLUMNS
 from farelens.session import pin_session, storage_root
@@ -164,6 +164,15 @@ def _view_query(name: str) -> Query:
     return run
 
 
+def _rollup_view_query(name: str) -> Query:
+    def run(spark, sf_dir):
+        r = rollup.build_rollup(_fact(spark, sf_dir))
+        return rollup.views_from_rollup(r, dims.dim_payment_type(spark), dims.dim_vendor(spark))[name]
+
+    run.__name__ = f"q_rollup_{name}"
+    return run
+
+
 def _tile_query(name: str) -> Query:
     view_name, project = tiles.TILES[name]
     view_q = _view_query(view_name)
@@ -203,6 +212,8 @@ def all_queries() -> dict[str, Query]:
     })
     for name in views.VIEW_NAMES:
         out[name] = _view_query(name)
+    for name in views.VIEW_NAMES:
+        out[f"rollup_{name}"] = _rollup_view_query(name)
     for name in tiles.TILES:
         out[name] = _tile_query(name)
     for name in reports.REPORTS:
