@@ -1,7 +1,11 @@
-"""The 18 derived trip columns, as built-in column expressions.
+"""The 18 derived trip columns, as built-in Spark SQL expressions.
+
+Each feature is a Spark SQL expression over raw (or earlier derived)
+columns; ``add_features`` applies one ``selectExpr`` per dependency level,
+so the whole feature set compiles to one Project inside whole-stage codegen
+and the plan is built with a handful of driver calls.  The ``Column``
+wrappers (``time_of_day()`` ...) serve callers composing their own selects.
 
-Each function returns a ``Column`` over raw (or earlier derived) columns, so
-the whole feature set compiles to one Project inside whole-stage codegen.
 NULL behaviour follows the original ``when``/``otherwise`` chains: a NULL
 input falls through to the ``otherwise`` label.
 """
@@ -12,151 +16,195 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelens import schema as S
-from farelens.functions.numeric import round2
 
 PICKUP_RAW = "lpep_pickup_datetime"
 DROPOFF_RAW = "lpep_dropoff_datetime"
 
 
+class Raw(str):
+    """An SQL fragment to splice in as-is (not quoted as a literal)."""
+
+
+def lit_sql(value) -> str:
+    """A Spark SQL literal for a label or number."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
+def case_sql(branches: list[tuple[str, object]], default: object | None = None) -> str:
+    """Searched CASE; the first true condition wins, NULL conditions fall through."""
+    body = " ".join(f"WHEN {cond} THEN {lit_sql(val) if not isinstance(val, Raw) else val}"
+                    for cond, val in branches)
+    tail = "" if default is None else f" ELSE {lit_sql(default) if not isinstance(default, Raw) else default}"
+    return f"CASE {body}{tail} END"
+
+
+def round2_sql(x: str) -> str:
+    """Row-level 2-dp rounding (Spark ``round``: half-up on the shortest decimal)."""
+    return f"round({x}, 2)"
+
+
 # -- P1, P2: timestamps -------------------------------------------------------
-def pickup_datetime() -> Column:
-    return F.to_timestamp(F.col(PICKUP_RAW))
+def pickup_datetime_sql() -> str:
+    return f"to_timestamp({PICKUP_RAW})"
 
 
-def dropoff_datetime() -> Column:
-    return F.to_timestamp(F.col(DROPOFF_RAW))
+def dropoff_datetime_sql() -> str:
+    return f"to_timestamp({DROPOFF_RAW})"
 
 
 # -- P3..P6: calendar parts, from the raw pickup column -----------------------
-def trip_hour() -> Column:
-    return F.hour(F.col(PICKUP_RAW))
+def trip_hour_sql() -> str:
+    return f"hour({PICKUP_RAW})"
 
 
-def trip_weekday() -> Column:
+def trip_weekday_sql() -> str:
     """1 = Sunday ... 7 = Saturday."""
-    return F.dayofweek(F.col(PICKUP_RAW))
+    return f"dayofweek({PICKUP_RAW})"
 
 
-def trip_month() -> Column:
-    return F.month(F.col(PICKUP_RAW))
+def trip_month_sql() -> str:
+    return f"month({PICKUP_RAW})"
 
 
-def trip_day() -> Column:
-    return F.dayofmonth(F.col(PICKUP_RAW))
+def trip_day_sql() -> str:
+    return f"dayofmonth({PICKUP_RAW})"
 
 
 # -- P7: duration in minutes (epoch seconds of each side, unrounded) ---------
-def trip_duration_min(pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime") -> Column:
-    return (F.col(dropoff).cast("long") - F.col(pickup).cast("long")) / 60
+def trip_duration_min_sql(pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime") -> str:
+    return f"(CAST({dropoff} AS BIGINT) - CAST({pickup} AS BIGINT)) / 60"
 
 
 # -- P8: day part --------------------------------------------------------------
-def time_of_day(hour: str = "trip_hour") -> Column:
-    h = F.col(hour)
-    expr = None
-    for lo, hi, label in S.TIME_OF_DAY_HOURS:
-        cond = (h >= lo) & (h < hi)
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
-    return expr.otherwise(S.TIME_OF_DAY_DEFAULT)
+def time_of_day_sql(hour: str = "trip_hour") -> str:
+    return case_sql([(f"{hour} >= {lo} AND {hour} < {hi}", label) for lo, hi, label in S.TIME_OF_DAY_HOURS],
+                    S.TIME_OF_DAY_DEFAULT)
 
 
 # -- P9, P10: weekend flag and label ------------------------------------------
-def is_weekend(weekday: str = "trip_weekday") -> Column:
-    return F.when(F.col(weekday).isin(*S.WEEKEND_DAYS), True).otherwise(False)
+def _weekend_test(weekday: str) -> str:
+    return f"{weekday} IN ({', '.join(str(d) for d in S.WEEKEND_DAYS)})"
 
 
-def day_type(weekday: str = "trip_weekday") -> Column:
-    return (F.when(F.col(weekday).isin(*S.WEEKEND_DAYS), S.DAY_TYPE_WEEKEND)
-            .otherwise(S.DAY_TYPE_WEEKDAY))
+def is_weekend_sql(weekday: str = "trip_weekday") -> str:
+    return case_sql([(_weekend_test(weekday), Raw("true"))], Raw("false"))
 
 
-# -- P11..P13: speed and fare efficiency, NULL when undefined -----------------
-def avg_speed_mph(distance: str = "trip_distance", minutes: str = "trip_duration_min") -> Column:
-    d, m = F.col(distance), F.col(minutes)
-    return F.when((m > 0) & (d > 0), round2(d / (m / 60)))
+def day_type_sql(weekday: str = "trip_weekday") -> str:
+    return case_sql([(_weekend_test(weekday), S.DAY_TYPE_WEEKEND)], S.DAY_TYPE_WEEKDAY)
 
 
-def fare_per_mile(total: str = "total_amount", distance: str = "trip_distance") -> Column:
-    d = F.col(distance)
-    return F.when(d > 0, round2(F.col(total) / d))
+# -- P11..P13: speed and fare efficiency, NULL when undefined -----------------
+def avg_speed_mph_sql(distance: str = "trip_distance", minutes: str = "trip_duration_min") -> str:
+    return case_sql([(f"{minutes} > 0 AND {distance} > 0", Raw(round2_sql(f"{distance} / ({minutes} / 60)")))])
 
 
-def fare_per_minute(total: str = "total_amount", minutes: str = "trip_duration_min") -> Column:
-    m = F.col(minutes)
-    return F.when(m > 0, round2(F.col(total) / m))
+def fare_per_mile_sql(total: str = "total_amount", distance: str = "trip_distance") -> str:
+    return case_sql([(f"{distance} > 0", Raw(round2_sql(f"{total} / {distance}")))])
 
 
-# -- P14, P15: banded categories (first matching upper bound wins) ----------
-def _banded(value: Column, bands: list[tuple[float, str]], default: str) -> Column:
-    expr = None
-    for upper, label in bands:
-        cond = value <= upper
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
-    return expr.otherwise(default)
+def fare_per_minute_sql(total: str = "total_amount", minutes: str = "trip_duration_min") -> str:
+    return case_sql([(f"{minutes} > 0", Raw(round2_sql(f"{total} / {minutes}")))])
 
 
-def distance_category(distance: str = "trip_distance") -> Column:
-    return _banded(F.col(distance), S.DISTANCE_CATEGORIES, S.DISTANCE_CATEGORY_DEFAULT)
+# -- P14, P15: banded categories (first matching upper bound wins) ----------
+def distance_category_sql(distance: str = "trip_distance") -> str:
+    return case_sql([(f"{distance} <= {upper}", label) for upper, label in S.DISTANCE_CATEGORIES],
+                    S.DISTANCE_CATEGORY_DEFAULT)
 
 
-def fare_category(total: str = "total_amount") -> Column:
-    return _banded(F.col(total), S.FARE_CATEGORIES, S.FARE_CATEGORY_DEFAULT)
+def fare_category_sql(total: str = "total_amount") -> str:
+    return case_sql([(f"{total} <= {upper}", label) for upper, label in S.FARE_CATEGORIES],
+                    S.FARE_CATEGORY_DEFAULT)
 
 
 # -- P16: tip as a percentage of the fare without the tip --------------------
-def tip_percentage(tip: str = "tip_amount", total: str = "total_amount") -> Column:
+def tip_percentage_sql(tip: str = "tip_amount", total: str = "total_amount") -> str:
     """tip / (total - tip) * 100, 2 dp; 0 unless total > 0 and tip > 0.
 
     The denominator is zero when the tip equals the total; that gives NULL
     (``try_divide``) instead of an ANSI division error.
     """
-    t, tot = F.col(tip), F.col(total)
-    return (F.when((tot > 0) & (t > 0), round2(F.try_divide(t, tot - t) * 100))
-            .otherwise(F.lit(0).cast("double")))
+    pct = round2_sql(f"try_divide({tip}, {total} - {tip}) * 100")
+    return case_sql([(f"{total} > 0 AND {tip} > 0", Raw(pct))], Raw("CAST(0 AS DOUBLE)"))
 
 
 # -- P17, P18: code -> name ---------------------------------------------------
-def _code_names(code: Column, pairs: list[tuple[int, str]], default: str) -> Column:
-    expr = None
-    for k, label in pairs:
-        expr = F.when(code == k, label) if expr is None else expr.when(code == k, label)
-    return expr.otherwise(default)
-
-
-def payment_type_name(code: str = "payment_type") -> Column:
-    return _code_names(F.col(code), S.PAYMENT_TYPE_NAMES, S.PAYMENT_TYPE_DEFAULT)
-
-
-def vendor_name(code: str = "VendorID") -> Column:
-    return _code_names(F.col(code), S.VENDOR_NAMES, S.VENDOR_DEFAULT)
+def payment_type_name_sql(code: str = "payment_type") -> str:
+    return case_sql([(f"{code} = {k}", label) for k, label in S.PAYMENT_TYPE_NAMES], S.PAYMENT_TYPE_DEFAULT)
+
+
+def vendor_name_sql(code: str = "VendorID") -> str:
+    return case_sql([(f"{code} = {k}", label) for k, label in S.VENDOR_NAMES], S.VENDOR_DEFAULT)
+
+
+# Dependency levels: each level only reads raw columns or earlier levels.
+LEVELS: list[dict[str, callable]] = [
+    {
+        "pickup_datetime": pickup_datetime_sql,
+        "dropoff_datetime": dropoff_datetime_sql,
+        "trip_hour": trip_hour_sql,
+        "trip_weekday": trip_weekday_sql,
+        "trip_month": trip_month_sql,
+        "trip_day": trip_day_sql,
+    },
+    {
+        "trip_duration_min": trip_duration_min_sql,
+        "time_of_day": time_of_day_sql,
+        "is_weekend": is_weekend_sql,
+        "day_type": day_type_sql,
+        "fare_per_mile": fare_per_mile_sql,
+        "distance_category": distance_category_sql,
+        "fare_category": fare_category_sql,
+        "tip_percentage": tip_percentage_sql,
+        "payment_type_name": payment_type_name_sql,
+        "vendor_name": vendor_name_sql,
+    },
+    {
+        "avg_speed_mph": avg_speed_mph_sql,
+        "fare_per_minute": fare_per_minute_sql,
+    },
+]
+
+FEATURE_SQL = {name: fn for level in LEVELS for name, fn in level.items()}
+DERIVED_COLUMNS = list(FEATURE_SQL)
 
 
 def add_features(raw: DataFrame) -> DataFrame:
     """Raw columns plus all 18 derived columns, one select per dependency level."""
-    level1 = raw.withColumns({
-        "pickup_datetime": pickup_datetime(),
-        "dropoff_datetime": dropoff_datetime(),
-        "trip_hour": trip_hour(),
-        "trip_weekday": trip_weekday(),
-        "trip_month": trip_month(),
-        "trip_day": trip_day(),
-    })
-    level2 = level1.withColumns({
-        "trip_duration_min": trip_duration_min(),
-        "time_of_day": time_of_day(),
-        "is_weekend": is_weekend(),
-        "day_type": day_type(),
-        "fare_per_mile": fare_per_mile(),
-        "distance_category": distance_category(),
-        "fare_category": fare_category(),
-        "tip_percentage": tip_percentage(),
-        "payment_type_name": payment_type_name(),
-        "vendor_name": vendor_name(),
-    })
-    return level2.withColumns({
-        "avg_speed_mph": avg_speed_mph(),
-        "fare_per_minute": fare_per_minute(),
-    })
+    df = raw
+    for level in LEVELS:
+        kept = [c for c in df.columns if c not in level]
+        df = df.selectExpr(*[f"`{c}`" for c in kept], *[f"{fn()} AS {name}" for name, fn in level.items()])
+    return df
+
+
+def feature(name: str, **kwargs) -> Column:
+    """One derived column as a ``Column`` (arguments rename its inputs)."""
+    return F.expr(FEATURE_SQL[name](**kwargs))
+
+
+# Column forms, for callers composing their own selects.
+def pickup_datetime() -> Column: return feature("pickup_datetime")
+def dropoff_datetime() -> Column: return feature("dropoff_datetime")
+def trip_hour() -> Column: return feature("trip_hour")
+def trip_weekday() -> Column: return feature("trip_weekday")
+def trip_month() -> Column: return feature("trip_month")
+def trip_day() -> Column: return feature("trip_day")
+def trip_duration_min(**kw) -> Column: return feature("trip_duration_min", **kw)
+def time_of_day(**kw) -> Column: return feature("time_of_day", **kw)
+def is_weekend(**kw) -> Column: return feature("is_weekend", **kw)
+def day_type(**kw) -> Column: return feature("day_type", **kw)
+def avg_speed_mph(**kw) -> Column: return feature("avg_speed_mph", **kw)
+def fare_per_mile(**kw) -> Column: return feature("fare_per_mile", **kw)
+def fare_per_minute(**kw) -> Column: return feature("fare_per_minute", **kw)
+def distance_category(**kw) -> Column: return feature("distance_category", **kw)
+def fare_category(**kw) -> Column: return feature("fare_category", **kw)
+def tip_percentage(**kw) -> Column: return feature("tip_percentage", **kw)
+def payment_type_name(code: str = "payment_type") -> Column: return feature("payment_type_name", code=code)
+def vendor_name(code: str = "VendorID") -> Column: return feature("vendor_name", code=code)
 
 
 # Feature groups, one per derived-column family; used by the per-feature

@@ -22,20 +22,22 @@ RULE_NAMES = [
 ]
 
 
+# Rule name -> Spark SQL predicate that must hold for a clean row.
+RULE_SQL = {
+    "total_amount_positive": "total_amount > 0",
+    "distance_non_negative": "trip_distance >= 0",
+    "distance_below_max": f"trip_distance < {S.MAX_DISTANCE_MILES}",
+    "duration_positive": "trip_duration_min > 0",
+    "duration_below_max": f"trip_duration_min < {S.MAX_DURATION_MIN}",
+    # "speed IS NULL OR speed < max", written so the derived speed is
+    # evaluated once when Catalyst inlines it into the scan's filter.
+    "speed_plausible": f"coalesce(avg_speed_mph < {S.MAX_SPEED_MPH}, true)",
+}
+
+
 def rules() -> list[tuple[str, Column]]:
     """Rule name -> predicate that must hold for a clean row, in order."""
-    speed = F.col("avg_speed_mph")
-    preds = [
-        F.col("total_amount") > 0,
-        F.col("trip_distance") >= 0,
-        F.col("trip_distance") < S.MAX_DISTANCE_MILES,
-        F.col("trip_duration_min") > 0,
-        F.col("trip_duration_min") < S.MAX_DURATION_MIN,
-        # "speed IS NULL OR speed < max", written so the derived speed is
-        # evaluated once when Catalyst inlines it into the scan's filter.
-        F.coalesce(speed < S.MAX_SPEED_MPH, F.lit(True)),
-    ]
-    return list(zip(RULE_NAMES, preds))
+    return [(name, F.expr(RULE_SQL[name])) for name in RULE_NAMES]
 
 
 def passes(rule_col: Column) -> Column:
@@ -43,16 +45,17 @@ def passes(rule_col: Column) -> Column:
     return F.coalesce(rule_col, F.lit(False))
 
 
+def clean_predicate_sql() -> str:
+    return " AND ".join(f"({RULE_SQL[n]})" for n in RULE_NAMES)
+
+
 def clean_predicate() -> Column:
-    pred = None
-    for _, p in rules():
-        pred = p if pred is None else pred & p
-    return pred
+    return F.expr(clean_predicate_sql())
 
 
 def quality_filter(featured: DataFrame) -> DataFrame:
     """Rows that pass all six rules (F7)."""
-    return featured.filter(clean_predicate())
+    return featured.filter(clean_predicate_sql())
 
 
 def quality_rejects(featured: DataFrame) -> DataFrame:

@@ -24,6 +24,15 @@ DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # Call-site capture for error messages costs several py4j round trips
+    # per Column function while a plan is being built; off for batch jobs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # The fused scan -> features -> quality gate -> partial aggregate stage
+    # generates a method just over HotSpot's 8000-byte JIT limit; without
+    # this flag that hot loop would run in the bytecode interpreter.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

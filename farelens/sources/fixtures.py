@@ -9,65 +9,41 @@ engine's rounding could differ, so the DuckDB oracle reproduces it exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from farelens.schema import RAW_COLUMNS
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 
-
-def _first(cases: list[tuple[Column, Column]], default: Column | None = None) -> Column:
-    expr = None
-    for cond, val in cases:
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return expr if default is None else expr.otherwise(default)
+# Truncate the wall clock to whole seconds; date_trunc works on the
+# session-zone TIMESTAMP, so cast back to a zone-free timestamp.
+_PICKUP = "CAST(date_trunc('SECOND', ts) AS TIMESTAMP_NTZ)"
+_BUYER = "event_type IN ('purchase', 'click')"
+_HUNDRED = "CAST(100 AS DOUBLE)"
+
+FIXTURE_SQL = [
+    "event_id AS trip_key",
+    "CAST(CASE WHEN user_id % 10 < 3 THEN 1 WHEN user_id % 10 < 9 THEN 2 ELSE 6 END AS INT) AS VendorID",
+    f"{_PICKUP} AS lpep_pickup_datetime",
+    "timestampadd(SECOND, CAST(CASE WHEN event_id % 97 = 0 THEN 15000 WHEN event_id % 101 = 0 THEN -30 "
+    f"ELSE (event_id * 37) % 3600 END AS INT), {_PICKUP}) AS lpep_dropoff_datetime",
+    "CASE WHEN event_id % 503 = 0 THEN CAST(NULL AS DOUBLE) WHEN event_id % 211 = 0 THEN CAST(150 AS DOUBLE) "
+    "WHEN event_id % 223 = 0 THEN CAST(-1 AS DOUBLE) "
+    f"ELSE CAST((event_id * 7919) % 1500 AS DOUBLE) / {_HUNDRED} END AS trip_distance",
+    "CASE WHEN event_id % 149 = 0 THEN -value WHEN event_id % 151 = 0 THEN CAST(0 AS DOUBLE) "
+    "ELSE value END AS total_amount",
+    "CASE WHEN event_id % 509 = 0 THEN CAST(NULL AS DOUBLE) WHEN event_id % 499 = 0 THEN value "
+    f"WHEN {_BUYER} THEN floor(CAST(round(value * 100) AS BIGINT) * (event_id % 25) / {_HUNDRED}) / {_HUNDRED} "
+    "ELSE CAST(0 AS DOUBLE) END AS tip_amount",
+    "CAST(CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 17 = 0 THEN 5 WHEN event_id % 19 = 0 THEN 6 "
+    f"WHEN {_BUYER} THEN 1 WHEN event_type = 'view' THEN 2 WHEN event_type = 'signup' THEN 3 "
+    "WHEN event_type = 'error' THEN 4 END AS INT) AS payment_type",
+]
 
 
 def raw_trips_from_events(events: DataFrame) -> DataFrame:
-    eid = F.col("event_id")
-    value = F.col("value")
-    etype = F.col("event_type")
-    buyer = etype.isin("purchase", "click")
-    # Truncate the wall clock to whole seconds; date_trunc works on the
-    # session-zone TIMESTAMP, so cast back to a zone-free timestamp.
-    pickup = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
-    offset_s = _first([
-        (eid % 97 == 0, F.lit(15000)),
-        (eid % 101 == 0, F.lit(-30)),
-    ], (eid * 37) % 3600).cast("int")
-    hundred = F.lit(100).cast("double")
-    cents = F.round(value * 100).cast("long")
-    return events.select(
-        eid.alias("trip_key"),
-        _first([((F.col("user_id") % 10) < 3, F.lit(1)),
-                ((F.col("user_id") % 10) < 9, F.lit(2))], F.lit(6)).cast("int").alias("VendorID"),
-        pickup.alias("lpep_pickup_datetime"),
-        F.timestamp_add("SECOND", offset_s, pickup).alias("lpep_dropoff_datetime"),
-        _first([
-            (eid % 503 == 0, F.lit(None).cast("double")),
-            (eid % 211 == 0, F.lit(150.0)),
-            (eid % 223 == 0, F.lit(-1.0)),
-        ], ((eid * 7919) % 1500).cast("double") / hundred).alias("trip_distance"),
-        _first([
-            (eid % 149 == 0, -value),
-            (eid % 151 == 0, F.lit(0.0)),
-        ], value).alias("total_amount"),
-        _first([
-            (eid % 509 == 0, F.lit(None).cast("double")),
-            (eid % 499 == 0, value),
-            (buyer, F.floor(cents * (eid % 25) / hundred) / hundred),
-        ], F.lit(0.0)).alias("tip_amount"),
-        _first([
-            (eid % 41 == 0, F.lit(None).cast("int")),
-            (eid % 17 == 0, F.lit(5)),
-            (eid % 19 == 0, F.lit(6)),
-            (buyer, F.lit(1)),
-            (etype == "view", F.lit(2)),
-            (etype == "signup", F.lit(3)),
-            (etype == "error", F.lit(4)),
-        ]).cast("int").alias("payment_type"),
-    )
+    """``trip_key`` plus the raw trip columns, one row per event."""
+    return events.selectExpr(*FIXTURE_SQL)
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
