@@ -25,16 +25,23 @@ def insert_if_absent(existing: DataFrame, offered: DataFrame, key: str,
     offered rows with the same new key collapse to one, the one with the
     smallest ``tie_break`` value (first non-key column by default).  Offered
     rows are reduced to one per key before the anti join, so the join sees at
-    most one row per key on each side.
+    most one row per key on each side; the planner broadcasts whichever side
+    its runtime statistics show to be small.
     """
     cols = existing.columns
     value_cols = [c for c in cols if c != key]
     order_col = tie_break or value_cols[0]
-    # One row per key: min over a struct picks the whole row with the
-    # smallest tie-break value (distributed, partial aggregation per key).
     ordered = [order_col] + [c for c in value_cols if c != order_col]
-    picked = (offered.select(*cols)
-              .filter(F.col(key).isNotNull())
+    # Distinct offered rows first: a hash aggregate with map-side combine, so
+    # each task ships one row per distinct (key, values) however many trips
+    # repeat it.  Only that small set reaches the per-key choice below, whose
+    # min over a struct (the whole row with the smallest tie-break value)
+    # needs a sort-based aggregate.  The hash repartition on the key is the
+    # distribution that aggregate needs anyway; it also keeps the optimizer
+    # from folding the distinct step into the duplicate-insensitive min.
+    distinct_rows = (offered.select(*cols).filter(F.col(key).isNotNull())
+                     .dropDuplicates().repartition(key))
+    picked = (distinct_rows
               .groupBy(key)
               .agg(F.min(F.struct(*ordered)).alias("_row"))
               .select(key, *[F.col(f"_row.{c}").alias(c) for c in value_cols]))

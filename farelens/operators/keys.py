@@ -23,12 +23,15 @@ def assign_dense_id(df: DataFrame, order_cols: list[str], id_col: str = "trip_id
                     num_partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = 1..N following ``order_cols`` (make them unique).
 
-    The offsets table has one row per partition, so its size is bounded by
-    ``num_partitions`` and it is safe to broadcast.
+    Range partitions default to at least as many as the input has splits, so
+    each stays about one input split in size.  The offsets table has one row
+    per partition, so its size is bounded by the partition count and it is
+    safe to broadcast.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              df.rdd.getNumPartitions(), 1)
     ordered = (df.repartitionByRange(n, *order_cols)
                .sortWithinPartitions(*order_cols)
                .withColumn(_PID, F.spark_partition_id())
