@@ -54,6 +54,23 @@ def build_session(master: str | None = None, app_name: str = "farelens",
     return spark
 
 
+def object_store_conf(endpoint: str, access_key: str, secret_key: str,
+                      path_style: bool = True) -> dict[str, str]:
+    """Settings for an S3-compatible object store (``s3a://`` paths).
+
+    Pass to ``build_session(extra_conf=...)``; the path scheme then picks the
+    filesystem.  Credentials come from the caller (environment, secrets
+    store), never from defaults in code.
+    """
+    return {
+        "spark.hadoop.fs.s3a.endpoint": endpoint,
+        "spark.hadoop.fs.s3a.access.key": access_key,
+        "spark.hadoop.fs.s3a.secret.key": secret_key,
+        "spark.hadoop.fs.s3a.path.style.access": "true" if path_style else "false",
+        "spark.hadoop.fs.s3a.impl": "org.apache.hadoop.fs.s3a.S3AFileSystem",
+    }
+
+
 def pin_session(spark: SparkSession) -> None:
     """Apply the settings the results depend on to a session built elsewhere."""
     if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":

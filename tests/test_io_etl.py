@@ -107,3 +107,30 @@ def test_run_etl_counts_and_views(spark, scratch_root):
     tiles = spark.sql("SELECT payment_type_name, avg_tip_pct, total_tips FROM v_tip_by_payment "
                       "WHERE payment_type_name != 'Unknown'").count()
     assert tiles == 5
+
+
+def test_catalog_helpers(spark, scratch_root):
+    from farelens.sources import catalog
+
+    db = f"trips_{uuid.uuid4().hex[:8]}"
+    catalog.ensure_database(spark, db, location=f"{scratch_root}/t/{db}")
+    catalog.ensure_database(spark, db)                      # idempotent
+    current = spark.catalog.currentDatabase()
+    catalog.use_database(spark, db)
+    try:
+        df = build_fact(raw_trips(spark, SF001))
+        assert catalog.create_table_if_absent(df, "fact_trips") is True
+        assert catalog.create_table_if_absent(df, "fact_trips") is False
+        assert spark.table(f"{db}.fact_trips").count() == df.count()
+        catalog.drop_table(spark, "fact_trips")
+        assert not spark.catalog.tableExists(f"{db}.fact_trips")
+    finally:
+        catalog.use_database(spark, current)
+
+
+def test_object_store_conf():
+    from farelens.session import object_store_conf
+
+    conf = object_store_conf("http://store:9000", "ak", "sk")
+    assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
