@@ -23,7 +23,11 @@ def use_database(spark: SparkSession, name: str) -> None:
 
 
 def create_table_if_absent(df: DataFrame, table: str, path: str | None = None) -> bool:
-    """Create ``table`` from ``df`` unless it exists; True when created."""
+    """Create ``table`` from ``df`` unless it exists; True when created.
+
+    Qualify the name (``db.table``): an unqualified name also matches a temp
+    view of the same name.
+    """
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         return False

@@ -44,18 +44,31 @@ def land_raw(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
     writer.parquet(path)
 
 
+def cluster_by_time(df: DataFrame) -> DataFrame:
+    """Range-partition trips by (pickup date, pickup time, row hash).
+
+    For inputs that are not time-ordered: each task then holds a contiguous
+    time range, so it writes few date partitions.  A hot date is split by
+    time, and a hot second by the deterministic row hash, so no key can pull
+    a third of the rows into one task (only identical rows share a hash).
+    """
+    with_date = df if PARTITION_COL in df.columns else df.withColumn(
+        PARTITION_COL, F.to_date(F.col("pickup_datetime")))
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    return with_date.repartitionByRange(F.col(PARTITION_COL), F.col("pickup_datetime"), row_hash)
+
+
 def _with_layout(fact: DataFrame, cluster: bool) -> DataFrame:
     """Add the date partition column and order rows inside each task.
 
     Raw monthly files arrive roughly in time order, so each task already
     covers few dates; a local sort keeps files per task small without a
-    shuffle.  ``cluster=True`` adds a range exchange on (date, time) for
-    inputs that are not time-ordered: a hot date is then split across tasks
-    by time instead of landing in one task.
+    shuffle.  ``cluster=True`` adds the range exchange of ``cluster_by_time``.
     """
-    out = fact.withColumn(PARTITION_COL, F.to_date(F.col("pickup_datetime")))
+    out = fact if PARTITION_COL in fact.columns else fact.withColumn(
+        PARTITION_COL, F.to_date(F.col("pickup_datetime")))
     if cluster:
-        out = out.repartitionByRange(PARTITION_COL, "pickup_datetime")
+        out = cluster_by_time(out)
     return out.sortWithinPartitions(PARTITION_COL, "pickup_datetime")
 
 
@@ -67,7 +80,8 @@ def write_fact_parquet(fact: DataFrame, path: str, cluster: bool = False,
     Default is a full reload (static overwrite).  ``dynamic_overwrite``
     replaces only the dates present in ``fact``, for month-by-month loads.
     """
-    writer = (_with_layout(fact, cluster).write.mode("overwrite")
+    cols = [c for c in fact.columns if c != PARTITION_COL]
+    writer = (_with_layout(fact, cluster).select(*cols, PARTITION_COL).write.mode("overwrite")
               .partitionBy(PARTITION_COL)
               .option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static"))
     if max_records_per_file:

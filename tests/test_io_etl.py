@@ -119,10 +119,11 @@ def test_catalog_helpers(spark, scratch_root):
     catalog.use_database(spark, db)
     try:
         df = build_fact(raw_trips(spark, SF001))
-        assert catalog.create_table_if_absent(df, "fact_trips") is True
-        assert catalog.create_table_if_absent(df, "fact_trips") is False
+        # Qualified: an unqualified name would also match temp views.
+        assert catalog.create_table_if_absent(df, f"{db}.fact_trips") is True
+        assert catalog.create_table_if_absent(df, f"{db}.fact_trips") is False
         assert spark.table(f"{db}.fact_trips").count() == df.count()
-        catalog.drop_table(spark, "fact_trips")
+        catalog.drop_table(spark, f"{db}.fact_trips")
         assert not spark.catalog.tableExists(f"{db}.fact_trips")
     finally:
         catalog.use_database(spark, current)
@@ -134,3 +135,13 @@ def test_object_store_conf():
     conf = object_store_conf("http://store:9000", "ak", "sk")
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+
+
+def test_run_etl_clustered_counts(spark, scratch_root):
+    base = f"{scratch_root}/t/{uuid.uuid4().hex}"
+    cfg = EtlConfig(raw_paths=[], fact_path=f"{base}/fact", cluster_fact=True)
+    res = run_etl(spark, cfg, build_views=False, raw=raw_trips(spark, SF01).drop("trip_key"))
+    assert (res.raw_rows, res.clean_rows) == (10_000, 8_822)
+    back = io.read_fact_parquet(spark, cfg.fact_path)
+    assert back.columns == FACT_COLUMNS
+    assert _rows(back) == _rows(build_fact(raw_trips(spark, SF01)))
