@@ -11,14 +11,19 @@ An untimed warm-up runs the same paths on sf0.001 first.  Timed work
 - dashboard_rollup: the 17 views from one rollup pass over the written fact
 - views_direct: the 17 views one by one over the written fact (17 scans)
 - end-to-end registry queries from the events table
+
+Per query, ``stage_metrics`` reports input bytes, shuffle bytes written,
+spill and task count, read from Spark's event log in a scratch folder.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import sys
+import tempfile
 import time
 import uuid
 
@@ -31,6 +36,40 @@ def _sf_of(path: str) -> float | str:
     return float(m.group(1)) if m else path
 
 
+def stage_metrics(eventlog_dir: str) -> dict[str, dict[str, int]]:
+    """Per job description: input bytes, shuffle bytes written, spill, tasks.
+
+    Read from Spark's event log (written to a scratch folder), the same
+    numbers the UI would show, without starting it.
+    """
+    stage_owner: dict[int, str] = {}
+    totals: dict[str, dict[str, int]] = {}
+    for path in glob.glob(os.path.join(eventlog_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path):
+            continue
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    desc = (ev.get("Properties") or {}).get("spark.job.description")
+                    if desc:
+                        for sid in ev.get("Stage IDs", []):
+                            stage_owner[sid] = desc
+                elif kind == "SparkListenerTaskEnd":
+                    owner = stage_owner.get(ev.get("Stage ID"))
+                    m = ev.get("Task Metrics") or {}
+                    if owner is None or not m:
+                        continue
+                    t = totals.setdefault(owner, {"input_bytes": 0, "shuffle_write_bytes": 0,
+                                                  "spill_bytes": 0, "tasks": 0})
+                    t["input_bytes"] += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
+                    t["shuffle_write_bytes"] += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    t["spill_bytes"] += m.get("Disk Bytes Spilled", 0)
+                    t["tasks"] += 1
+    return totals
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -44,16 +83,28 @@ def main() -> None:
     from farelens.sources import io
     from farelens.sources.fixtures import raw_trips
 
+    # Local benchmark only: the event log goes to a fresh scratch folder.
+    # BENCH_EVENTLOG=0 turns the metrics (and their small overhead) off.
+    use_eventlog = os.environ.get("BENCH_EVENTLOG", "1") != "0"
+    conf = {"spark.driver.memory": "16g"}
+    eventlog_dir = None
+    if use_eventlog:
+        eventlog_dir = os.environ.get("BENCH_EVENTLOG_DIR") or tempfile.mkdtemp(prefix="farelens-bench-events-")
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": eventlog_dir,
+                     "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"})
     spark = build_session(f"local[{cpus}]", app_name="farelens-bench", shuffle_partitions=cpus,
-                          extra_conf={"spark.driver.memory": "16g"})
+                          extra_conf=conf)
     spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
     run_dir = f"{storage_root(spark)}/bench/{uuid.uuid4().hex}"
     timings: dict[str, float] = {}
 
     def timed(name, fn):
+        sc.setJobDescription(name)
         t0 = time.perf_counter()
         out = fn()
         timings[name] = round(time.perf_counter() - t0, 3)
+        sc.setJobDescription(None)
         return out
 
     # JVM warm-up, not timed: run the same code paths once on the smallest
@@ -94,6 +145,8 @@ def main() -> None:
     for key in aggregates:
         timed(key, lambda k=key: qs[k](spark, sf_dir).collect())
 
+    spark.stop()
+    metrics = stage_metrics(eventlog_dir) if eventlog_dir else {}
     print(json.dumps({
         "metric": "total_query_sec",
         "value": round(sum(timings.values()), 3),
@@ -103,8 +156,8 @@ def main() -> None:
         "raw_rows": result.raw_rows,
         "clean_rows": result.clean_rows,
         "cpus": cpus,
+        "stage_metrics": {k: metrics.get(k, {}) for k in timings},
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":
