@@ -28,6 +28,16 @@ def agg2(col: Column) -> Column:
     return F.round(col.cast(AGG_DECIMAL), 2).cast("double")
 
 
+def avg2(column: str) -> Column:
+    """AVG of a column (NULLs ignored), rounded like an aggregate."""
+    return agg2(F.avg(F.col(column)))
+
+
+def sum2(column: str) -> Column:
+    """SUM of a column, rounded like an aggregate."""
+    return agg2(F.sum(F.col(column)))
+
+
 def ratio(num: Column, den: Column) -> Column:
     """num / den as double; NULL (not an error) when den is 0 under ANSI."""
     return F.try_divide(num.cast("double"), den.cast("double"))

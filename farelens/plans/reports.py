@@ -7,17 +7,11 @@ from pyspark.sql import functions as F
 
 from farelens import schema as S
 from farelens.functions.numeric import agg2, ratio
+from farelens.functions.numeric import avg2 as _avg
+from farelens.functions.numeric import sum2 as _sum
 from farelens.plans.views import rank_of, v_avg_speed_by_hour, v_fare_efficiency, with_share
 
 
-def _avg(c: str) -> Column:
-    return agg2(F.avg(F.col(c)))
-
-
-def _sum(c: str) -> Column:
-    return agg2(F.sum(F.col(c)))
-
-
 def r_time_of_day_share(fact: DataFrame) -> DataFrame:
     """R1: share of trips and average fare per day part."""
     agg = fact.groupBy("time_of_day").agg(F.count(F.lit(1)).alias("trip_count"),

@@ -18,15 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens import schema as S
-from farelens.functions.numeric import agg2, share_pct
-
-
-def _avg(c: str) -> Column:
-    return agg2(F.avg(F.col(c)))
-
-
-def _sum(c: str) -> Column:
-    return agg2(F.sum(F.col(c)))
+from farelens.functions.numeric import agg2, avg2 as _avg, share_pct, sum2 as _sum
 
 
 def _count() -> Column:
@@ -258,7 +250,7 @@ def v_vendor_performance_by_id(fact: DataFrame, dim_vendor: DataFrame) -> DataFr
             .orderBy(F.col("total_trips").desc_nulls_last()))
 
 
-# Registry: name -> (function, needs) where needs names the dimensions used.
+# Views over the fact alone: name -> function.
 FACT_VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "v_trips_by_time_of_day": v_trips_by_time_of_day,
     "v_weekend_weekday_comparison": v_weekend_weekday_comparison,
@@ -277,6 +269,7 @@ FACT_VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "v_daily_summary_by_date": v_daily_summary_by_date,
 }
 
+# Views that join a dimension: name -> (function, dimension name).
 DIM_VIEWS = {
     "v_payment_distribution": (v_payment_distribution, "dim_payment_type"),
     "v_vendor_performance_by_id": (v_vendor_performance_by_id, "dim_vendor"),
