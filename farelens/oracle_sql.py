@@ -359,10 +359,12 @@ def statements() -> dict[str, str]:
     out["fact_trips"] = with_base(f"SELECT {FACT_COLUMNS} FROM fact")
     out["fact_reload_rerun"] = out["fact_trips"]
     out["fact_table_roundtrip"] = out["fact_trips"]
+    out["stream_fact_load"] = out["fact_trips"]
 
     # Views and tiles
     for name, body in VIEWS.items():
         out[name] = with_base(body)
+    out["etl_run_kpi"] = out["v_kpi_summary"]
     for name, body in VIEWS.items():
         out[f"rollup_{name}"] = with_base(body)
     for name, (view, select) in TILES.items():

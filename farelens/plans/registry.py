@@ -9,6 +9,7 @@ the shared storage root (``spark.checkpoint.dir`` or
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -83,6 +84,27 @@ def q_fact_table_roundtrip(spark, sf_dir):
     return spark.table(table).select(*FACT_COLUMNS)
 
 
+def q_etl_run_kpi(spark, sf_dir):
+    """The whole job: raw scan -> fact parquet (counts observed) -> rollup -> KPI view."""
+    from farelens.plans.etl import EtlConfig, run_etl
+
+    run_dir = f"{_scratch(spark, sf_dir, 'etl_runs')}/{uuid.uuid4().hex}"
+    raw_path = f"{run_dir}/raw"
+    io.land_raw(_raw(spark, sf_dir).drop("trip_key"), raw_path)
+    result = run_etl(spark, EtlConfig(raw_paths=[raw_path], fact_path=f"{run_dir}/fact"))
+    return result.views["v_kpi_summary"]
+
+
+def q_stream_fact_load(spark, sf_dir):
+    """Incremental load of landed raw files through the exactly-once file sink."""
+    from farelens.streaming.incremental import run_incremental_load
+
+    run_dir = f"{_scratch(spark, sf_dir, 'stream_runs')}/{uuid.uuid4().hex}"
+    io.land_raw(_raw(spark, sf_dir).drop("trip_key"), f"{run_dir}/raw")
+    run_incremental_load(spark, f"{run_dir}/raw", f"{run_dir}/fact", f"{run_dir}/checkpoint")
+    return spark.read.parquet(f"{run_dir}/fact").select(*FACT_COLUMNS)
+
+
 # -- quality gate ------------------------------------------------------------
 def q_dq_rule_counts(spark, sf_dir):
     return quality.rule_failure_counts(_featured(spark, sf_dir))
@@ -209,6 +231,8 @@ def all_queries() -> dict[str, Query]:
         "fact_trips": q_fact_trips,
         "fact_reload_rerun": q_fact_reload_rerun,
         "fact_table_roundtrip": q_fact_table_roundtrip,
+        "etl_run_kpi": q_etl_run_kpi,
+        "stream_fact_load": q_stream_fact_load,
     })
     for name in views.VIEW_NAMES:
         out[name] = _view_query(name)
