@@ -155,6 +155,7 @@ def main() -> None:
         "sf": _sf_of(sf_dir),
         "raw_rows": result.raw_rows,
         "clean_rows": result.clean_rows,
+        "etl_raw_rows_per_sec": round(result.raw_rows / timings["etl_load"], 1) if timings["etl_load"] else None,
         "cpus": cpus,
         "stage_metrics": {k: metrics.get(k, {}) for k in timings},
     }))
