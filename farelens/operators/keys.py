@@ -2,43 +2,49 @@
 
 A global ``row_number()`` with no partition key would pull every row into
 one task.  Instead: range-partition and sort by the order columns (a
-distributed sort), freeze that layout with a reliable checkpoint so both
-passes below see the same rows in the same places, count rows per
-partition (one small row per partition), turn the counts into offsets, and
-add each row's offset to its position inside its partition.
+distributed sort) and record, for every row, its partition and its position
+inside that partition.  That layout is frozen as a parquet table in the
+shared storage folder, which also cuts the lineage: both passes below read
+the same stored rows, and a lost executor cannot reshuffle them.  Then count
+rows per partition (reading only the partition column), turn the counts into
+offsets, and add each row's offset to its position.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelens.session import ensure_checkpoint_dir
+from farelens.session import storage_root
 
 _PID = "_farelens_pid"
 _POS = "_farelens_pos"
 
 
 def assign_dense_id(df: DataFrame, order_cols: list[str], id_col: str = "trip_id",
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, staging_path: str | None = None) -> DataFrame:
     """Add ``id_col`` = 1..N following ``order_cols`` (make them unique).
 
     Range partitions default to at least as many as the input has splits, so
     each stays about one input split in size.  The offsets table has one row
     per partition, so its size is bounded by the partition count and it is
-    safe to broadcast.
+    safe to broadcast.  ``staging_path`` (default: a fresh folder under the
+    shared storage root) holds the frozen layout.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               df.rdd.getNumPartitions(), 1)
+    path = staging_path or f"{storage_root(spark)}/staging/dense_id_{uuid.uuid4().hex}"
     ordered = (df.repartitionByRange(n, *order_cols)
                .sortWithinPartitions(*order_cols)
                .withColumn(_PID, F.spark_partition_id())
                .withColumn(_POS, F.monotonically_increasing_id()))
     # Position inside the partition: the id's low 33 bits.
     ordered = ordered.withColumn(_POS, F.col(_POS) - F.shiftleft(F.col(_PID).cast("long"), 33))
-    frozen = ordered.checkpoint(eager=True)
+    ordered.write.mode("overwrite").parquet(path)
+    frozen = spark.read.parquet(path)
     counts = frozen.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
