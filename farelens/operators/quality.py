@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from farelens import schema as S
+from farelens.functions.numeric import share_pct
 
 RULE_NAMES = [
     "total_amount_positive",
@@ -90,8 +91,7 @@ def split_counts(featured: DataFrame) -> DataFrame:
         "raw_rows",
         "clean_rows",
         (F.col("raw_rows") - F.col("clean_rows")).alias("removed_rows"),
-        F.round(F.try_divide((F.col("raw_rows") - F.col("clean_rows")) * 100, F.col("raw_rows"))
-                .cast("decimal(38,6)"), 2).cast("double").alias("removed_pct"),
+        share_pct(F.col("raw_rows") - F.col("clean_rows"), F.col("raw_rows")).alias("removed_pct"),
     )
 
 

@@ -50,3 +50,13 @@ def test_insert_if_absent(spark):
     # Rerun-safe: offering the same rows again changes nothing.
     again = dims.insert_if_absent(dims.insert_if_absent(existing, offered, "payment_type"), offered, "payment_type")
     assert again.count() == 7
+
+
+def test_dense_ids_are_stable_across_runs(spark):
+    fact = build_fact(raw_trips(spark, SF01), keep=["trip_key"])
+    order = ["pickup_datetime", "dropoff_datetime", "trip_key"]
+    a = keys.assign_dense_id(fact, order, num_partitions=7).select("trip_key", F.col("trip_id").alias("a"))
+    b = keys.assign_dense_id(fact, order, num_partitions=3).select("trip_key", F.col("trip_id").alias("b"))
+    joined = a.join(b, "trip_key")
+    assert joined.count() == 8_822
+    assert joined.filter(F.col("a") != F.col("b")).count() == 0
