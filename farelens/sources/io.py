@@ -45,25 +45,26 @@ def land_raw(df: DataFrame, path: str, partition_by: list[str] | None = None) ->
 
 
 def cluster_by_time(df: DataFrame) -> DataFrame:
-    """Range-partition trips by (pickup date, pickup time, row hash).
-
-    For inputs that are not time-ordered: each task then holds a contiguous
-    time range, so it writes few date partitions.  A hot date is split by
-    time, and a hot second by the deterministic row hash, so no key can pull
-    a third of the rows into one task (only identical rows share a hash).
+    """Rebalance trips by pickup date before a date-partitioned write.
+
+    Without it, every task writes one file per date it happens to hold, so
+    input that is not time-ordered turns into tasks x dates small files.
+    ``REBALANCE`` hashes rows by date and lets AQE size the result: a hot
+    date (a third of all trips, say) is split into several advisory-sized
+    tasks, small dates are coalesced, and no sampling job re-reads the input
+    (as a range exchange would).
     """
     with_date = df if PARTITION_COL in df.columns else df.withColumn(
         PARTITION_COL, F.to_date(F.col("pickup_datetime")))
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    return with_date.repartitionByRange(F.col(PARTITION_COL), F.col("pickup_datetime"), row_hash)
+    return with_date.hint("rebalance", PARTITION_COL)
 
 
 def _with_layout(fact: DataFrame, cluster: bool) -> DataFrame:
     """Add the date partition column and order rows inside each task.
 
-    Raw monthly files arrive roughly in time order, so each task already
-    covers few dates; a local sort keeps files per task small without a
-    shuffle.  ``cluster=True`` adds the range exchange of ``cluster_by_time``.
+    Without ``cluster`` each task writes a file per date it holds, which is
+    fine for time-ordered input; ``cluster=True`` adds the rebalance of
+    ``cluster_by_time`` first.
     """
     out = fact if PARTITION_COL in fact.columns else fact.withColumn(
         PARTITION_COL, F.to_date(F.col("pickup_datetime")))

@@ -2,6 +2,7 @@
 
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001, SF01
@@ -137,11 +138,22 @@ def test_object_store_conf():
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
 
 
-def test_run_etl_clustered_counts(spark, scratch_root):
+@pytest.mark.parametrize("cluster", [True, False])
+def test_run_etl_counts_with_and_without_rebalance(spark, scratch_root, cluster):
     base = f"{scratch_root}/t/{uuid.uuid4().hex}"
-    cfg = EtlConfig(raw_paths=[], fact_path=f"{base}/fact", cluster_fact=True)
+    cfg = EtlConfig(raw_paths=[], fact_path=f"{base}/fact", cluster_fact=cluster)
     res = run_etl(spark, cfg, build_views=False, raw=raw_trips(spark, SF01).drop("trip_key"))
     assert (res.raw_rows, res.clean_rows) == (10_000, 8_822)
     back = io.read_fact_parquet(spark, cfg.fact_path)
     assert back.columns == FACT_COLUMNS
     assert _rows(back) == _rows(build_fact(raw_trips(spark, SF01)))
+
+
+def test_rebalance_is_hashed_by_date_without_sampling(spark):
+    from farelens.plans.etl import transform
+
+    fact, _, _ = transform(raw_trips(spark, SF001).drop("trip_key"), cluster=True)
+    jvm = spark._jvm
+    plan = jvm.PythonSQLUtils.explainString(fact._jdf.queryExecution(), "formatted")
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan and "hashpartitioning(pickup_date" in plan
+    assert "rangepartitioning" not in plan
