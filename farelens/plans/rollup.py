@@ -1,17 +1,22 @@
 """All 17 views from one pass over the fact.
 
-Running the views one by one scans the fact 17 times.  Here a single
-aggregate at a fine grain -- pickup date x hour x distance band x fare band
-x payment code x vendor code (plus the labels those determine) -- keeps, per
-cell, row counts, sums and non-NULL counts for every measure, including the
-filtered subsets some views need.  Each view is then a small aggregate over
-that rollup.  Averages are rebuilt as sum / non-NULL count, never as an
-average of averages, so the results equal the direct views (rounding to
+Running the views one by one scans the fact 17 times.  Here one aggregate
+with six grouping sets -- the only groupings the views need: pickup date
+(with day, weekday, day type), hour (with day part and day type), distance
+band, fare band, payment code and vendor code -- keeps, per group, row
+counts, sums and non-NULL counts for every measure, including the filtered
+subsets some views need.  Each view is then a small aggregate over the rows
+of its grouping set.  Averages are rebuilt as sum / non-NULL count, never as
+an average of averages, so the results equal the direct views (rounding to
 2 dp through a decimal absorbs summation-order noise).
 
-The rollup has at most a few thousand cells per day whatever the trip
-volume, so at scale it is a tiny table; it can be cached, checkpointed or
-written next to the fact and reused by every dashboard refresh.
+Spark evaluates grouping sets by expanding each row once per set before the
+map-side partial aggregation, so every task ships at most (its dates + 66)
+rows whatever the trip volume or how thinly trips spread over the
+categories; a single cross-product grain (date x hour x bands x codes) would
+instead ship up to a few thousand cells per day per task.  The result is
+one row per date plus a few dozen rows; it is checkpointed and reused by
+every view of a dashboard refresh.
 """
 
 from __future__ import annotations
@@ -29,6 +34,31 @@ GRAIN = [
     "VendorID", "vendor_name",
 ]
 
+# Grouping sets: name -> columns (each view reads exactly one set).
+SETS = {
+    "date": ["trip_date", "trip_day", "trip_weekday", "day_type"],
+    "hour": ["trip_hour", "time_of_day", "day_type"],
+    "distance": ["distance_category"],
+    "fare": ["fare_category"],
+    "payment": ["payment_type", "payment_type_name"],
+    "vendor": ["VendorID", "vendor_name"],
+}
+
+
+def _grouping_id(cols: list[str]) -> int:
+    """Spark's grouping_id for a set: one bit per GRAIN column, 1 = not grouped."""
+    n = len(GRAIN)
+    return sum(1 << (n - 1 - i) for i, c in enumerate(GRAIN) if c not in cols)
+
+
+def _set_name() -> Column:
+    gid = F.grouping_id()
+    expr = None
+    for name, cols in SETS.items():
+        cond = gid == _grouping_id(cols)
+        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
+    return expr
+
 
 def _nn(c: str) -> Column:
     return F.count(F.col(c))
@@ -39,15 +69,20 @@ def _sum_if(cond: Column, c: str) -> Column:
 
 
 def build_rollup(fact: DataFrame) -> DataFrame:
-    """One row per grain cell with the partial measures every view needs."""
+    """One row per group of each grouping set, with every partial measure.
+
+    ``grouping_set`` names the set a row belongs to (a NULL key is a real
+    group, e.g. a NULL payment code, so the set is told by grouping_id).
+    """
     speed_ok = F.col("avg_speed_mph").isNotNull()
     eff_ok = F.col("fare_per_mile").isNotNull() & F.col("fare_per_minute").isNotNull()
     d = F.col("trip_duration_min")
     dur_ok = (d > 0) & (d < S.DURATION_VIEW_MAX_MIN)
     return (fact
             .withColumn("trip_date", F.to_date(F.col("pickup_datetime")))
-            .groupBy(*GRAIN)
-            .agg(F.count(F.lit(1)).alias("n"),
+            .groupingSets([SETS[name] for name in SETS], *GRAIN)
+            .agg(_set_name().alias("grouping_set"),
+                 F.count(F.lit(1)).alias("n"),
                  F.sum("total_amount").alias("s_total"), _nn("total_amount").alias("c_total"),
                  F.sum("trip_distance").alias("s_dist"), _nn("trip_distance").alias("c_dist"),
                  F.sum("trip_duration_min").alias("s_dur"), _nn("trip_duration_min").alias("c_dur"),
@@ -81,26 +116,27 @@ def _n(alias: str) -> Column:
 
 
 def views_from_rollup(r: DataFrame, dim_payment: DataFrame, dim_vendor: DataFrame) -> dict[str, DataFrame]:
+    g = {name: r.filter(F.col("grouping_set") == name) for name in SETS}
     out: dict[str, DataFrame] = {}
     out["v_trips_by_time_of_day"] = (
-        r.groupBy("time_of_day")
+        g["hour"].groupBy("time_of_day")
         .agg(_n("trip_count"), _avg("s_total", "c_total").alias("avg_fare"),
              _avg("s_dist", "c_dist").alias("avg_distance"),
              _avg("s_dur", "c_dur").alias("avg_duration_min"), _total("s_total").alias("total_revenue"))
         .orderBy(rank_of("time_of_day", S.TIME_OF_DAY_LABELS).asc_nulls_last()))
     out["v_weekend_weekday_comparison"] = (
-        r.groupBy("day_type")
+        g["date"].groupBy("day_type")
         .agg(_n("trip_count"), _avg("s_total", "c_total").alias("avg_fare"),
              _avg("s_dist", "c_dist").alias("avg_distance"),
              _avg("s_tip_pct", "c_tip_pct").alias("avg_tip_pct"), _total("s_total").alias("total_revenue")))
-    dist = (r.groupBy("distance_category")
+    dist = (g["distance"].groupBy("distance_category")
             .agg(_n("trip_count"), _avg("s_total", "c_total").alias("avg_fare"),
                  _avg("s_dur", "c_dur").alias("avg_duration")))
     out["v_distance_category_dist"] = (
         with_share(dist, "trip_count")
         .select("distance_category", "trip_count", "percentage", "avg_fare", "avg_duration")
         .orderBy(rank_of("distance_category", S.DISTANCE_ORDER).asc_nulls_last()))
-    fare = (r.groupBy("fare_category")
+    fare = (g["fare"].groupBy("fare_category")
             .agg(_n("trip_count"), _avg("s_dist", "c_dist").alias("avg_distance"),
                  _avg("s_tip_pct", "c_tip_pct").alias("avg_tip_pct")))
     out["v_fare_category_breakdown"] = (
@@ -108,42 +144,42 @@ def views_from_rollup(r: DataFrame, dim_payment: DataFrame, dim_vendor: DataFram
         .select("fare_category", "trip_count", "percentage", "avg_distance", "avg_tip_pct")
         .orderBy(rank_of("fare_category", S.FARE_ORDER).asc_nulls_last()))
     out["v_avg_speed_by_hour"] = (
-        r.filter(F.col("c_speed") > 0)
+        g["hour"].filter(F.col("c_speed") > 0)
         .groupBy("trip_hour")
         .agg(F.sum("c_speed").cast("long").alias("trip_count"),
              _avg("s_speed", "c_speed").alias("avg_speed_mph"),
              _avg("s_dur_speed", "c_dur_speed").alias("avg_duration_min"))
         .orderBy(F.col("trip_hour").asc_nulls_last()))
     out["v_tip_by_payment"] = (
-        r.groupBy("payment_type_name")
+        g["payment"].groupBy("payment_type_name")
         .agg(_n("trip_count"), _avg("s_tip_pct", "c_tip_pct").alias("avg_tip_pct"),
              _avg("s_tip", "c_tip").alias("avg_tip_amount"), _total("s_tip").alias("total_tips"))
         .orderBy(F.col("avg_tip_pct").desc_nulls_last()))
     out["v_vendor_performance"] = (
-        r.groupBy("vendor_name")
+        g["vendor"].groupBy("vendor_name")
         .agg(_n("total_trips"), _avg("s_total", "c_total").alias("avg_fare"),
              _avg("s_dist", "c_dist").alias("avg_distance"),
              _avg("s_speed", "c_speed").alias("avg_speed_mph"),
              _avg("s_tip_pct", "c_tip_pct").alias("avg_tip_pct"), _total("s_total").alias("total_revenue")))
     out["v_fare_efficiency"] = (
-        r.filter(F.col("n_eff") > 0)
+        g["hour"].filter(F.col("n_eff") > 0)
         .groupBy("time_of_day", "day_type")
         .agg(_avg("s_fpm_eff", "n_eff").alias("avg_fare_per_mile"),
              _avg("s_fpmin_eff", "n_eff").alias("avg_fare_per_minute"),
              F.sum("n_eff").cast("long").alias("trip_count"))
         .orderBy(F.col("time_of_day").asc_nulls_last(), F.col("day_type").asc_nulls_last()))
     out["v_hourly_revenue"] = (
-        r.groupBy("trip_hour")
+        g["hour"].groupBy("trip_hour")
         .agg(_n("trip_count"), _total("s_total").alias("total_revenue"),
              _avg("s_total", "c_total").alias("avg_fare"), _total("s_tip").alias("total_tips"))
         .orderBy(F.col("trip_hour").asc_nulls_last()))
     out["v_daily_summary"] = (
-        r.groupBy("trip_day")
+        g["date"].groupBy("trip_day")
         .agg(_n("total_trips"), _total("s_total").alias("total_revenue"),
              _avg("s_total", "c_total").alias("avg_fare"), _avg("s_dist", "c_dist").alias("avg_distance"),
              _avg("s_dur", "c_dur").alias("avg_duration_min"))
         .orderBy(F.col("trip_day").asc_nulls_last()))
-    out["v_kpi_summary"] = r.agg(
+    out["v_kpi_summary"] = g["date"].agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_trips"),
         _total("s_total").alias("total_revenue"),
         _avg("s_total", "c_total").alias("avg_fare"),
@@ -153,18 +189,18 @@ def views_from_rollup(r: DataFrame, dim_payment: DataFrame, dim_vendor: DataFram
         _avg("s_tip_pct", "c_tip_pct").alias("avg_tip_percentage"),
         _total("s_tip").alias("total_tips"))
     out["v_trips_by_hour"] = (
-        r.groupBy("trip_hour")
+        g["hour"].groupBy("trip_hour")
         .agg(_n("total_trips"), _avg("s_dist", "c_dist").alias("avg_distance"),
              _avg("s_total", "c_total").alias("avg_fare"))
         .orderBy(F.col("trip_hour").asc_nulls_last()))
     out["v_trips_by_weekday"] = (
-        r.groupBy("trip_weekday")
+        g["date"].groupBy("trip_weekday")
         .agg(_n("total_trips"), _avg("s_dist", "c_dist").alias("avg_distance"),
              _avg("s_total", "c_total").alias("avg_fare"))
         .select("trip_weekday", day_name().alias("day_name"), "total_trips", "avg_distance", "avg_fare")
         .orderBy(F.col("trip_weekday").asc_nulls_last()))
     out["v_avg_duration_by_hour"] = (
-        r.filter(F.col("n_dur_ok") > 0)
+        g["hour"].filter(F.col("n_dur_ok") > 0)
         .groupBy("trip_hour")
         .agg(F.sum("n_dur_ok").cast("long").alias("total_trips"),
              _avg("s_dur_ok", "n_dur_ok").alias("avg_duration_min"),
@@ -172,11 +208,11 @@ def views_from_rollup(r: DataFrame, dim_payment: DataFrame, dim_vendor: DataFram
              agg2(F.max("max_dur_ok")).alias("max_duration_min"))
         .orderBy(F.col("trip_hour").asc_nulls_last()))
     out["v_daily_summary_by_date"] = (
-        r.groupBy("trip_date")
+        g["date"].groupBy("trip_date")
         .agg(_n("total_trips"), _total("s_total").alias("total_revenue"),
              _avg("s_dist", "c_dist").alias("avg_distance"), _avg("s_dur", "c_dur").alias("avg_duration_min"))
         .orderBy(F.col("trip_date").asc_nulls_last()))
-    pay = (r.groupBy("payment_type")
+    pay = (g["payment"].groupBy("payment_type")
            .agg(_n("total_trips"), _total("s_total").alias("total_revenue"))
            .join(F.broadcast(dim_payment), on="payment_type", how="left"))
     out["v_payment_distribution"] = (
@@ -185,7 +221,7 @@ def views_from_rollup(r: DataFrame, dim_payment: DataFrame, dim_vendor: DataFram
                 F.coalesce(F.col("payment_desc"), F.lit(S.DIM_MISSING_LABEL)).alias("payment_desc"),
                 "total_trips", "percentage", "total_revenue")
         .orderBy(F.col("total_trips").desc_nulls_last()))
-    ven = (r.groupBy("VendorID")
+    ven = (g["vendor"].groupBy("VendorID")
            .agg(_n("total_trips"), _avg("s_dist", "c_dist").alias("avg_distance"),
                 _avg("s_total", "c_total").alias("avg_fare"), _avg("s_dur", "c_dur").alias("avg_duration_min"))
            .join(F.broadcast(dim_vendor.select(F.col("vendor_id").alias("VendorID"), "vendor_name")),
