@@ -14,6 +14,8 @@ An untimed warm-up runs the same paths on sf0.001 first.  Timed work
 
 Per query, ``stage_metrics`` reports input bytes, shuffle bytes written,
 spill and task count, read from Spark's event log in a scratch folder.
+Shuffle and spill bytes are exact; input bytes come from per-thread
+filesystem counters and are approximate when tasks share one JVM.
 """
 
 from __future__ import annotations
