@@ -157,3 +157,7 @@ def test_rebalance_is_hashed_by_date_without_sampling(spark):
     plan = jvm.PythonSQLUtils.explainString(fact._jdf.queryExecution(), "formatted")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "hashpartitioning(pickup_date" in plan
     assert "rangepartitioning" not in plan
+    # Only fact columns (and the date) cross the exchange; raw timestamps are pruned.
+    lines = plan.splitlines()
+    exchange_input = next(lines[i + 1] for i, l in enumerate(lines) if l.startswith("(") and "Exchange" in l)
+    assert "lpep_pickup_datetime" not in exchange_input and "pickup_date" in exchange_input
