@@ -23,9 +23,11 @@ def agg2(col: Column) -> Column:
     """2-dp rounding of an aggregate via decimal; double result.
 
     The decimal step hides last-bit differences between partial-aggregation
-    orders, as the warehouse's ``ROUND(x::numeric, 2)`` did.
+    orders, as the warehouse's ``ROUND(x::numeric, 2)`` did.  ``try_cast``:
+    a NaN or infinite aggregate gives NULL instead of failing the job under
+    ANSI mode.
     """
-    return F.round(col.cast(AGG_DECIMAL), 2).cast("double")
+    return F.round(col.try_cast(AGG_DECIMAL), 2).cast("double")
 
 
 def avg2(column: str) -> Column:

@@ -26,14 +26,17 @@ def read_raw(spark: SparkSession, *paths: str) -> DataFrame:
     """Raw trip records with the seven transform columns, typed as RAW_SCHEMA.
 
     Files are read with their own footer schema and then cast, so monthly
-    files that store a code as int64 in one year and int32 in another still
-    line up.  A missing column is an error, not a silent NULL.
+    files that store a code as int64 in one year and double in another still
+    line up.  A value that cannot be cast becomes NULL (``try_cast``; the
+    quality gate then drops the row, or the code maps to its default label)
+    rather than failing a whole load under ANSI mode.  A missing column is an
+    error, not a silent NULL.
     """
     df = spark.read.parquet(*paths)
     missing = [f.name for f in RAW_SCHEMA.fields if f.name not in df.columns]
     if missing:
         raise SchemaMismatch(f"raw trip files lack columns: {missing}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
 
 
 def land_raw(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -110,3 +110,8 @@ def test_code_names(spark):
     assert pay == ["Credit Card", "Cash", "No Charge", "Dispute", "Unknown", "Other", "Other"]
     ven = [r[0] for r in df.select(FT.vendor_name("x")).collect()]
     assert ven == ["Creative Mobile Technologies", "VeriFone Inc."] + ["Unknown"] * 5
+
+
+def test_aggregate_rounding_tolerates_nan(spark):
+    df = _one_col(spark, [float("nan"), float("inf"), 1.005], T.DoubleType())
+    assert [r[0] for r in df.select(agg2(F.col("x"))).collect()] == [None, None, 1.01]

@@ -29,11 +29,14 @@ def test_land_raw_roundtrip(spark, scratch_root):
 
 def test_read_raw_casts_and_checks(spark, scratch_root):
     path = f"{scratch_root}/t/{uuid.uuid4().hex}/raw"
-    raw = raw_trips(spark, SF001).withColumn("payment_type", F.col("payment_type").cast("long"))
+    raw = (raw_trips(spark, SF001)
+           .withColumn("payment_type", F.col("payment_type").cast("double"))
+           .withColumn("VendorID", F.when(F.col("trip_key") == 1, F.lit("bad")).otherwise(F.col("VendorID").cast("string"))))
     raw.write.parquet(path)
     got = io.read_raw(spark, path)
     assert got.columns == RAW_COLUMNS
     assert dict(got.dtypes)["payment_type"] == "int"
+    assert got.filter(F.col("VendorID").isNull()).count() == 1          # the bad value, not a failed job
     bad = f"{scratch_root}/t/{uuid.uuid4().hex}/bad"
     raw.drop("tip_amount").write.parquet(bad)
     try:
