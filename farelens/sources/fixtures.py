@@ -10,10 +10,20 @@ engine's rounding could differ, so the DuckDB oracle reproduces it exactly.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from farelens.schema import RAW_COLUMNS
 
-EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
+# The columns of the events table the fixture reads (declared, so a scan
+# does not infer them from the file footer).
+EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType(), True),
+    T.StructField("ts", T.TimestampNTZType(), True),
+    T.StructField("user_id", T.LongType(), True),
+    T.StructField("event_type", T.StringType(), True),
+    T.StructField("value", T.DoubleType(), True),
+])
+EVENT_COLUMNS = [f.name for f in EVENT_SCHEMA.fields]
 
 # Truncate the wall clock to whole seconds; date_trunc works on the
 # session-zone TIMESTAMP, so cast back to a zone-free timestamp.
@@ -48,5 +58,5 @@ def raw_trips_from_events(events: DataFrame) -> DataFrame:
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``trip_key`` plus the raw trip columns, one row per event."""
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select(*EVENT_COLUMNS)
+    events = spark.read.schema(EVENT_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     return raw_trips_from_events(events).select("trip_key", *RAW_COLUMNS)
