@@ -83,3 +83,12 @@ def test_no_python_udf_in_any_registered_query(spark):
         plan = q(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
         for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas"):
             assert node not in plan, (name, node)
+
+
+def test_rollup_is_one_expand_and_hash_aggregate(spark, fact_path):
+    from farelens.plans.rollup import build_rollup
+
+    plan = plan_of(build_rollup(io.read_fact_parquet(spark, fact_path)))
+    assert "Expand" in plan and "HashAggregate" in plan and "SortAggregate" not in plan
+    assert plan.count("Scan parquet") == 1                      # one pass over the fact
+    assert "partial_sum" in plan                                # map-side before the shuffle
