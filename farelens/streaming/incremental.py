@@ -58,13 +58,22 @@ def start_incremental_load(spark: SparkSession, raw_dir: str, fact_path: str,
     return writer.start()
 
 
+def _input_rows_by_batch(query: StreamingQuery, seen: dict[int, int]) -> None:
+    for progress in query.recentProgress:
+        get = progress.get if isinstance(progress, dict) else lambda k, d=None: getattr(progress, k, d)
+        seen[int(get("batchId", -1))] = int(get("numInputRows", 0) or 0)
+
+
 def run_incremental_load(spark: SparkSession, raw_dir: str, fact_path: str,
-                         checkpoint_location: str | None = None) -> int:
-    """One scheduled run: process what arrived, wait, return rows appended."""
+                         checkpoint_location: str | None = None, poll_seconds: float = 0.5) -> int:
+    """One scheduled run: process what arrived, wait; return raw rows read.
+
+    Progress is collected per batch id while the run goes on, since a query
+    keeps only its most recent progress reports.
+    """
     query = start_incremental_load(spark, raw_dir, fact_path, checkpoint_location)
-    query.awaitTermination()
-    appended = 0
-    for progress in query.recentProgress:
-        appended += int(progress.get("numInputRows", 0) if isinstance(progress, dict)
-                        else getattr(progress, "numInputRows", 0))
-    return appended
+    seen: dict[int, int] = {}
+    while not query.awaitTermination(poll_seconds):
+        _input_rows_by_batch(query, seen)
+    _input_rows_by_batch(query, seen)
+    return sum(seen.values())

@@ -23,11 +23,11 @@ def test_incremental_load_exactly_once(spark, scratch_root):
     first, second = raw.filter(day <= 15), raw.filter(day > 15)
 
     first.write.parquet(f"{raw_dir}/part=1")
-    run_incremental_load(spark, raw_dir, fact_path, ckpt)
+    assert run_incremental_load(spark, raw_dir, fact_path, ckpt) == first.count()
     after_first = spark.read.parquet(fact_path).select(*FACT_COLUMNS)
     assert _rows(after_first) == _rows(build_fact(first))
 
-    run_incremental_load(spark, raw_dir, fact_path, ckpt)     # nothing new: no change
+    assert run_incremental_load(spark, raw_dir, fact_path, ckpt) == 0   # nothing new: no change
     assert spark.read.parquet(fact_path).count() == after_first.count()
 
     second.write.parquet(f"{raw_dir}/part=2")
