@@ -164,3 +164,15 @@ def test_rebalance_is_hashed_by_date_without_sampling(spark):
     lines = plan.splitlines()
     exchange_input = next(lines[i + 1] for i, l in enumerate(lines) if l.startswith("(") and "Exchange" in l)
     assert "lpep_pickup_datetime" not in exchange_input and "pickup_date" in exchange_input
+
+
+def test_command_line_jobs(spark, scratch_root):
+    from farelens.__main__ import main
+
+    base = f"{scratch_root}/t/{uuid.uuid4().hex}"
+    raw_trips(spark, SF01).drop("trip_key").write.parquet(f"{base}/src")
+    ex = main(["extract", "--src", f"{base}/src", "--lake", f"{base}/lake"])
+    assert ex["rows"] == 10_000
+    ld = main(["load", "--raw", f"{base}/lake", "--fact", f"{base}/fact"])
+    assert (ld["raw_rows"], ld["clean_rows"], ld["removed_rows"], ld["removed_pct"]) == (10_000, 8_822, 1_178, 11.78)
+    assert io.read_fact_parquet(spark, f"{base}/fact").count() == 8_822
