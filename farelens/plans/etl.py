@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from farelens.functions.features import add_features
 from farelens.operators.dims import dim_payment_type, dim_vendor
 from farelens.operators.quality import observed_filter
-from farelens.plans.rollup import materialize_rollup, views_from_rollup
+from farelens.plans.rollup import materialize_rollup, views_from_rollup, write_rollup
 from farelens.schema import FACT_COLUMNS
 from farelens.sources import io
 
@@ -31,6 +31,7 @@ class EtlConfig:
     # input known to arrive in time order.
     cluster_fact: bool = True
     dynamic_overwrite: bool = False       # replace only the dates being loaded
+    rollup_path: str | None = None        # keep the views' rollup as a table for later sessions
 
 
 @dataclass
@@ -106,7 +107,8 @@ def run_etl(spark: SparkSession, cfg: EtlConfig, build_views: bool = True,
         written.createOrReplaceTempView("fact_trips")
         pay.createOrReplaceTempView("dim_payment_type")
         ven.createOrReplaceTempView("dim_vendor")
-        result.rollup = materialize_rollup(written)
+        result.rollup = (write_rollup(written, cfg.rollup_path) if cfg.rollup_path
+                         else materialize_rollup(written))
         result.views = views_from_rollup(result.rollup, pay, ven)
         for name, view in result.views.items():
             view.createOrReplaceTempView(name)

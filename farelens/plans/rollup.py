@@ -244,3 +244,18 @@ def materialize_rollup(fact: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(fact.sparkSession)
     return build_rollup(fact).checkpoint(eager=True)
+
+
+def write_rollup(fact: DataFrame, path: str) -> DataFrame:
+    """Store the rollup as a small parquet table and return it read back.
+
+    Unlike a checkpoint, the table outlives the session: any later session
+    (a dashboard refresh) rebuilds all 17 views from it with ``read_rollup``
+    without touching the fact.
+    """
+    build_rollup(fact).write.mode("overwrite").parquet(path)
+    return read_rollup(fact.sparkSession, path)
+
+
+def read_rollup(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path)

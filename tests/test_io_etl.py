@@ -176,3 +176,17 @@ def test_command_line_jobs(spark, scratch_root):
     ld = main(["load", "--raw", f"{base}/lake", "--fact", f"{base}/fact"])
     assert (ld["raw_rows"], ld["clean_rows"], ld["removed_rows"], ld["removed_pct"]) == (10_000, 8_822, 1_178, 11.78)
     assert io.read_fact_parquet(spark, f"{base}/fact").count() == 8_822
+
+
+def test_stored_rollup_serves_views_in_a_later_read(spark, scratch_root):
+    from farelens.operators.dims import dim_payment_type, dim_vendor
+    from farelens.plans.rollup import read_rollup, views_from_rollup
+
+    base = f"{scratch_root}/t/{uuid.uuid4().hex}"
+    cfg = EtlConfig(raw_paths=[], fact_path=f"{base}/fact", rollup_path=f"{base}/rollup")
+    res = run_etl(spark, cfg, raw=raw_trips(spark, SF01).drop("trip_key"))
+    stored = read_rollup(spark, cfg.rollup_path)
+    views = views_from_rollup(stored, dim_payment_type(spark), dim_vendor(spark))
+    kpi = views["v_kpi_summary"].first()
+    assert kpi.total_trips == 8_822 and kpi.total_revenue == 437117.83
+    assert _rows(views["v_hourly_revenue"]) == _rows(res.views["v_hourly_revenue"])
