@@ -8,6 +8,7 @@ extra ``count()`` actions over the raw data.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,7 +49,11 @@ class EtlResult:
 
     @property
     def removed_pct(self) -> float:
-        return round(100.0 * self.removed_rows / self.raw_rows, 2) if self.raw_rows else 0.0
+        """Removal rate in percent, 2 dp half-up (as the SQL side rounds)."""
+        if not self.raw_rows:
+            return 0.0
+        pct = Decimal(100 * self.removed_rows) / Decimal(self.raw_rows)
+        return float(pct.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
 
 
 def extract(spark: SparkSession, src_paths: list[str], lake_path: str) -> DataFrame:
