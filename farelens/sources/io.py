@@ -144,10 +144,16 @@ def write_fact_jdbc(fact: DataFrame, options: dict[str, str]) -> None:
     fact.write.format("jdbc").options(**options).mode("overwrite").save()
 
 
-def read_jdbc(spark: SparkSession, options: dict[str, str], query: str | None = None) -> DataFrame:
-    """Read a warehouse table or query over JDBC."""
+def jdbc_read_options(options: dict[str, str], query: str | None = None) -> dict[str, str]:
+    """Reader options from writer options: drop write-only keys; a query
+    replaces the table name (the warehouse evaluates it, e.g. a view)."""
     opts = {k: v for k, v in options.items() if k not in ("truncate", "batchsize", "numPartitions")}
     if query is not None:
         opts.pop("dbtable", None)
         opts["query"] = query
-    return spark.read.format("jdbc").options(**opts).load()
+    return opts
+
+
+def read_jdbc(spark: SparkSession, options: dict[str, str], query: str | None = None) -> DataFrame:
+    """Read a warehouse table or query over JDBC."""
+    return spark.read.format("jdbc").options(**jdbc_read_options(options, query)).load()

@@ -93,6 +93,9 @@ def test_jdbc_options():
     opts = io.jdbc_options("jdbc:postgresql://host:5432/db", "fact_trips", "u", "p",
                            "org.postgresql.Driver", num_partitions=16)
     assert opts["truncate"] == "true" and opts["numPartitions"] == "16" and opts["dbtable"] == "fact_trips"
+    read = io.jdbc_read_options(opts, query="SELECT * FROM v_kpi_summary")
+    assert "dbtable" not in read and "truncate" not in read and "batchsize" not in read
+    assert read["query"] == "SELECT * FROM v_kpi_summary" and read["url"] == opts["url"]
 
 
 def test_run_etl_counts_and_views(spark, scratch_root):
