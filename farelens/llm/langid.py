@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 COLUMNS = 1 << 16
@@ -117,15 +117,11 @@ def score_text(labels: list[str], log_prob: np.ndarray, log_prior: np.ndarray, t
     return labels[best], float(1.0 / np.exp(total - total[best]).sum())
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` plus lang_pred and score (posterior of the best label, 0 to 1).
-
-    A text that is NULL or has no letter gets ``und`` and 0; so does every
-    text without a model.  Only ``text`` goes into a prediction.
-    """
+def judgement(spark: SparkSession, model: Model | None, text: Column) -> Column:
+    """struct(lang_pred, score) of a text column; without a model all texts get ``und`` and 0."""
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
-    shared = docs.sparkSession.sparkContext.broadcast((model.labels, model.log_prob, model.log_prior))
+        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    shared = spark.sparkContext.broadcast((model.labels, model.log_prob, model.log_prior))
 
     @F.pandas_udf("lang_pred string, score double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -134,10 +130,35 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             rows = [score_text(*own, t) if has_letter(t) else (UNKNOWN, 0.0) for t in texts]
             yield pd.DataFrame(rows, columns=["lang_pred", "score"])
 
-    return (docs.withColumn("_judged", judge(F.col("text")))
-            .withColumns({"lang_pred": F.col("_judged.lang_pred"), "score": F.col("_judged.score")})
-            .drop("_judged"))
+    return judge(text)
+
+
+def predict(docs: DataFrame, model: Model | None) -> DataFrame:
+    """``docs`` plus lang_pred and score (posterior of the best label, 0 to 1).
+
+    A text that is NULL or has no letter gets ``und`` and 0; so does every
+    text without a model.  Only ``text`` goes into a prediction.  Columns of
+    these names in ``docs`` are replaced.
+    """
+    judged = docs.withColumn("__judged", judgement(docs.sparkSession, model, F.col("text")))
+    return judged.withColumns({"lang_pred": F.col("__judged.lang_pred"),
+                               "score": F.col("__judged.score")}).drop("__judged")
 
 
 def identify_languages(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     return predict(docs, train(docs, sample_rows))
+
+
+def keep_identified(docs: DataFrame, least_score: float = 0.5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``docs`` without the documents that are in no known language.
+
+    Rejected are texts that are NULL or without a letter, and those whose
+    best label is less likely than ``least_score``.  Without any labelled
+    document nothing is known about languages, and only letters are asked for.
+    """
+    model = train(docs, sample_rows)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    judged = docs.withColumn("__judged", judgement(docs.sparkSession, model, F.col("text")))
+    known = (F.col("__judged.lang_pred") != UNKNOWN) & (F.col("__judged.score") >= least_score)
+    return judged.filter(known).select(*docs.columns)

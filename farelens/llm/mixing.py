@@ -227,17 +227,19 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options)
                 F.collect_list("words").alias("_counts")))
     # One shuffle of the texts: the numbering of repeated rows and the join
     # share the hash of (id, source, size), NULLs under a stand-in beside a flag.
-    key = {"_id": F.coalesce("doc_id", F.lit(-1).cast("long")), "_no_id": F.isnull("doc_id"),
-           "_src": F.coalesce("source", F.lit("")), "_no_src": F.isnull("source")}
-    left = docs.withColumn("_size", word_count(F.col("text"))).withColumns(key)
-    same = [*key, "_size"]
-    left = left.withColumn("_rep", F.row_number().over(Window.partitionBy(*same).orderBy("_id")))
-    own = own.withColumns(key).select(*key, F.col("size").alias("_size"), F.col("rep").alias("_own_rep"),
-                                      "copy", "_words", "_blocks", "_counts")
-    joined = left.join(own, same).filter(F.abs(F.col("_rep") - F.col("_own_rep")) < 1)
-    whole = F.col("_words") == F.col("_size")
+    key = {"__mix_id": F.coalesce("doc_id", F.lit(-1).cast("long")), "__mix_no_id": F.isnull("doc_id"),
+           "__mix_source": F.coalesce("source", F.lit("")), "__mix_no_source": F.isnull("source")}
+    left = docs.withColumn("__mix_size", word_count(F.col("text"))).withColumns(key)
+    same = [*key, "__mix_size"]
+    left = left.withColumn("__mix_rep", F.row_number().over(Window.partitionBy(*same).orderBy("__mix_id")))
+    own = own.withColumns(key).select(*key, F.col("size").alias("__mix_size"), F.col("rep").alias("__mix_own_rep"),
+                                      F.col("_words").alias("__mix_words"), F.col("_blocks").alias("__mix_blocks"),
+                                      F.col("_counts").alias("__mix_counts"))
+    joined = left.join(own, same).filter(F.abs(F.col("__mix_rep") - F.col("__mix_own_rep")) < 1)
+    whole = F.col("__mix_words") == F.col("__mix_size")
     full = joined.filter(whole).select(*docs.columns)
-    part = joined.filter(~whole).withColumn("text", _cutter(block_words)("text", "_blocks", "_counts"))
+    cut = _cutter(block_words)("text", "__mix_blocks", "__mix_counts")
+    part = joined.filter(~whole).withColumn("text", cut)
     if "n_chars" in docs.columns:
         part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return full.unionByName(part.select(*docs.columns))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import langid, mixing, packing, sharding, url_filter
+from farelens.llm import bwt_dedup, hnsw, langid, merkle, minmax, mixing, packing, pii, sharding, url_filter
 from farelens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs).select("doc_id", "text", "pii_found", "pii_masked")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict",
@@ -44,6 +49,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.near_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op6_pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -52,8 +61,22 @@ def op7_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), 24)
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = bwt_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), keep_text=False)
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op9_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.compare_with_next(read_table(spark, sf_dir, "documents"))
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
-    op1_mix_sources, op3_url_filter, op4_language_id, op6_pack_tokens, op7_shuffle_shards)}
+    op1_mix_sources, op2_pii_pseudonyms, op3_url_filter, op4_language_id, op5_embedding_near_dedup, op6_pack_tokens,
+    op7_shuffle_shards, op8_repeated_passages, op9_document_fingerprints, op10_near_duplicates)}
 
 
 def _url_filter_sql() -> str:
