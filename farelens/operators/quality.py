@@ -1,13 +1,14 @@
 """Data-quality gate over featured trips.
 
-Six rules; a row passes only when every rule is TRUE, so a NULL in any rule
+Six rules, and a seventh for rows read from files: a value that does not fit
+its column's type.  A row passes only when every rule is TRUE, so a NULL in any rule
 drops the row (SQL filter semantics).  The complement keeps those NULL rows:
 a plain ``~pred`` would lose them, so each rule is coalesced to FALSE first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelens import schema as S
@@ -36,9 +37,17 @@ RULE_SQL = {
 }
 
 
-def rules() -> list[tuple[str, Column]]:
-    """Rule name -> predicate that must hold for a clean row, in order."""
-    return [(name, F.expr(RULE_SQL[name])) for name in RULE_NAMES]
+# For rows that carry UNCASTABLE, as ``sources.io.read_raw`` gives them.
+CASTABLE_RULE = "values_castable"
+CASTABLE_SQL = f"{S.UNCASTABLE} = ''"
+
+
+def rules(df: DataFrame | None = None) -> list[tuple[str, Column]]:
+    """Rule name -> predicate that must hold for a clean row of ``df``, in order."""
+    out = [(name, F.expr(RULE_SQL[name])) for name in RULE_NAMES]
+    if df is not None and S.UNCASTABLE in df.columns:
+        out.append((CASTABLE_RULE, F.expr(CASTABLE_SQL)))
+    return out
 
 
 def passes(rule_col: Column) -> Column:
@@ -46,25 +55,28 @@ def passes(rule_col: Column) -> Column:
     return F.coalesce(rule_col, F.lit(False))
 
 
-def clean_predicate_sql() -> str:
-    return " AND ".join(f"({RULE_SQL[n]})" for n in RULE_NAMES)
+def clean_predicate_sql(df: DataFrame | None = None) -> str:
+    sql = [RULE_SQL[n] for n in RULE_NAMES]
+    if df is not None and S.UNCASTABLE in df.columns:
+        sql.append(CASTABLE_SQL)
+    return " AND ".join(f"({x})" for x in sql)
 
 
-def clean_predicate() -> Column:
-    return F.expr(clean_predicate_sql())
+def clean_predicate(df: DataFrame | None = None) -> Column:
+    return F.expr(clean_predicate_sql(df))
 
 
 def quality_filter(featured: DataFrame) -> DataFrame:
-    """Rows that pass all six rules (F7)."""
-    return featured.filter(clean_predicate_sql())
+    """Rows that pass all rules (F7)."""
+    return featured.filter(clean_predicate_sql(featured))
 
 
 def quality_rejects(featured: DataFrame) -> DataFrame:
     """Rows that fail at least one rule, with the failing rules named (F8)."""
-    failing = [F.when(~passes(p), F.lit(name)) for name, p in rules()]
-    n_failed = sum((F.when(~passes(p), 1).otherwise(0) for _, p in rules()), F.lit(0))
+    failing = [F.when(~passes(p), F.lit(name)) for name, p in rules(featured)]
+    n_failed = sum((F.when(~passes(p), 1).otherwise(0) for _, p in rules(featured)), F.lit(0))
     return (featured
-            .filter(~passes(clean_predicate()))
+            .filter(~passes(clean_predicate(featured)))
             .withColumns({
                 "reject_reasons": F.concat_ws(",", *failing),
                 "n_failed_rules": n_failed.cast("int"),
@@ -75,7 +87,7 @@ def rule_failure_counts(featured: DataFrame) -> DataFrame:
     """One row: per rule, the number of rows failing it (NULL = failing)."""
     return featured.agg(
         F.count(F.lit(1)).alias("raw_rows"),
-        *[F.count_if(~passes(p)).alias(f"fail_{name}") for name, p in rules()],
+        *[F.count_if(~passes(p)).alias(f"fail_{name}") for name, p in rules(featured)],
     )
 
 
@@ -85,7 +97,7 @@ def split_counts(featured: DataFrame) -> DataFrame:
     A single aggregate pass: the clean count is a conditional count, not a
     second scan.
     """
-    clean = F.count_if(passes(clean_predicate()))
+    clean = F.count_if(passes(clean_predicate(featured)))
     raw = F.count(F.lit(1))
     return featured.agg(raw.alias("raw_rows"), clean.alias("clean_rows")).select(
         "raw_rows",
@@ -93,16 +105,3 @@ def split_counts(featured: DataFrame) -> DataFrame:
         (F.col("raw_rows") - F.col("clean_rows")).alias("removed_rows"),
         share_pct(F.col("raw_rows") - F.col("clean_rows"), F.col("raw_rows")).alias("removed_pct"),
     )
-
-
-def observed_filter(featured: DataFrame, name: str = "quality") -> tuple[DataFrame, Observation, Observation]:
-    """Clean rows plus two observations (raw and clean counts).
-
-    The counts are collected as a side effect of whatever action consumes the
-    result (for example the fact write), so the raw data is scanned once.
-    """
-    raw_obs = Observation(f"{name}_raw")
-    clean_obs = Observation(f"{name}_clean")
-    observed_raw = featured.observe(raw_obs, F.count(F.lit(1)).alias("rows"))
-    clean = quality_filter(observed_raw).observe(clean_obs, F.count(F.lit(1)).alias("rows"))
-    return clean, raw_obs, clean_obs

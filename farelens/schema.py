@@ -22,6 +22,9 @@ RAW_SCHEMA = T.StructType([
 
 RAW_COLUMNS = [f.name for f in RAW_SCHEMA.fields]
 
+# Names of a raw row's columns whose stored value does not fit its type.
+UNCASTABLE = "uncastable"
+
 FACT_SCHEMA = T.StructType([
     T.StructField("VendorID", T.IntegerType(), True),
     T.StructField("vendor_name", T.StringType(), False),
@@ -138,10 +141,5 @@ DIM_VENDOR_SCHEMA = T.StructType([
 ])
 
 
-def category_rank(labels_in_order: list[str]) -> dict[str, int]:
-    """Sort rank (1-based) for a list of labels in their intended order."""
-    return {label: i + 1 for i, label in enumerate(labels_in_order)}
-
-
 DISTANCE_ORDER = [label for _, label in DISTANCE_CATEGORIES] + [DISTANCE_CATEGORY_DEFAULT]
 FARE_ORDER = [label for _, label in FARE_CATEGORIES] + [FARE_CATEGORY_DEFAULT]

@@ -1,15 +1,19 @@
 """Catalog operations of the warehouse, on the Spark catalog.
 
 Schema creation, name resolution and table (re)creation map onto
-``CREATE DATABASE``, ``setCurrentDatabase`` and ``tableExists`` /
-``saveAsTable`` / ``DROP TABLE``.  Views are temp views over DataFrames
-(``plans.views.register_views``).
+``CREATE DATABASE``, ``setCurrentDatabase``, ``CREATE TABLE`` and ``DROP
+TABLE``; the 17 views are stored in the catalog, so that every session on it
+(a dashboard) can query them after the load has ended.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from farelens.operators.dims import insert_if_absent
+from farelens.plans.view_specs import SPECS, spark_sql
+from farelens.session import ensure_checkpoint_dir
+
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """CREATE DATABASE IF NOT EXISTS, optionally at a shared location."""
@@ -41,3 +45,42 @@ def create_table_if_absent(df: DataFrame, table: str, path: str | None = None) -
 def drop_table(spark: SparkSession, table: str) -> None:
     """DROP TABLE IF EXISTS (temp views of the same name are left alone)."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def load_dimension(offered: DataFrame, table: str, key: str) -> int:
+    """Insert the offered rows whose key the table lacks; returns how many.
+
+    Creates the table if need be.  Loading the same rows again inserts none.
+    """
+    spark = offered.sparkSession
+    if not spark.catalog.tableExists(table):
+        create_table_if_absent(offered.limit(0), table)
+    existing = spark.table(table)
+    new = insert_if_absent(existing, offered, key).join(existing.select(key), key, "left_anti").select(*existing.columns)
+    # Cut off from the table before it is appended to.
+    ensure_checkpoint_dir(spark)
+    rows = new.checkpoint()
+    n = rows.count()
+    if n:
+        rows.write.insertInto(table)
+    return n
+
+
+def store_views(spark: SparkSession, database: str, fact_path: str, dims: dict[str, DataFrame],
+                keys: dict[str, str], location: str | None = None) -> list[str]:
+    """Catalog database with the stored fact, the dimensions and all views.
+
+    The fact is an external table over ``fact_path``; its partitions are
+    registered anew, so after a load the same views show the new rows.
+    Dimensions are loaded insert-if-absent by their key.
+    """
+    ensure_database(spark, database, location)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.fact_trips USING parquet LOCATION '{fact_path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.fact_trips")):
+        spark.sql(f"MSCK REPAIR TABLE `{database}`.fact_trips SYNC PARTITIONS")
+    spark.catalog.refreshTable(f"{database}.fact_trips")
+    for name, df in dims.items():
+        load_dimension(df, f"{database}.{name}", keys[name])
+    for name in SPECS:
+        spark.sql(f"CREATE OR REPLACE VIEW `{database}`.{name} AS {spark_sql(name, database)}")
+    return list(SPECS)

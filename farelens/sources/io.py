@@ -1,8 +1,8 @@
 """Sources and sinks: raw scans, the lake copy, and fact sinks.
 
-- Raw scan (S1/S3): many monthly files per call; only the seven columns the
-  transform reads are selected, so the parquet scan prunes the rest.
-- Lake landing (S2): a full-replace parquet copy.
+- Raw scan (S1/S3): every file is read with its own footer schema, then cast
+  to the transform's seven columns, so months that differ line up.
+- Lake landing (S2): an unchanged copy, one partition per load month.
 - Fact sinks (S5): parquet laid out by pickup date (partition pruning for
   date ranges, row groups sorted by pickup time for min/max skipping), a
   catalog table whose definition survives a reload, or JDBC with truncate.
@@ -10,41 +10,133 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from farelens.schema import FACT_COLUMNS, RAW_SCHEMA
+from farelens.schema import FACT_COLUMNS, RAW_SCHEMA, UNCASTABLE
 
 PARTITION_COL = "pickup_date"
+LOAD_MONTH = "load_month"
+# Amounts, distances and the like beyond this are errors, not measures.
+LARGEST_MEASURE = 1e18
+# Concurrent footer reads while schemas are resolved (one small read a file).
+FOOTER_READERS = 16
 
 
 class SchemaMismatch(ValueError):
     pass
 
 
+def data_files(spark: SparkSession, *paths: str) -> list[str]:
+    """The files under ``paths`` (globs, folders, partitioned folders), listed by Spark's own readers."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    return sorted(r.path for r in listed.select("path").collect())
+
+
+def schema_groups(spark: SparkSession, *paths: str) -> list[tuple[T.StructType, list[str]]]:
+    """Files grouped by equal footer schema."""
+    files = data_files(spark, *paths)
+    if not files:
+        raise FileNotFoundError(f"no files under {paths}")
+    with ThreadPoolExecutor(FOOTER_READERS) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for file, schema in zip(files, schemas):
+        groups.setdefault(schema.json(), (schema, []))[1].append(file)
+    return list(groups.values())
+
+
+def _cast(field: T.StructField, stored: T.DataType) -> tuple[Column, Column]:
+    """A stored column as the target type, and whether a value did not fit.
+
+    A value fits when the cast gives a value and, for whole numbers, loses no
+    fraction.  NaN, infinities and absurd sizes are no amounts.  What cannot
+    be cast is NULL.
+    """
+    c = F.col(f"`{field.name}`")
+    numeric = isinstance(stored, T.NumericType)
+    out = c if stored == field.dataType else c.try_cast(field.dataType)
+    bad = F.lit(False) if stored == field.dataType else c.isNotNull() & out.isNull()
+    if isinstance(field.dataType, T.IntegralType) and isinstance(stored, (T.FractionalType,)):
+        bad = bad | (out.cast("double") != c.cast("double"))
+    if isinstance(field.dataType, T.DoubleType) and (not numeric or isinstance(stored, (T.DoubleType, T.FloatType))):
+        bad = bad | F.isnan(out) | (F.abs(out) >= LARGEST_MEASURE)
+    bad = F.coalesce(bad, F.lit(False))
+    # A column of the right type stays bare, so that filters on it reach the scan.
+    return (out if stored == field.dataType else F.when(~bad, out)), bad
+
+
 def read_raw(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw trip records with the seven transform columns, typed as RAW_SCHEMA.
-
-    Files are read with their own footer schema and then cast, so monthly
-    files that store a code as int64 in one year and double in another still
-    line up.  A value that cannot be cast becomes NULL (``try_cast``; the
-    quality gate then drops the row, or the code maps to its default label)
-    rather than failing a whole load under ANSI mode.  A missing column is an
-    error, not a silent NULL.
+    """Raw trip records: the seven transform columns typed as RAW_SCHEMA, plus UNCASTABLE.
+
+    Files are grouped by their own footer schema and cast group by group, so
+    a code stored as int, bigint and double in different months lines up.  A
+    required column missing in any file is an error.  UNCASTABLE names the
+    columns of a row whose value does not fit the type (empty: none); the
+    quality gate counts and rejects such rows.
     """
-    df = spark.read.parquet(*paths)
-    missing = [f.name for f in RAW_SCHEMA.fields if f.name not in df.columns]
-    if missing:
-        raise SchemaMismatch(f"raw trip files lack columns: {missing}")
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])
+    groups = schema_groups(spark, *paths)
+    for schema, files in groups:
+        missing = [f.name for f in RAW_SCHEMA.fields if f.name not in schema.names]
+        if missing:
+            raise SchemaMismatch(f"raw trip files lack columns {missing}: {files[0]}")
+    parts = []
+    for schema, files in groups:
+        casts = {f.name: _cast(f, schema[f.name].dataType) for f in RAW_SCHEMA.fields}
+        bad = [F.when(b, F.lit(name)) for name, (_, b) in casts.items()]
+        parts.append(spark.read.schema(schema).parquet(*files).select(
+            *[c.alias(name) for name, (c, _) in casts.items()], F.concat_ws(",", *bad).alias(UNCASTABLE)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def land_raw(df: DataFrame, path: str, month: str | None = None, append: bool = False) -> None:
+    """Copy into the lake (one job, no shuffle).
+
+    With ``month`` the copy is the partition ``load_month=<month>`` of the
+    lake: landing a month again replaces that month and keeps the others.
+    The month is the file's, not the rows': trip files hold a few rows of
+    other months, which must not touch those months' copies.  Without it the
+    whole path is replaced.
+    """
+    mode = "append" if append else "overwrite"
+    if month is None:
+        df.write.mode(mode).parquet(path)
+        return
+    (df.withColumn(LOAD_MONTH, F.lit(month)).write.mode(mode)
+     .option("partitionOverwriteMode", "dynamic").partitionBy(LOAD_MONTH).parquet(path))
 
 
-def land_raw(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full-replace copy into the lake (one job, no shuffle)."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+def month_of(path: str) -> str | None:
+    """The last ``YYYY-MM`` in a file's path."""
+    found = re.findall(r"(?<!\d)(\d{4}-(?:0[1-9]|1[0-2]))(?!\d)", path)
+    return found[-1] if found else None
+
+
+def land_files(spark: SparkSession, src_paths: list[str], lake_path: str, month: str | None = None) -> None:
+    """Land raw files with all their columns, month by month.
+
+    Files of one month that differ in schema are written one after the other
+    with their own schemas; ``read_raw`` resolves them again.  ``month``
+    overrides the month in the file names; a file without either is an error.
+    """
+    by_month: dict[str, list[tuple[T.StructType, list[str]]]] = {}
+    for schema, files in schema_groups(spark, *src_paths):
+        for file in files:
+            key = month or month_of(file)
+            if key is None:
+                raise ValueError(f"no month in the name of {file}; give one")
+            groups = by_month.setdefault(key, [])
+            if not groups or groups[-1][0] is not schema:
+                groups.append((schema, []))
+            groups[-1][1].append(file)
+    for key, groups in sorted(by_month.items()):
+        for i, (schema, files) in enumerate(groups):
+            land_raw(spark.read.schema(schema).parquet(*files), lake_path, month=key, append=i > 0)
 
 
 def cluster_by_time(df: DataFrame) -> DataFrame:
@@ -62,35 +154,24 @@ def cluster_by_time(df: DataFrame) -> DataFrame:
     return with_date.hint("rebalance", PARTITION_COL)
 
 
-def _with_layout(fact: DataFrame, cluster: bool) -> DataFrame:
-    """Add the date partition column and order rows inside each task.
+def write_fact_parquet(fact: DataFrame, path: str, cluster: bool = False,
+                       dynamic_overwrite: bool = False, partition_first: str | None = None) -> None:
+    """Fact as parquet partitioned by pickup date, sorted by pickup time in each file.
 
-    Without ``cluster`` each task writes a file per date it holds, which is
-    fine for time-ordered input; ``cluster=True`` adds the rebalance of
-    ``cluster_by_time`` first.
+    Default is a full reload (static overwrite).  ``dynamic_overwrite``
+    replaces only the partitions present in ``fact``, for month-by-month
+    loads.  ``cluster`` adds the rebalance of ``cluster_by_time``.
+    ``partition_first`` is a column to partition by above the date.
     """
     out = fact if PARTITION_COL in fact.columns else fact.withColumn(
         PARTITION_COL, F.to_date(F.col("pickup_datetime")))
     if cluster:
         out = cluster_by_time(out)
-    return out.sortWithinPartitions(PARTITION_COL, "pickup_datetime")
-
-
-def write_fact_parquet(fact: DataFrame, path: str, cluster: bool = False,
-                       dynamic_overwrite: bool = False,
-                       max_records_per_file: int | None = None) -> None:
-    """Fact as parquet partitioned by pickup date.
-
-    Default is a full reload (static overwrite).  ``dynamic_overwrite``
-    replaces only the dates present in ``fact``, for month-by-month loads.
-    """
-    cols = [c for c in fact.columns if c != PARTITION_COL]
-    writer = (_with_layout(fact, cluster).select(*cols, PARTITION_COL).write.mode("overwrite")
-              .partitionBy(PARTITION_COL)
-              .option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static"))
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", str(max_records_per_file))
-    writer.parquet(path)
+    parts = [c for c in (partition_first, PARTITION_COL) if c]
+    out = out.sortWithinPartitions(*parts, "pickup_datetime")
+    cols = [c for c in out.columns if c not in parts]
+    (out.select(*cols, *parts).write.mode("overwrite").partitionBy(*parts)
+     .option("partitionOverwriteMode", "dynamic" if dynamic_overwrite else "static").parquet(path))
 
 
 def read_fact_parquet(spark: SparkSession, path: str, date_from: str | None = None,
@@ -121,9 +202,14 @@ def write_fact_table(fact: DataFrame, table: str, path: str | None = None) -> No
     writer.saveAsTable(table)
 
 
+# Connections a load opens to the warehouse unless told otherwise.
+JDBC_WRITERS = 16
+
+
 def jdbc_options(url: str, table: str, user: str, password: str, driver: str,
-                 batch_size: int = 10_000, num_partitions: int | None = None) -> dict[str, str]:
-    opts = {
+                 batch_size: int = 10_000, num_partitions: int = JDBC_WRITERS) -> dict[str, str]:
+    """Writer options; ``num_partitions`` caps the concurrent connections (Spark coalesces to it)."""
+    return {
         "url": url,
         "dbtable": table,
         "user": user,
@@ -132,11 +218,8 @@ def jdbc_options(url: str, table: str, user: str, password: str, driver: str,
         # Empty the table instead of dropping it, so dependent views survive.
         "truncate": "true",
         "batchsize": str(batch_size),
+        "numPartitions": str(num_partitions),
     }
-    if num_partitions:
-        # Caps concurrent connections: Spark coalesces to this many writers.
-        opts["numPartitions"] = str(num_partitions)
-    return opts
 
 
 def write_fact_jdbc(fact: DataFrame, options: dict[str, str]) -> None:
@@ -144,16 +227,26 @@ def write_fact_jdbc(fact: DataFrame, options: dict[str, str]) -> None:
     fact.write.format("jdbc").options(**options).mode("overwrite").save()
 
 
-def jdbc_read_options(options: dict[str, str], query: str | None = None) -> dict[str, str]:
-    """Reader options from writer options: drop write-only keys; a query
-    replaces the table name (the warehouse evaluates it, e.g. a view)."""
+def jdbc_read_options(options: dict[str, str], query: str | None = None, column: str | None = None,
+                      bounds: tuple[str, str] | None = None, partitions: int = JDBC_WRITERS) -> dict[str, str]:
+    """Reader options from writer options: write-only keys go.
+
+    ``query`` replaces the table name (the warehouse evaluates it, e.g. a
+    view) and is read in one task: it is for aggregated results.  A table is
+    read in ``partitions`` tasks by ranges of ``column`` between ``bounds``.
+    """
     opts = {k: v for k, v in options.items() if k not in ("truncate", "batchsize", "numPartitions")}
     if query is not None:
         opts.pop("dbtable", None)
         opts["query"] = query
+    elif column is not None and bounds is not None:
+        opts.update(partitionColumn=column, lowerBound=str(bounds[0]), upperBound=str(bounds[1]),
+                    numPartitions=str(partitions))
+    else:
+        raise ValueError("a table is read by ranges: give column and bounds")
     return opts
 
 
-def read_jdbc(spark: SparkSession, options: dict[str, str], query: str | None = None) -> DataFrame:
-    """Read a warehouse table or query over JDBC."""
-    return spark.read.format("jdbc").options(**jdbc_read_options(options, query)).load()
+def read_jdbc(spark: SparkSession, options: dict[str, str], query: str | None = None, **ranges) -> DataFrame:
+    """Read a warehouse table (by ranges) or a query's result over JDBC."""
+    return spark.read.format("jdbc").options(**jdbc_read_options(options, query, **ranges)).load()

@@ -2,14 +2,16 @@
 
 Each scheduled run (daily, say) processes only raw files that arrived since
 the previous run: a Structured Streaming file source with
-``trigger(availableNow=True)`` reads everything new, applies the same
-features and quality gate as the batch job, and appends to the fact through
-the parquet file sink, partitioned by pickup date.  The source and sink
-logs in the checkpoint location make it exactly-once: a rerun (or a retried
-run after a lost executor) neither skips nor repeats a file.
-
-Read the fact back with ``spark.read.parquet(fact_path)``; the file sink's
-metadata log hides files from failed attempts.
+``trigger(availableNow=True)`` names the new files, and every micro-batch
+reads them with the batch job's own reader (each file by its footer schema,
+the same casts and errors), gate and layout.
+
+A batch is written as the partition ``load_batch=<id>`` of the fact with
+dynamic overwrite.  The checkpoint fixes which files belong to a batch id, so
+a batch that is run again after a failure replaces exactly its own rows:
+every file counts once.  The checkpoint lies beside the data of its fact
+(``_load_checkpoint``, which readers skip), so two facts loaded from one
+folder don't share progress.
 """
 
 from __future__ import annotations
@@ -18,62 +20,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from farelens.functions.features import add_features
-from farelens.operators.quality import quality_filter
-from farelens.schema import FACT_COLUMNS, RAW_SCHEMA
-from farelens.session import storage_root
-from farelens.sources.io import PARTITION_COL
+from farelens.plans.etl import transform
+from farelens.sources import io
 
+LOAD_BATCH = "load_batch"
+# Files of one micro-batch; their names are all that reaches the driver.
+FILES_PER_BATCH = 1_000
+# Fixed columns of Spark's binary file source.
+_FILE = "path string, modificationTime timestamp, length long, content binary"
 
-def raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New raw trip files under ``raw_dir`` as a stream (fixed schema)."""
-    reader = spark.readStream.schema(RAW_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(raw_dir)
 
+def new_files(spark: SparkSession, raw_dir: str, max_files: int = FILES_PER_BATCH) -> DataFrame:
+    """Paths of new raw files under ``raw_dir`` as a stream (contents are not read)."""
+    return (spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
+            .option("maxFilesPerTrigger", str(max_files)).load(raw_dir).select("path"))
 
-def fact_stream(raw: DataFrame) -> DataFrame:
-    """The fact rows of a raw stream, with the date partition column."""
-    fact = quality_filter(add_features(raw)).select(*FACT_COLUMNS)
-    return fact.withColumn(PARTITION_COL, F.to_date(F.col("pickup_datetime")))
+
+def load_batch(spark: SparkSession, files: list[str], batch_id: int, fact_path: str) -> int:
+    """Write the fact rows of ``files`` as one batch partition; returns the raw rows read."""
+    raw = io.read_raw(spark, *files)
+    fact, _ = transform(raw, cluster=True)
+    io.write_fact_parquet(fact.withColumn(LOAD_BATCH, F.lit(batch_id).cast("long")), fact_path,
+                          dynamic_overwrite=True, partition_first=LOAD_BATCH)
+    return raw.count()
 
 
 def start_incremental_load(spark: SparkSession, raw_dir: str, fact_path: str,
-                           checkpoint_location: str | None = None,
-                           available_now: bool = True) -> StreamingQuery:
+                           checkpoint_location: str | None = None, available_now: bool = True,
+                           rows_read: dict[int, int] | None = None) -> StreamingQuery:
     """Start the load; with ``available_now`` it stops once caught up.
 
-    The checkpoint defaults to a folder under the shared storage root; it
-    must live on storage every executor and the driver can reach.
+    The checkpoint must live on storage every executor and the driver can
+    reach; it defaults to a folder inside ``fact_path``.
     """
-    ckpt = checkpoint_location or f"{storage_root(spark)}/streams/fact_load"
-    writer = (fact_stream(raw_stream(spark, raw_dir)).writeStream
-              .format("parquet")
-              .partitionBy(PARTITION_COL)
-              .option("path", fact_path)
-              .option("checkpointLocation", ckpt)
-              .outputMode("append"))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
-    return writer.start()
+    ckpt = checkpoint_location or f"{fact_path.rstrip('/')}/_load_checkpoint"
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        files = [r.path for r in batch.collect()]
+        n = load_batch(spark, files, batch_id, fact_path) if files else 0
+        if rows_read is not None:
+            rows_read[batch_id] = n
 
-def _input_rows_by_batch(query: StreamingQuery, seen: dict[int, int]) -> None:
-    for progress in query.recentProgress:
-        get = progress.get if isinstance(progress, dict) else lambda k, d=None: getattr(progress, k, d)
-        seen[int(get("batchId", -1))] = int(get("numInputRows", 0) or 0)
+    writer = new_files(spark, raw_dir).writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
+    return writer.start()
 
 
 def run_incremental_load(spark: SparkSession, raw_dir: str, fact_path: str,
-                         checkpoint_location: str | None = None, poll_seconds: float = 0.5) -> int:
-    """One scheduled run: process what arrived, wait; return raw rows read.
-
-    Progress is collected per batch id while the run goes on, since a query
-    keeps only its most recent progress reports.
-    """
-    query = start_incremental_load(spark, raw_dir, fact_path, checkpoint_location)
-    seen: dict[int, int] = {}
-    while not query.awaitTermination(poll_seconds):
-        _input_rows_by_batch(query, seen)
-    _input_rows_by_batch(query, seen)
-    return sum(seen.values())
+                         checkpoint_location: str | None = None) -> int:
+    """One scheduled run: process what arrived, wait; return raw rows read."""
+    rows: dict[int, int] = {}
+    start_incremental_load(spark, raw_dir, fact_path, checkpoint_location, rows_read=rows).awaitTermination()
+    return sum(rows.values())

@@ -31,19 +31,57 @@ def test_read_raw_casts_and_checks(spark, scratch_root):
     path = f"{scratch_root}/t/{uuid.uuid4().hex}/raw"
     raw = (raw_trips(spark, SF001)
            .withColumn("payment_type", F.col("payment_type").cast("double"))
+           .withColumn("tip_amount", F.when(F.col("trip_key") == 2, float("nan")).otherwise(F.col("tip_amount")))
            .withColumn("VendorID", F.when(F.col("trip_key") == 1, F.lit("bad")).otherwise(F.col("VendorID").cast("string"))))
     raw.write.parquet(path)
     got = io.read_raw(spark, path)
-    assert got.columns == RAW_COLUMNS
+    assert got.columns == RAW_COLUMNS + ["uncastable"]
     assert dict(got.dtypes)["payment_type"] == "int"
-    assert got.filter(F.col("VendorID").isNull()).count() == 1          # the bad value, not a failed job
-    bad = f"{scratch_root}/t/{uuid.uuid4().hex}/bad"
-    raw.drop("tip_amount").write.parquet(bad)
-    try:
-        io.read_raw(spark, bad)
-        raise AssertionError("missing column not reported")
-    except io.SchemaMismatch:
-        pass
+    assert got.filter("uncastable = 'VendorID' and VendorID is null").count() == 1   # the bad value, not a failed job
+    assert got.filter("uncastable = 'tip_amount'").count() == 1                      # NaN is no amount
+    assert got.filter("uncastable <> ''").count() == 2
+
+
+@pytest.mark.parametrize("column", ["total_amount", "tip_amount"])
+@pytest.mark.parametrize("last", [True, False])
+def test_a_month_without_a_column_is_an_error(spark, scratch_root, column, last):
+    base = f"{scratch_root}/t/{uuid.uuid4().hex}"
+    raw = raw_trips(spark, SF001).drop("trip_key")
+    whole, poor = ("2024-01", "2024-02") if last else ("2024-02", "2024-01")
+    raw.write.parquet(f"{base}/{whole}")
+    raw.drop(column).write.parquet(f"{base}/{poor}")
+    with pytest.raises(io.SchemaMismatch, match=column):
+        io.read_raw(spark, f"{base}/{whole}", f"{base}/{poor}")
+    with pytest.raises(io.SchemaMismatch):
+        run_etl(spark, EtlConfig(raw_paths=[base], fact_path=f"{base}_fact"), build_views=False)
+
+
+def test_months_with_different_code_types_line_up(spark, scratch_root):
+    base = f"{scratch_root}/t/{uuid.uuid4().hex}"
+    raw = raw_trips(spark, SF001).drop("trip_key")
+    for month, kind in (("2024-01", "int"), ("2024-02", "bigint"), ("2024-03", "double")):
+        raw.withColumn("payment_type", F.col("payment_type").cast(kind)).write.parquet(f"{base}/{month}")
+    got = io.read_raw(spark, base).drop("uncastable")
+    assert _rows(got) == _rows(raw.unionByName(raw).unionByName(raw))
+
+
+def test_lake_keeps_months_and_columns(spark, scratch_root):
+    from farelens.plans.etl import extract
+
+    base = f"{scratch_root}/t/{uuid.uuid4().hex}"
+    raw = raw_trips(spark, SF001)
+    raw.withColumn("extra", F.lit("x")).write.parquet(f"{base}/in/trips_2024-01.parquet")
+    raw.withColumn("VendorID", F.col("VendorID").cast("long")).write.parquet(f"{base}/in/trips_2024-02.parquet")
+    assert extract(spark, [f"{base}/in/trips_2024-01.parquet"], f"{base}/lake").count() == 1_000
+    assert extract(spark, [f"{base}/in/trips_2024-02.parquet"], f"{base}/lake").count() == 2_000
+    assert extract(spark, [f"{base}/in/trips_2024-01.parquet"], f"{base}/lake").count() == 2_000
+    months = {m: spark.read.parquet(f"{base}/lake/load_month={m}") for m in ("2024-01", "2024-02")}
+    assert "extra" in months["2024-01"].columns and months["2024-01"].filter("extra = 'x'").count() == 1_000
+    assert dict(months["2024-02"].dtypes)["VendorID"] == "bigint"
+    raw.write.parquet(f"{base}/in/nameless")
+    with pytest.raises(ValueError, match="month"):
+        extract(spark, [f"{base}/in/nameless"], f"{base}/lake")
+    assert extract(spark, [f"{base}/in/nameless"], f"{base}/lake", month="2024-03").count() == 3_000
 
 
 def test_fact_parquet_rerun_is_identical(spark, scratch_root):
@@ -93,6 +131,12 @@ def test_jdbc_options():
     opts = io.jdbc_options("jdbc:postgresql://host:5432/db", "fact_trips", "u", "p",
                            "org.postgresql.Driver", num_partitions=16)
     assert opts["truncate"] == "true" and opts["numPartitions"] == "16" and opts["dbtable"] == "fact_trips"
+    assert io.jdbc_options("u", "t", "u", "p", "d")["numPartitions"] == str(io.JDBC_WRITERS)
+    ranges = io.jdbc_read_options(opts, column="trip_id", bounds=(1, 10**9), partitions=64)
+    assert (ranges["partitionColumn"], ranges["lowerBound"], ranges["upperBound"], ranges["numPartitions"]) == \
+        ("trip_id", "1", "1000000000", "64") and ranges["dbtable"] == "fact_trips"
+    with pytest.raises(ValueError):
+        io.jdbc_read_options(opts)
     read = io.jdbc_read_options(opts, query="SELECT * FROM v_kpi_summary")
     assert "dbtable" not in read and "truncate" not in read and "batchsize" not in read
     assert read["query"] == "SELECT * FROM v_kpi_summary" and read["url"] == opts["url"]
@@ -100,7 +144,7 @@ def test_jdbc_options():
 
 def test_run_etl_counts_and_views(spark, scratch_root):
     base = f"{scratch_root}/t/{uuid.uuid4().hex}"
-    src = f"{base}/src"
+    src = f"{base}/src/2024-01"
     raw_trips(spark, SF01).drop("trip_key").write.parquet(src)
     cfg = EtlConfig(raw_paths=[src], fact_path=f"{base}/fact", lake_path=f"{base}/lake",
                     fact_table=f"fact_{uuid.uuid4().hex[:8]}")
@@ -144,7 +188,7 @@ def test_object_store_conf():
     assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
 
 
-@pytest.mark.parametrize("cluster", [True, False])
+@pytest.mark.parametrize("cluster", [True, False, None])
 def test_run_etl_counts_with_and_without_rebalance(spark, scratch_root, cluster):
     base = f"{scratch_root}/t/{uuid.uuid4().hex}"
     cfg = EtlConfig(raw_paths=[], fact_path=f"{base}/fact", cluster_fact=cluster)
@@ -155,18 +199,32 @@ def test_run_etl_counts_with_and_without_rebalance(spark, scratch_root, cluster)
     assert _rows(back) == _rows(build_fact(raw_trips(spark, SF01)))
 
 
-def test_rebalance_is_hashed_by_date_without_sampling(spark):
+def test_gate_runs_before_the_rebalance(spark, scratch_root):
     from farelens.plans.etl import transform
 
-    fact, _, _ = transform(raw_trips(spark, SF001).drop("trip_key"), cluster=True)
-    jvm = spark._jvm
-    plan = jvm.PythonSQLUtils.explainString(fact._jdf.queryExecution(), "formatted")
+    path = f"{scratch_root}/t/{uuid.uuid4().hex}/raw"
+    raw_trips(spark, SF001).drop("trip_key").write.parquet(path)
+    fact, _ = transform(io.read_raw(spark, path), cluster=True)
+    plan = spark._jvm.PythonSQLUtils.explainString(fact._jdf.queryExecution(), "formatted")
     assert "REBALANCE_PARTITIONS_BY_COL" in plan and "hashpartitioning(pickup_date" in plan
     assert "rangepartitioning" not in plan
-    # Only fact columns (and the date) cross the exchange; raw timestamps are pruned.
+    pushed = next(line for line in plan.splitlines() if "PushedFilters" in line)
+    for test in ("GreaterThan(total_amount,0.0)", "GreaterThanOrEqual(trip_distance,0.0)", "LessThan(trip_distance,100.0)"):
+        assert test in pushed
+    # The tree is printed from the top: the gate stands below the exchange.
+    tree = plan[:plan.index("\n\n")]
+    assert tree.index("Exchange") < tree.index("Filter")
     lines = plan.splitlines()
-    exchange_input = next(lines[i + 1] for i, l in enumerate(lines) if l.startswith("(") and "Exchange" in l)
-    assert "lpep_pickup_datetime" not in exchange_input and "pickup_date" in exchange_input
+    crossing = next(lines[i + 1] for i, line in enumerate(lines) if line.startswith("(") and "Exchange" in line)
+    assert crossing.count("#") <= 8 and "pickup_date" in crossing
+
+
+def test_date_order_is_recognised(spark):
+    from farelens.plans.etl import in_date_order
+
+    raw = raw_trips(spark, SF01)
+    assert in_date_order(raw.sort("lpep_pickup_datetime"))
+    assert not in_date_order(raw.repartition(16))
 
 
 def test_command_line_jobs(spark, scratch_root):
@@ -174,9 +232,11 @@ def test_command_line_jobs(spark, scratch_root):
 
     base = f"{scratch_root}/t/{uuid.uuid4().hex}"
     raw_trips(spark, SF01).drop("trip_key").write.parquet(f"{base}/src")
-    ex = main(["extract", "--src", f"{base}/src", "--lake", f"{base}/lake"])
+    ex = main(["extract", "--src", f"{base}/src", "--lake", f"{base}/lake", "--month", "2024-01"])
     assert ex["rows"] == 10_000
-    ld = main(["load", "--raw", f"{base}/lake", "--fact", f"{base}/fact"])
+    database = f"trips_{uuid.uuid4().hex[:8]}"
+    ld = main(["load", "--raw", f"{base}/lake", "--fact", f"{base}/fact", "--database", database])
+    assert spark.newSession().sql(f"SELECT total_trips FROM {database}.v_kpi_summary").first().total_trips == 8_822
     assert (ld["raw_rows"], ld["clean_rows"], ld["removed_rows"], ld["removed_pct"]) == (10_000, 8_822, 1_178, 11.78)
     assert io.read_fact_parquet(spark, f"{base}/fact").count() == 8_822
 

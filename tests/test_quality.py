@@ -54,11 +54,12 @@ def test_split_counts(spark):
     assert (row.raw_rows, row.clean_rows, row.removed_rows, row.removed_pct) == (10_000, 8_822, 1_178, 11.78)
 
 
-def test_observed_filter_counts_ride_on_one_action(spark):
-    clean, raw_obs, clean_obs = quality.observed_filter(_featured(spark))
-    clean.write.format("noop").mode("overwrite").save()
-    assert raw_obs.get["rows"] == 10_000
-    assert clean_obs.get["rows"] == 8_822
+def test_uncastable_rows_are_counted_and_named(spark):
+    featured = _featured(spark).withColumn("uncastable", F.when(F.col("trip_key") % 100 == 0, "VendorID").otherwise(""))
+    assert quality.rule_failure_counts(featured).first().fail_values_castable == 100
+    rejected = quality.quality_rejects(featured).filter(F.col("trip_key") % 100 == 0).collect()
+    assert len(rejected) == 100 and all("values_castable" in r.reject_reasons for r in rejected)
+    assert quality.quality_filter(featured).filter(F.col("trip_key") % 100 == 0).count() == 0
 
 
 def test_boundaries(spark):
