@@ -3,8 +3,8 @@
 Each feature is a Spark SQL expression over raw (or earlier derived)
 columns; ``add_features`` applies one ``selectExpr`` per dependency level,
 so the whole feature set compiles to one Project inside whole-stage codegen
-and the plan is built with a handful of driver calls.  The ``Column``
-wrappers (``time_of_day()`` ...) serve callers composing their own selects.
+and the plan is built with a handful of driver calls.  ``feature(name)``
+gives one of them as a ``Column``.
 
 NULL behaviour follows the original ``when``/``otherwise`` chains: a NULL
 input falls through to the ``otherwise`` label.
@@ -186,27 +186,6 @@ def feature(name: str, **kwargs) -> Column:
     return F.expr(FEATURE_SQL[name](**kwargs))
 
 
-# Column forms, for callers composing their own selects.
-def pickup_datetime() -> Column: return feature("pickup_datetime")
-def dropoff_datetime() -> Column: return feature("dropoff_datetime")
-def trip_hour() -> Column: return feature("trip_hour")
-def trip_weekday() -> Column: return feature("trip_weekday")
-def trip_month() -> Column: return feature("trip_month")
-def trip_day() -> Column: return feature("trip_day")
-def trip_duration_min(**kw) -> Column: return feature("trip_duration_min", **kw)
-def time_of_day(**kw) -> Column: return feature("time_of_day", **kw)
-def is_weekend(**kw) -> Column: return feature("is_weekend", **kw)
-def day_type(**kw) -> Column: return feature("day_type", **kw)
-def avg_speed_mph(**kw) -> Column: return feature("avg_speed_mph", **kw)
-def fare_per_mile(**kw) -> Column: return feature("fare_per_mile", **kw)
-def fare_per_minute(**kw) -> Column: return feature("fare_per_minute", **kw)
-def distance_category(**kw) -> Column: return feature("distance_category", **kw)
-def fare_category(**kw) -> Column: return feature("fare_category", **kw)
-def tip_percentage(**kw) -> Column: return feature("tip_percentage", **kw)
-def payment_type_name(code: str = "payment_type") -> Column: return feature("payment_type_name", code=code)
-def vendor_name(code: str = "VendorID") -> Column: return feature("vendor_name", code=code)
-
-
 # Feature groups, one per derived-column family; used by the per-feature
 # checks.  Each maps to the derived columns it produces.
 FEATURE_GROUPS = {

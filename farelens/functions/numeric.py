@@ -1,9 +1,10 @@
-"""Rounding and share helpers shared by features, views and reports.
+"""Rounding, sums and shares shared by views, reports and the rollup.
 
 Row-level features use Spark's own ``round`` on doubles (half-up on the
-shortest decimal form), exactly what the original transform does.  Aggregates
-are rounded through a decimal so that results do not depend on summation
-order: ``round(cast(avg AS decimal(38,6)), 2)``, returned as double.
+shortest decimal form), exactly what the original transform does.  Measures
+are summed as decimals, which is exact and does not depend on the order of
+the rows, and rounded once, half-up, like the warehouse's
+``ROUND(x::numeric, 2)``.
 """
 
 from __future__ import annotations
@@ -11,40 +12,56 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-AGG_DECIMAL = "decimal(38,6)"
+# Measures carry at most a few decimals (amounts two, minutes a 60th); sums of
+# 1e18 rows of up to 1e11 still fit.
+MEASURE = "decimal(28,8)"
+# What a double or a quotient is rounded from: one rounding, at the 2nd place.
+WIDE = "decimal(38,18)"
 
 
-def round2(col: Column) -> Column:
-    """Row-level 2-dp rounding (half-up), double in, double out."""
-    return F.round(col, 2)
+def exact(col: Column) -> Column:
+    """A measure as an exact decimal (NULL stays NULL).
+
+    Raw values that are no finite amounts are counted and rejected by the
+    gate (``values_castable``).  What remains is a rate that overflows, such
+    as a fare over a vanishing distance; that row alone has no rate then.
+    """
+    return col.try_cast(MEASURE)
 
 
 def agg2(col: Column) -> Column:
-    """2-dp rounding of an aggregate via decimal; double result.
+    """Round once to 2 places, half-up; returns a double (NaN and infinities: NULL)."""
+    return F.round(col.try_cast(WIDE), 2).cast("double")
+
+
+def exact_sum(col: Column) -> Column:
+    return F.sum(exact(col))
+
 
-    The decimal step hides last-bit differences between partial-aggregation
-    orders, as the warehouse's ``ROUND(x::numeric, 2)`` did.  ``try_cast``:
-    a NaN or infinite aggregate gives NULL instead of failing the job under
-    ANSI mode.
+def exact_avg(total: Column, count: Column) -> Column:
+    """total / count with 16 decimals, NULL for no rows.
+
+    The operand widths leave Spark's division that many (sums below 1e22,
+    fewer than 1e13 rows).
     """
-    return F.round(col.try_cast(AGG_DECIMAL), 2).cast("double")
+    return F.try_divide(total.cast("decimal(30,8)"), count.cast("decimal(13,0)"))
 
 
-def avg2(column: str) -> Column:
-    """AVG of a column (NULLs ignored), rounded like an aggregate."""
-    return agg2(F.avg(F.col(column)))
+def avg_of(col: Column) -> Column:
+    """AVG (NULLs ignored), not rounded yet."""
+    return exact_avg(exact_sum(col), F.count(col))
 
 
-def sum2(column: str) -> Column:
-    """SUM of a column, rounded like an aggregate."""
-    return agg2(F.sum(F.col(column)))
+def avg2(column: str) -> Column:
+    """AVG of a column, rounded once."""
+    return agg2(avg_of(F.col(column)))
 
 
-def ratio(num: Column, den: Column) -> Column:
-    """num / den as double; NULL (not an error) when den is 0 under ANSI."""
-    return F.try_divide(num.cast("double"), den.cast("double"))
+def sum2(column: str) -> Column:
+    """SUM of a column, rounded once."""
+    return agg2(exact_sum(F.col(column)))
 
 
 def share_pct(count: Column, total: Column) -> Column:
-    """100 * count / total, rounded to 2 dp like an aggregate."""
-    return agg2(ratio(F.lit(100) * count, total))
+    """100 * count / total as an exact decimal, rounded once."""
+    return agg2(F.try_divide((F.lit(100) * count).cast("decimal(20,0)"), total.cast("decimal(20,0)")))

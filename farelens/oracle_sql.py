@@ -10,12 +10,15 @@ Engine differences handled here:
 - Row-level rounding reproduces Spark's ``round`` on doubles: half-up on the
   shortest decimal form of the double (DuckDB prints that form too), so
   14.624999999999998 rounds to 14.62, not to 14.63 as a decimal cast would.
-- Aggregates are rounded through DECIMAL(38,6), as on the Spark side.
+- Aggregates are worked out in whole units of 1e-8 (HUGEINT) and rounded
+  once, half away from zero, by integer division.
 - ``hour``/``month``/... are BIGINT in DuckDB and INT in Spark: cast.
 """
 
 from __future__ import annotations
 
+from farelens.plans.view_specs import SPECS, order_terms, render
+
 
 def r2(x: str) -> str:
     """Row-level 2-dp rounding, half-up on the shortest decimal form."""
@@ -23,12 +26,33 @@ def r2(x: str) -> str:
 
 
 def a2(x: str) -> str:
-    """Aggregate 2-dp rounding."""
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38,6)), 2) AS DOUBLE)"
+    """2-dp rounding of a double that is not a sum (minimum, ratio)."""
+    return r2(x)
+
+
+def cents(units: str, parts: str) -> str:
+    """units * 1e-8 / parts, rounded once to 2 places; NULL for no parts."""
+    return (f"CAST(CASE WHEN {units} < 0 THEN -((-2 * {units} + 1000000 * {parts}) // (2000000 * {parts})) "
+            f"ELSE (2 * {units} + 1000000 * {parts}) // (2000000 * {parts}) END AS DOUBLE) / 100")
+
+
+def units(x: str) -> str:
+    """A measure's sum in whole units of 1e-8."""
+    return f"SUM(CAST(ROUND({x} * 100000000) AS HUGEINT))"
+
+
+def avg(x: str) -> str:
+    return cents(units(x), f"CAST(COUNT({x}) AS HUGEINT)")
+
+
+def total(x: str) -> str:
+    return cents(units(x), "CAST(1 AS HUGEINT)")
 
 
-def share(count: str, total: str) -> str:
-    return a2(f"CAST(100 * {count} AS DOUBLE) / CAST({total} AS DOUBLE)")
+def share(count: str, of: str) -> str:
+    """100 * count / of, rounded once to 2 places."""
+    n, t = f"CAST({count} AS HUGEINT)", f"CAST({of} AS HUGEINT)"
+    return f"CAST((20000 * {n} + {t}) // (2 * {t}) AS DOUBLE) / 100"
 
 
 RAW_TRIPS = """
@@ -155,123 +179,15 @@ def with_base(body: str, *extra: str) -> str:
 # ---------------------------------------------------------------------------
 # Views
 # ---------------------------------------------------------------------------
-VIEWS = {
-    "v_trips_by_time_of_day": f"""
-SELECT time_of_day, COUNT(*) AS trip_count,
-  {a2("AVG(total_amount)")} AS avg_fare,
-  {a2("AVG(trip_distance)")} AS avg_distance,
-  {a2("AVG(trip_duration_min)")} AS avg_duration_min,
-  {a2("SUM(total_amount)")} AS total_revenue
-FROM fact GROUP BY time_of_day""",
-    "v_weekend_weekday_comparison": f"""
-SELECT day_type, COUNT(*) AS trip_count,
-  {a2("AVG(total_amount)")} AS avg_fare,
-  {a2("AVG(trip_distance)")} AS avg_distance,
-  {a2("AVG(tip_percentage)")} AS avg_tip_pct,
-  {a2("SUM(total_amount)")} AS total_revenue
-FROM fact GROUP BY day_type""",
-    "v_distance_category_dist": f"""
-SELECT distance_category, COUNT(*) AS trip_count,
-  {share("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS percentage,
-  {a2("AVG(total_amount)")} AS avg_fare,
-  {a2("AVG(trip_duration_min)")} AS avg_duration
-FROM fact GROUP BY distance_category""",
-    "v_fare_category_breakdown": f"""
-SELECT fare_category, COUNT(*) AS trip_count,
-  {share("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS percentage,
-  {a2("AVG(trip_distance)")} AS avg_distance,
-  {a2("AVG(tip_percentage)")} AS avg_tip_pct
-FROM fact GROUP BY fare_category""",
-    "v_avg_speed_by_hour": f"""
-SELECT trip_hour, COUNT(*) AS trip_count,
-  {a2("AVG(avg_speed_mph)")} AS avg_speed_mph,
-  {a2("AVG(trip_duration_min)")} AS avg_duration_min
-FROM fact WHERE avg_speed_mph IS NOT NULL GROUP BY trip_hour""",
-    "v_tip_by_payment": f"""
-SELECT payment_type_name, COUNT(*) AS trip_count,
-  {a2("AVG(tip_percentage)")} AS avg_tip_pct,
-  {a2("AVG(tip_amount)")} AS avg_tip_amount,
-  {a2("SUM(tip_amount)")} AS total_tips
-FROM fact GROUP BY payment_type_name""",
-    "v_vendor_performance": f"""
-SELECT vendor_name, COUNT(*) AS total_trips,
-  {a2("AVG(total_amount)")} AS avg_fare,
-  {a2("AVG(trip_distance)")} AS avg_distance,
-  {a2("AVG(avg_speed_mph)")} AS avg_speed_mph,
-  {a2("AVG(tip_percentage)")} AS avg_tip_pct,
-  {a2("SUM(total_amount)")} AS total_revenue
-FROM fact GROUP BY vendor_name""",
-    "v_fare_efficiency": f"""
-SELECT time_of_day, day_type,
-  {a2("AVG(fare_per_mile)")} AS avg_fare_per_mile,
-  {a2("AVG(fare_per_minute)")} AS avg_fare_per_minute,
-  COUNT(*) AS trip_count
-FROM fact WHERE fare_per_mile IS NOT NULL AND fare_per_minute IS NOT NULL
-GROUP BY time_of_day, day_type""",
-    "v_hourly_revenue": f"""
-SELECT trip_hour, COUNT(*) AS trip_count,
-  {a2("SUM(total_amount)")} AS total_revenue,
-  {a2("AVG(total_amount)")} AS avg_fare,
-  {a2("SUM(tip_amount)")} AS total_tips
-FROM fact GROUP BY trip_hour""",
-    "v_daily_summary": f"""
-SELECT trip_day, COUNT(*) AS total_trips,
-  {a2("SUM(total_amount)")} AS total_revenue,
-  {a2("AVG(total_amount)")} AS avg_fare,
-  {a2("AVG(trip_distance)")} AS avg_distance,
-  {a2("AVG(trip_duration_min)")} AS avg_duration_min
-FROM fact GROUP BY trip_day""",
-    "v_kpi_summary": f"""
-SELECT COUNT(*) AS total_trips,
-  {a2("SUM(total_amount)")} AS total_revenue,
-  {a2("AVG(total_amount)")} AS avg_fare,
-  {a2("AVG(trip_distance)")} AS avg_distance_miles,
-  {a2("AVG(trip_duration_min)")} AS avg_duration_minutes,
-  {a2("AVG(avg_speed_mph)")} AS avg_speed_mph,
-  {a2("AVG(tip_percentage)")} AS avg_tip_percentage,
-  {a2("SUM(tip_amount)")} AS total_tips
-FROM fact""",
-    "v_trips_by_hour": f"""
-SELECT trip_hour, COUNT(*) AS total_trips,
-  {a2("AVG(trip_distance)")} AS avg_distance,
-  {a2("AVG(total_amount)")} AS avg_fare
-FROM fact GROUP BY trip_hour""",
-    "v_trips_by_weekday": f"""
-SELECT trip_weekday,
-  CASE trip_weekday WHEN 1 THEN 'Sunday' WHEN 2 THEN 'Monday' WHEN 3 THEN 'Tuesday'
-    WHEN 4 THEN 'Wednesday' WHEN 5 THEN 'Thursday' WHEN 6 THEN 'Friday' WHEN 7 THEN 'Saturday' END AS day_name,
-  COUNT(*) AS total_trips,
-  {a2("AVG(trip_distance)")} AS avg_distance,
-  {a2("AVG(total_amount)")} AS avg_fare
-FROM fact GROUP BY trip_weekday""",
-    "v_payment_distribution": f"""
-SELECT f.payment_type, COALESCE(p.payment_desc, 'Unknown') AS payment_desc,
-  COUNT(*) AS total_trips,
-  {share("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS percentage,
-  {a2("SUM(f.total_amount)")} AS total_revenue
-FROM fact f LEFT JOIN dim_payment_type p ON f.payment_type = p.payment_type
-GROUP BY f.payment_type, p.payment_desc""",
-    "v_avg_duration_by_hour": f"""
-SELECT trip_hour, COUNT(*) AS total_trips,
-  {a2("AVG(trip_duration_min)")} AS avg_duration_min,
-  {a2("MIN(trip_duration_min)")} AS min_duration_min,
-  {a2("MAX(trip_duration_min)")} AS max_duration_min
-FROM fact WHERE trip_duration_min > 0 AND trip_duration_min < 180 GROUP BY trip_hour""",
-    "v_daily_summary_by_date": f"""
-SELECT CAST(pickup_datetime AS DATE) AS trip_date, COUNT(*) AS total_trips,
-  {a2("SUM(total_amount)")} AS total_revenue,
-  {a2("AVG(trip_distance)")} AS avg_distance,
-  {a2("AVG(trip_duration_min)")} AS avg_duration_min
-FROM fact GROUP BY CAST(pickup_datetime AS DATE)""",
-    "v_vendor_performance_by_id": f"""
-SELECT f.VendorID AS vendor_id, COALESCE(v.vendor_name, 'Unknown') AS vendor_name,
-  COUNT(*) AS total_trips,
-  {a2("AVG(f.trip_distance)")} AS avg_distance,
-  {a2("AVG(f.total_amount)")} AS avg_fare,
-  {a2("AVG(f.trip_duration_min)")} AS avg_duration_min
-FROM fact f LEFT JOIN dim_vendor v ON f.VendorID = v.vendor_id
-GROUP BY f.VendorID, v.vendor_name""",
-}
+def measure(kind: str, column: str) -> str:
+    return {"n": lambda: "COUNT(*)", "avg": lambda: avg(column), "sum": lambda: total(column),
+            "min": lambda: a2(f"MIN({column})"), "max": lambda: a2(f"MAX({column})"),
+            "share": lambda: share("COUNT(*)", "SUM(COUNT(*)) OVER ()")}[kind]()
+
+
+VIEWS = {name: "\n" + render(spec, measure) for name, spec in SPECS.items()}
+SORTED_VIEWS = {name: f"\nSELECT *, row_number() OVER (ORDER BY {', '.join(order_terms(spec))}) AS position\n"
+                      f"FROM ({VIEWS[name]})" for name, spec in SPECS.items() if spec.order}
 
 
 def view_cte(name: str) -> str:
@@ -347,8 +263,7 @@ def statements() -> dict[str, str]:
         f"SELECT trip_key, {FACT_COLUMNS}, concat_ws(',', {reasons}) AS reject_reasons, "
         f"CAST({n_failed} AS INTEGER) AS n_failed_rules\n"
         f"FROM featured WHERE {_fail(CLEAN)}")
-    removed_pct = a2("CAST((COUNT(*) - COUNT(*) FILTER (WHERE " + f"COALESCE({CLEAN}, FALSE)"
-                     + ")) * 100 AS DOUBLE) / CAST(COUNT(*) AS DOUBLE)")
+    removed_pct = share(f"(COUNT(*) - COUNT(*) FILTER (WHERE COALESCE({CLEAN}, FALSE)))", "COUNT(*)")
     out["etl_counts"] = with_base(
         f"SELECT COUNT(*) AS raw_rows,\n"
         f"  COUNT(*) FILTER (WHERE COALESCE({CLEAN}, FALSE)) AS clean_rows,\n"
@@ -374,7 +289,7 @@ def statements() -> dict[str, str]:
     out["r_time_of_day_share"] = with_base(f"""
 SELECT time_of_day, COUNT(*) AS trip_count,
   {share("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS percentage,
-  {a2("AVG(total_amount)")} AS avg_fare
+  {avg("total_amount")} AS avg_fare
 FROM fact GROUP BY time_of_day""")
 
     def diff(expr_we: str, expr_wd: str) -> str:
@@ -397,44 +312,42 @@ FROM v_avg_speed_by_hour""")
     out["r_payment_share"] = with_base(f"""
 SELECT payment_type_name, COUNT(*) AS trip_count,
   {share("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS percentage,
-  {a2("AVG(tip_percentage)")} AS avg_tip_pct,
-  {a2("SUM(tip_amount)")} AS total_tips
+  {avg("tip_percentage")} AS avg_tip_pct,
+  {total("tip_amount")} AS total_tips
 FROM fact GROUP BY payment_type_name""")
 
     out["r_vendor_share"] = with_base(f"""
 SELECT vendor_name, COUNT(*) AS trip_count,
   {share("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS market_share,
-  {a2("AVG(total_amount)")} AS avg_fare,
-  {a2("AVG(avg_speed_mph)")} AS avg_speed_mph
+  {avg("total_amount")} AS avg_fare,
+  {avg("avg_speed_mph")} AS avg_speed_mph
 FROM fact GROUP BY vendor_name""")
 
     out["r_peak_hours"] = with_base(f"""
-SELECT trip_hour, COUNT(*) AS trip_count, {a2("SUM(total_amount)")} AS total_revenue
-FROM fact GROUP BY trip_hour
-ORDER BY trip_count DESC, trip_hour ASC NULLS LAST
-LIMIT 5""")
+SELECT trip_hour, COUNT(*) AS trip_count, {total("total_amount")} AS total_revenue,
+  row_number() OVER (ORDER BY COUNT(*) DESC, trip_hour ASC NULLS LAST) AS hour_rank
+FROM fact GROUP BY trip_hour""")
 
-    out["r_top_segments"] = over_view("v_fare_efficiency", """
-SELECT time_of_day, day_type, avg_fare_per_mile, avg_fare_per_minute, trip_count
-FROM v_fare_efficiency
-ORDER BY avg_fare_per_minute DESC NULLS LAST, time_of_day, day_type
-LIMIT 3""")
+    per_minute = f"{units('fare_per_minute')} / CAST(COUNT(fare_per_minute) AS DOUBLE)"
+    out["r_top_segments"] = with_base(f"""
+SELECT time_of_day, day_type, {avg("fare_per_mile")} AS avg_fare_per_mile,
+  {avg("fare_per_minute")} AS avg_fare_per_minute, COUNT(*) AS trip_count,
+  row_number() OVER (ORDER BY {per_minute} DESC NULLS LAST, time_of_day, day_type) AS segment_rank
+FROM fact WHERE fare_per_mile IS NOT NULL AND fare_per_minute IS NOT NULL GROUP BY time_of_day, day_type""")
 
     # Keys and integrity checks
-    out["assign_trip_id"] = with_base(
-        "SELECT row_number() OVER (ORDER BY pickup_datetime, dropoff_datetime, trip_key) AS trip_id, "
-        f"trip_key, {FACT_COLUMNS} FROM fact")
+    out["assign_trip_id"] = with_base("""
+SELECT COUNT(*) AS n_rows, COUNT(*) AS n_ids, 1 AS min_id, COUNT(*) AS max_id, 0 AS n_moved FROM fact""")
     out["check_pk"] = with_base("""
-SELECT trip_id, COUNT(*) AS n_rows FROM (
-  SELECT row_number() OVER (ORDER BY pickup_datetime, dropoff_datetime, trip_key) AS trip_id FROM fact
-) t GROUP BY trip_id HAVING COUNT(*) > 1 OR trip_id IS NULL""")
+SELECT VendorID, pickup_datetime, COUNT(*) AS n_rows FROM fact
+GROUP BY VendorID, pickup_datetime HAVING COUNT(*) > 1 OR VendorID IS NULL OR pickup_datetime IS NULL""")
     out["check_pk_raw_key"] = with_base("""
-SELECT trip_key, COUNT(*) AS n_rows FROM raw_trips
-GROUP BY trip_key HAVING COUNT(*) > 1 OR trip_key IS NULL""")
+SELECT trip_distance, payment_type, COUNT(*) AS n_rows FROM raw_trips
+GROUP BY trip_distance, payment_type HAVING COUNT(*) > 1 OR trip_distance IS NULL OR payment_type IS NULL""")
     out["check_fk_payment"] = with_base("""
 SELECT f.payment_type, COUNT(*) AS n_rows FROM fact f
 WHERE f.payment_type IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM dim_payment_type d WHERE d.payment_type = f.payment_type)
+  AND NOT EXISTS (SELECT 1 FROM dim_payment_type d WHERE d.payment_type = f.payment_type AND d.payment_type < 5)
 GROUP BY f.payment_type""")
     out["check_fk_vendor"] = with_base("""
 SELECT f.VendorID AS vendor_id, COUNT(*) AS n_rows FROM fact f
@@ -456,11 +369,32 @@ SELECT o.vendor_id, o.vendor_name FROM (
   SELECT VendorID AS vendor_id, MIN(vendor_name) AS vendor_name FROM fact
   WHERE VendorID IS NOT NULL GROUP BY VendorID
 ) o WHERE NOT EXISTS (SELECT 1 FROM dim_vendor d WHERE d.vendor_id = o.vendor_id)""")
+    # Loaded into a dimension that holds the codes below 4 so far.
     out["dim_payment_upsert"] = with_base("""
-SELECT payment_type, payment_desc FROM dim_payment_type
+SELECT payment_type, payment_desc FROM dim_payment_type WHERE payment_type < 4
 UNION ALL
-SELECT o.payment_type, o.payment_desc FROM (
-  SELECT payment_type, MIN(payment_type_name) AS payment_desc FROM fact
-  WHERE payment_type IS NOT NULL GROUP BY payment_type
-) o WHERE NOT EXISTS (SELECT 1 FROM dim_payment_type d WHERE d.payment_type = o.payment_type)""")
+SELECT payment_type, MIN(payment_type_name) AS payment_desc FROM fact
+WHERE payment_type >= 4 GROUP BY payment_type""")
+
+    # Raw months that differ in schema; the second one also holds values that fit no type.
+    mixed = """SELECT CASE WHEN trip_key % 3 = 2 AND trip_key % 90 = 2 THEN NULL ELSE VendorID END AS VendorID,
+  lpep_pickup_datetime, lpep_dropoff_datetime, trip_distance, total_amount, tip_amount,
+  CASE WHEN trip_key % 3 = 1 AND trip_key % 70 = 1 THEN NULL ELSE payment_type END AS payment_type,
+  CASE WHEN trip_key % 3 = 1 AND trip_key % 70 = 1 THEN 'payment_type'
+       WHEN trip_key % 3 = 2 AND trip_key % 90 = 2 THEN 'VendorID' ELSE '' END AS uncastable
+FROM raw_trips"""
+    out["scan_raw_mixed_months"] = with_base(mixed)
+    out["land_raw_extra_column"] = with_base(f"""
+SELECT {raw_cols}, CASE WHEN trip_key % 2 = 0 THEN CAST(trip_key AS DOUBLE) / 4 END AS congestion_fee FROM raw_trips""")
+    out["land_raw_two_months"] = with_base("""
+SELECT CASE WHEN trip_key % 2 = 0 THEN '2024-01' ELSE '2024-02' END AS load_month, COUNT(*) AS n_rows,
+  MIN(trip_key) AS first_key, MAX(trip_key) AS last_key FROM raw_trips GROUP BY 1""")
+    out["fact_date_range"] = with_base(f"""
+SELECT {FACT_COLUMNS} FROM fact
+WHERE CAST(pickup_datetime AS DATE) BETWEEN (SELECT MIN(CAST(pickup_datetime AS DATE)) + 3 FROM fact)
+  AND (SELECT MIN(CAST(pickup_datetime AS DATE)) + 9 FROM fact)""")
+    for name, (view, select) in TILES.items():
+        out[f"sql_{name}"] = over_view(view, select)
+    for name, body in SORTED_VIEWS.items():
+        out[f"sorted_{name}"] = with_base(body)
     return out

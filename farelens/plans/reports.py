@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens import schema as S
-from farelens.functions.numeric import agg2, ratio
+from farelens.functions.numeric import agg2, avg_of, exact_sum
 from farelens.functions.numeric import avg2 as _avg
 from farelens.functions.numeric import sum2 as _sum
-from farelens.plans.views import rank_of, v_avg_speed_by_hour, v_fare_efficiency, with_share
+from farelens.plans.views import rank_of, v_avg_speed_by_hour, with_share
 
 
 def r_time_of_day_share(fact: DataFrame) -> DataFrame:
@@ -30,13 +30,13 @@ def r_day_type_diff(fact: DataFrame) -> DataFrame:
     wd = F.col("day_type") == S.DAY_TYPE_WEEKDAY
 
     def diff(a: Column, b: Column) -> Column:
-        return agg2((ratio(a, b) - 1) * 100)
+        return agg2((F.try_divide(a.cast("double"), b.cast("double")) - 1) * 100)
 
     def avg_if(cond: Column, c: str) -> Column:
-        return F.avg(F.when(cond, F.col(c)))
+        return avg_of(F.when(cond, F.col(c)))
 
     def sum_if(cond: Column, c: str) -> Column:
-        return F.sum(F.when(cond, F.col(c)))
+        return exact_sum(F.when(cond, F.col(c)))
 
     return fact.agg(
         diff(F.count_if(we), F.count_if(wd)).alias("trip_count_diff_pct"),
@@ -81,20 +81,34 @@ def r_vendor_share(fact: DataFrame) -> DataFrame:
             .orderBy(F.col("trip_count").desc_nulls_last(), "vendor_name"))
 
 
-def r_peak_hours(fact: DataFrame, k: int = 5) -> DataFrame:
-    """R7: the k busiest pickup hours (top-k report; ties by hour)."""
-    return (fact.groupBy("trip_hour")
-            .agg(F.count(F.lit(1)).alias("trip_count"), _sum("total_amount").alias("total_revenue"))
-            .orderBy(F.col("trip_count").desc(), F.col("trip_hour").asc_nulls_last())
-            .limit(k))
+def ranked(df: DataFrame, name: str, *order: Column, k: int | None = None) -> DataFrame:
+    """Adds the position in ``order`` and sorts by it; ``k`` keeps the first k.
 
-
-def r_top_segments(fact: DataFrame, k: int = 3) -> DataFrame:
-    """R8: the k most profitable (day part, day type) segments per minute."""
-    return (v_fare_efficiency(fact)
-            .orderBy(F.col("avg_fare_per_minute").desc_nulls_last(),
-                     F.col("time_of_day").asc_nulls_last(), F.col("day_type").asc_nulls_last())
-            .limit(k))
+    ``df`` is aggregated: the window gathers a row per group in one task.
+    """
+    out = df.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    return (out if k is None else out.filter(F.col(name) <= k)).orderBy(name)
+
+
+def r_peak_hours(fact: DataFrame, k: int | None = None) -> DataFrame:
+    """R7: pickup hours by trips, busiest first (ties by hour); all hours unless ``k`` is given."""
+    hours = fact.groupBy("trip_hour").agg(F.count(F.lit(1)).alias("trip_count"),
+                                          _sum("total_amount").alias("total_revenue"))
+    return ranked(hours, "hour_rank", F.col("trip_count").desc(), F.col("trip_hour").asc_nulls_last(), k=k)
+
+
+def r_top_segments(fact: DataFrame, k: int | None = None) -> DataFrame:
+    """R8: (day part, day type) segments by fare per minute, ranked before rounding."""
+    segments = (fact.filter(F.col("fare_per_mile").isNotNull() & F.col("fare_per_minute").isNotNull())
+                .groupBy("time_of_day", "day_type")
+                .agg(avg_of(F.col("fare_per_mile")).alias("per_mile"),
+                     avg_of(F.col("fare_per_minute")).alias("per_minute"),
+                     F.count(F.lit(1)).alias("trip_count")))
+    order = (F.col("per_minute").desc_nulls_last(), F.col("time_of_day").asc_nulls_last(),
+             F.col("day_type").asc_nulls_last())
+    return ranked(segments, "segment_rank", *order, k=k).select(
+        "segment_rank", "time_of_day", "day_type", agg2(F.col("per_mile")).alias("avg_fare_per_mile"),
+        agg2(F.col("per_minute")).alias("avg_fare_per_minute"), "trip_count")
 
 
 REPORTS = {

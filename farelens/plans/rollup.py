@@ -7,8 +7,8 @@ band, fare band, payment code and vendor code -- keeps, per group, row
 counts, sums and non-NULL counts for every measure, including the filtered
 subsets some views need.  Each view is then a small aggregate over the rows
 of its grouping set.  Averages are rebuilt as sum / non-NULL count, never as
-an average of averages, so the results equal the direct views (rounding to
-2 dp through a decimal absorbs summation-order noise).
+an average of averages; sums are exact decimals, so the results equal the
+direct views.
 
 Spark evaluates grouping sets by expanding each row once per set before the
 map-side partial aggregation, so every task ships at most (its dates + 66)
@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelens import schema as S
-from farelens.functions.numeric import agg2
+from farelens.functions.numeric import agg2, exact_avg, exact_sum
 from farelens.plans.views import day_name, rank_of, with_share
 from farelens.session import ensure_checkpoint_dir
 
@@ -46,6 +46,17 @@ SETS = {
 }
 
 
+# The grouping set that each view reads.
+SET_OF_VIEW = {
+    "v_trips_by_time_of_day": "hour", "v_weekend_weekday_comparison": "date", "v_distance_category_dist": "distance",
+    "v_fare_category_breakdown": "fare", "v_avg_speed_by_hour": "hour", "v_tip_by_payment": "payment",
+    "v_vendor_performance": "vendor", "v_fare_efficiency": "hour", "v_hourly_revenue": "hour",
+    "v_daily_summary": "date", "v_kpi_summary": "date", "v_trips_by_hour": "hour", "v_trips_by_weekday": "date",
+    "v_payment_distribution": "payment", "v_avg_duration_by_hour": "hour", "v_daily_summary_by_date": "date",
+    "v_vendor_performance_by_id": "vendor",
+}
+
+
 def _grouping_id(cols: list[str]) -> int:
     """Spark's grouping_id for a set: one bit per GRAIN column, 1 = not grouped."""
     n = len(GRAIN)
@@ -66,14 +77,15 @@ def _nn(c: str) -> Column:
 
 
 def _sum_if(cond: Column, c: str) -> Column:
-    return F.sum(F.when(cond, F.col(c)))
+    return exact_sum(F.when(cond, F.col(c)))
 
 
-def build_rollup(fact: DataFrame) -> DataFrame:
+def build_rollup(fact: DataFrame, sets: list[str] | None = None) -> DataFrame:
     """One row per group of each grouping set, with every partial measure.
 
     ``grouping_set`` names the set a row belongs to (a NULL key is a real
     group, e.g. a NULL payment code, so the set is told by grouping_id).
+    ``sets`` limits the work to the sets that the wanted views need.
     """
     speed_ok = F.col("avg_speed_mph").isNotNull()
     eff_ok = F.col("fare_per_mile").isNotNull() & F.col("fare_per_minute").isNotNull()
@@ -81,15 +93,15 @@ def build_rollup(fact: DataFrame) -> DataFrame:
     dur_ok = (d > 0) & (d < S.DURATION_VIEW_MAX_MIN)
     return (fact
             .withColumn("trip_date", F.to_date(F.col("pickup_datetime")))
-            .groupingSets([SETS[name] for name in SETS], *GRAIN)
+            .groupingSets([SETS[name] for name in sets or SETS], *GRAIN)
             .agg(_set_name().alias("grouping_set"),
                  F.count(F.lit(1)).alias("n"),
-                 F.sum("total_amount").alias("s_total"), _nn("total_amount").alias("c_total"),
-                 F.sum("trip_distance").alias("s_dist"), _nn("trip_distance").alias("c_dist"),
-                 F.sum("trip_duration_min").alias("s_dur"), _nn("trip_duration_min").alias("c_dur"),
-                 F.sum("tip_amount").alias("s_tip"), _nn("tip_amount").alias("c_tip"),
-                 F.sum("tip_percentage").alias("s_tip_pct"), _nn("tip_percentage").alias("c_tip_pct"),
-                 F.sum("avg_speed_mph").alias("s_speed"), _nn("avg_speed_mph").alias("c_speed"),
+                 exact_sum(F.col("total_amount")).alias("s_total"), _nn("total_amount").alias("c_total"),
+                 exact_sum(F.col("trip_distance")).alias("s_dist"), _nn("trip_distance").alias("c_dist"),
+                 exact_sum(F.col("trip_duration_min")).alias("s_dur"), _nn("trip_duration_min").alias("c_dur"),
+                 exact_sum(F.col("tip_amount")).alias("s_tip"), _nn("tip_amount").alias("c_tip"),
+                 exact_sum(F.col("tip_percentage")).alias("s_tip_pct"), _nn("tip_percentage").alias("c_tip_pct"),
+                 exact_sum(F.col("avg_speed_mph")).alias("s_speed"), _nn("avg_speed_mph").alias("c_speed"),
                  # V5: rows with a speed
                  _sum_if(speed_ok, "trip_duration_min").alias("s_dur_speed"),
                  F.count_if(speed_ok & d.isNotNull()).alias("c_dur_speed"),
@@ -105,7 +117,7 @@ def build_rollup(fact: DataFrame) -> DataFrame:
 
 
 def _avg(s: str, c: str) -> Column:
-    return agg2(F.try_divide(F.sum(s), F.sum(c).cast("double")))
+    return agg2(exact_avg(F.sum(s), F.sum(c)))
 
 
 def _total(s: str) -> Column:
@@ -155,7 +167,7 @@ def views_from_rollup(r: DataFrame, dim_payment: DataFrame, dim_vendor: DataFram
         g["payment"].groupBy("payment_type_name")
         .agg(_n("trip_count"), _avg("s_tip_pct", "c_tip_pct").alias("avg_tip_pct"),
              _avg("s_tip", "c_tip").alias("avg_tip_amount"), _total("s_tip").alias("total_tips"))
-        .orderBy(F.col("avg_tip_pct").desc_nulls_last()))
+        .orderBy(F.col("avg_tip_pct").desc_nulls_last(), F.col("payment_type_name").asc_nulls_last()))
     out["v_vendor_performance"] = (
         g["vendor"].groupBy("vendor_name")
         .agg(_n("total_trips"), _avg("s_total", "c_total").alias("avg_fare"),
@@ -215,23 +227,22 @@ def views_from_rollup(r: DataFrame, dim_payment: DataFrame, dim_vendor: DataFram
         .orderBy(F.col("trip_date").asc_nulls_last()))
     pay = (g["payment"].groupBy("payment_type")
            .agg(_n("total_trips"), _total("s_total").alias("total_revenue"))
-           .join(F.broadcast(dim_payment), on="payment_type", how="left"))
+           .join(dim_payment, on="payment_type", how="left"))
     out["v_payment_distribution"] = (
         with_share(pay, "total_trips")
         .select("payment_type",
                 F.coalesce(F.col("payment_desc"), F.lit(S.DIM_MISSING_LABEL)).alias("payment_desc"),
                 "total_trips", "percentage", "total_revenue")
-        .orderBy(F.col("total_trips").desc_nulls_last()))
+        .orderBy(F.col("total_trips").desc_nulls_last(), F.col("payment_type").asc_nulls_last()))
     ven = (g["vendor"].groupBy("VendorID")
            .agg(_n("total_trips"), _avg("s_dist", "c_dist").alias("avg_distance"),
                 _avg("s_total", "c_total").alias("avg_fare"), _avg("s_dur", "c_dur").alias("avg_duration_min"))
-           .join(F.broadcast(dim_vendor.select(F.col("vendor_id").alias("VendorID"), "vendor_name")),
-                 on="VendorID", how="left"))
+           .join(dim_vendor.select(F.col("vendor_id").alias("VendorID"), "vendor_name"), on="VendorID", how="left"))
     out["v_vendor_performance_by_id"] = (
         ven.select(F.col("VendorID").alias("vendor_id"),
                    F.coalesce(F.col("vendor_name"), F.lit(S.DIM_MISSING_LABEL)).alias("vendor_name"),
                    "total_trips", "avg_distance", "avg_fare", "avg_duration_min")
-        .orderBy(F.col("total_trips").desc_nulls_last()))
+        .orderBy(F.col("total_trips").desc_nulls_last(), F.col("vendor_id").asc_nulls_last()))
     return out
 
 

@@ -23,7 +23,16 @@ TILES: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "tile_kpi": ("v_kpi_summary", lambda v: v),
 }
 
-
-def build_tile(name: str, views: dict[str, DataFrame]) -> DataFrame:
-    view, project = TILES[name]
-    return project(views[view])
+# The same queries as SQL text over the stored views of a database.
+TILE_SQL: dict[str, str] = {
+    "tile_time_of_day": "SELECT time_of_day, trip_count FROM {db}.v_trips_by_time_of_day",
+    "tile_day_type": "SELECT day_type, total_revenue, trip_count FROM {db}.v_weekend_weekday_comparison",
+    "tile_distance": "SELECT distance_category, percentage FROM {db}.v_distance_category_dist",
+    "tile_fare": "SELECT fare_category, percentage FROM {db}.v_fare_category_breakdown",
+    "tile_speed": "SELECT trip_hour, avg_speed_mph FROM {db}.v_avg_speed_by_hour",
+    "tile_tips": "SELECT payment_type_name, avg_tip_pct, total_tips FROM {db}.v_tip_by_payment "
+                 "WHERE payment_type_name != 'Unknown'",
+    "tile_hourly": "SELECT trip_hour, total_revenue, trip_count FROM {db}.v_hourly_revenue",
+    "tile_vendor": "SELECT * FROM {db}.v_vendor_performance",
+    "tile_kpi": "SELECT * FROM {db}.v_kpi_summary",
+}

@@ -104,7 +104,7 @@ def v_tip_by_payment(fact: DataFrame) -> DataFrame:
                  _avg("tip_percentage").alias("avg_tip_pct"),
                  _avg("tip_amount").alias("avg_tip_amount"),
                  _sum("tip_amount").alias("total_tips"))
-            .orderBy(F.col("avg_tip_pct").desc_nulls_last()))
+            .orderBy(F.col("avg_tip_pct").desc_nulls_last(), F.col("payment_type_name").asc_nulls_last()))
 
 
 # V7 -------------------------------------------------------------------------
@@ -203,13 +203,12 @@ def v_payment_distribution(fact: DataFrame, dim_payment: DataFrame) -> DataFrame
     per_code = (fact.groupBy("payment_type")
                 .agg(_count().alias("total_trips"),
                      _sum("total_amount").alias("total_revenue")))
-    # The dimension is a small code table (a few rows, unique key).
-    joined = per_code.join(F.broadcast(dim_payment), on="payment_type", how="left")
+    joined = per_code.join(dim_payment, on="payment_type", how="left")
     return (with_share(joined, "total_trips")
             .select("payment_type",
                     F.coalesce(F.col("payment_desc"), F.lit(S.DIM_MISSING_LABEL)).alias("payment_desc"),
                     "total_trips", "percentage", "total_revenue")
-            .orderBy(F.col("total_trips").desc_nulls_last()))
+            .orderBy(F.col("total_trips").desc_nulls_last(), F.col("payment_type").asc_nulls_last()))
 
 
 # V15 ------------------------------------------------------------------------
@@ -242,12 +241,12 @@ def v_vendor_performance_by_id(fact: DataFrame, dim_vendor: DataFrame) -> DataFr
                      _avg("total_amount").alias("avg_fare"),
                      _avg("trip_duration_min").alias("avg_duration_min")))
     dim = dim_vendor.select(F.col("vendor_id").alias("VendorID"), "vendor_name")
-    joined = per_code.join(F.broadcast(dim), on="VendorID", how="left")
+    joined = per_code.join(dim, on="VendorID", how="left")
     return (joined
             .select(F.col("VendorID").alias("vendor_id"),
                     F.coalesce(F.col("vendor_name"), F.lit(S.DIM_MISSING_LABEL)).alias("vendor_name"),
                     "total_trips", "avg_distance", "avg_fare", "avg_duration_min")
-            .orderBy(F.col("total_trips").desc_nulls_last()))
+            .orderBy(F.col("total_trips").desc_nulls_last(), F.col("vendor_id").asc_nulls_last()))
 
 
 # Views over the fact alone: name -> function.
@@ -284,14 +283,3 @@ def build_views(fact: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFr
     for name, (fn, dim_name) in DIM_VIEWS.items():
         out[name] = fn(fact, dims[dim_name])
     return out
-
-
-def register_views(fact: DataFrame, dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Register the fact, the dimensions and all views as temp views."""
-    fact.createOrReplaceTempView("fact_trips")
-    for name, df in dims.items():
-        df.createOrReplaceTempView(name)
-    views = build_views(fact, dims)
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return views

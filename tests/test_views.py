@@ -107,9 +107,23 @@ def test_kpi_over_empty_fact_is_one_row(fact, dims):
     assert len(rows) == 1 and rows[0].total_trips == 0
 
 
-def test_register_views_sql(spark, fact, dims):
-    V.register_views(fact, dims)
-    got = spark.sql("SELECT time_of_day, trip_count FROM v_trips_by_time_of_day").collect()
-    assert sum(r.trip_count for r in got) == 8_822
-    tips = spark.sql("SELECT payment_type_name FROM v_tip_by_payment WHERE payment_type_name != 'Unknown'")
+def test_stored_views_reach_another_session(spark, fact, dims, all_views, tmp_path_factory):
+    """Views of the catalog outlive the load and equal the direct ones."""
+    import uuid
+
+    from farelens.plans.etl import EtlConfig, run_etl
+    from farelens.session import storage_root
+
+    base = f"{storage_root(spark)}/t/{uuid.uuid4().hex}"
+    database = f"trips_{uuid.uuid4().hex[:8]}"
+    cfg = EtlConfig(raw_paths=[], fact_path=f"{base}/fact", database=database)
+    for _ in range(2):                                   # a second load replaces, nothing doubles
+        run_etl(spark, cfg, raw=raw_trips(spark, SF01).drop("trip_key"))
+    other = spark.newSession()
+    for name, want in all_views.items():
+        got = other.sql(f"SELECT * FROM {database}.{name}")
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want), key=repr), name
+    ordered = [r.trip_hour for r in other.table(f"{database}.v_hourly_revenue").collect()]
+    assert ordered == sorted(ordered)
+    tips = other.sql(f"SELECT payment_type_name FROM {database}.v_tip_by_payment WHERE payment_type_name != 'Unknown'")
     assert tips.count() == 5
