@@ -21,23 +21,18 @@ def check_pk(df: DataFrame, keys: list[str]) -> DataFrame:
             .filter((F.col("n_rows") > 1) | any_null))
 
 
-def check_fk(df: DataFrame, fk: str, dim: DataFrame, dim_key: str,
-             out_name: str | None = None, dim_is_code_table: bool = True) -> DataFrame:
+def check_fk(df: DataFrame, fk: str, dim: DataFrame, dim_key: str, out_name: str | None = None) -> DataFrame:
     """Non-NULL foreign-key values without a dimension row, with row counts.
 
     The fact side is reduced to one row per distinct key first; the anti join
-    then works on distinct keys only.  A code table (a handful of literal
-    rows) is broadcast; any other dimension is left to the planner, which
-    broadcasts only when its measured size is under the threshold.
+    then works on distinct keys only, and the planner broadcasts the
+    dimension when its size allows.
     """
     out = out_name or fk
     per_key = (df.filter(F.col(fk).isNotNull())
                .groupBy(F.col(fk).alias(out))
                .agg(F.count(F.lit(1)).alias("n_rows")))
-    keys = dim.select(F.col(dim_key).alias(out))
-    if dim_is_code_table:
-        keys = F.broadcast(keys)
-    return per_key.join(keys, on=out, how="left_anti")
+    return per_key.join(dim.select(F.col(dim_key).alias(out)), on=out, how="left_anti")
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

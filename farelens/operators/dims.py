@@ -4,16 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farelens import schema as S
 
 
+def _literal_table(spark: SparkSession, rows: list[tuple[int, str]], schema: T.StructType) -> DataFrame:
+    """A few literal rows as a local relation, whose size the planner knows."""
+    values = ", ".join(f"({code}, '{label}')" for code, label in rows)
+    names = ", ".join(f.name for f in schema.fields)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
 def dim_payment_type(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(S.DIM_PAYMENT_TYPE_ROWS, S.DIM_PAYMENT_SCHEMA)
+    return _literal_table(spark, S.DIM_PAYMENT_TYPE_ROWS, S.DIM_PAYMENT_SCHEMA)
 
 
 def dim_vendor(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(S.DIM_VENDOR_ROWS, S.DIM_VENDOR_SCHEMA)
+    return _literal_table(spark, S.DIM_VENDOR_ROWS, S.DIM_VENDOR_SCHEMA)
 
 
 def insert_if_absent(existing: DataFrame, offered: DataFrame, key: str,

@@ -1,53 +1,48 @@
-"""Dense surrogate keys (the warehouse's SERIAL) without a one-task sort.
-
-A global ``row_number()`` with no partition key would pull every row into
-one task.  Instead: range-partition and sort by the order columns (a
-distributed sort) and record, for every row, its partition and its position
-inside that partition.  That layout is frozen as a parquet table in the
-shared storage folder, which also cuts the lineage: both passes below read
-the same stored rows, and a lost executor cannot reshuffle them.  Then count
-rows per partition (reading only the partition column), turn the counts into
-offsets, and add each row's offset to its position.
+"""Dense surrogate keys (the warehouse's SERIAL) without moving a row.
+
+SERIAL promises unique, growing numbers, not an order.  So rows of a stored
+table are numbered where they lie: rows per scan task are counted (a scan
+without columns, from the file footers), running totals over the tasks give
+each task its first number, and a row's number is that plus its position.
+No row crosses an exchange and nothing is staged.
+
+The numbers follow the table's files and the session's split size.  Store
+them (``write_with_ids``) to fix them for good.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farelens.session import storage_root
+_TASK = "__task"
+_POSITION_BITS = 33  # of monotonically_increasing_id: the row's position in its task
+
 
-_PID = "_farelens_pid"
-_POS = "_farelens_pos"
+def task_offsets(stored: DataFrame) -> DataFrame:
+    """(task, first): rows in earlier tasks; one row per scan task."""
+    counts = (stored.select(F.spark_partition_id().alias(_TASK)).groupBy(_TASK)
+              .agg(F.count(F.lit(1)).alias("n")))
+    before = Window.orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(_TASK, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
 
 
-def assign_dense_id(df: DataFrame, order_cols: list[str], id_col: str = "trip_id",
-                    num_partitions: int | None = None, staging_path: str | None = None) -> DataFrame:
-    """Add ``id_col`` = 1..N following ``order_cols`` (make them unique).
+def assign_dense_id(spark: SparkSession, path: str, id_col: str = "trip_id") -> DataFrame:
+    """Rows of the parquet table at ``path`` with ``id_col`` = 1..N.
 
-    Range partitions default to at least as many as the input has splits, so
-    each stays about one input split in size.  The offsets table has one row
-    per partition, so its size is bounded by the partition count and it is
-    safe to broadcast.  ``staging_path`` (default: a fresh folder under the
-    shared storage root) holds the frozen layout.
+    Only the offsets are joined, two small columns per scan task; whether
+    they are broadcast is left to the planner, which knows their size.
     """
-    spark = df.sparkSession
-    n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              df.rdd.getNumPartitions(), 1)
-    path = staging_path or f"{storage_root(spark)}/staging/dense_id_{uuid.uuid4().hex}"
-    ordered = (df.repartitionByRange(n, *order_cols)
-               .sortWithinPartitions(*order_cols)
-               .withColumn(_PID, F.spark_partition_id())
-               .withColumn(_POS, F.monotonically_increasing_id()))
-    # Position inside the partition: the id's low 33 bits.
-    ordered = ordered.withColumn(_POS, F.col(_POS) - F.shiftleft(F.col(_PID).cast("long"), 33))
-    ordered.write.mode("overwrite").parquet(path)
-    frozen = spark.read.parquet(path)
-    counts = frozen.groupBy(_PID).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    return (frozen.join(F.broadcast(offsets), on=_PID, how="inner")
-            .withColumn(id_col, F.col("_offset") + F.col(_POS) + 1)
-            .select(id_col, *df.columns))
+    stored = spark.read.parquet(path)
+    place = F.monotonically_increasing_id()
+    placed = stored.withColumns({
+        _TASK: F.shiftright(place, _POSITION_BITS).cast("int"),
+        id_col: place.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))})
+    return (placed.join(task_offsets(stored), _TASK)
+            .withColumn(id_col, F.col(id_col) + F.col("first") + 1)
+            .select(id_col, *stored.columns))
+
+
+def write_with_ids(spark: SparkSession, path: str, out_path: str, id_col: str = "trip_id") -> None:
+    """Number the table at ``path`` once and store it with its numbers."""
+    assign_dense_id(spark, path, id_col).write.mode("overwrite").parquet(out_path)

@@ -1,8 +1,8 @@
 """The batch job: extract (land a raw copy), transform, load, then views.
 
-``run_etl`` scans the raw data once: the raw and clean row counts are
-collected with ``Observation`` while the fact is written, instead of two
-extra ``count()`` actions over the raw data.
+``run_etl`` scans the raw columns once.  The raw count comes from the file
+footers (a count without columns); the clean count is collected with an
+``Observation`` while the fact is written.
 """
 
 from __future__ import annotations
@@ -10,14 +10,16 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from farelens.functions.features import add_features
 from farelens.operators.dims import dim_payment_type, dim_vendor
-from farelens.operators.quality import observed_filter
+from farelens.operators.quality import quality_filter
 from farelens.plans.rollup import materialize_rollup, views_from_rollup, write_rollup
-from farelens.schema import FACT_COLUMNS
+from farelens.schema import FACT_COLUMNS, RAW_COLUMNS
 from farelens.sources import io
+from farelens.sources.catalog import store_views
 
 
 @dataclass
@@ -27,11 +29,12 @@ class EtlConfig:
     lake_path: str | None = None          # land a raw copy here first (extract)
     fact_table: str | None = None         # also (re)load a catalog table
     jdbc: dict[str, str] | None = None    # also load a warehouse over JDBC
-    # Rebalance by pickup date before the write (AQE-sized, hot dates split):
-    # bounds the file count whatever the input order.  Turn off only for
-    # input known to arrive in time order.
-    cluster_fact: bool = True
+    # Rebalance by pickup date before the write (AQE-sized, hot dates split).
+    # None: only if the input is not in date order already.
+    cluster_fact: bool | None = None
     dynamic_overwrite: bool = False       # replace only the dates being loaded
+    month: str | None = None              # load month of raw files whose names don't tell
+    database: str | None = None           # store fact, dimensions and views in this catalog database
     rollup_path: str | None = None        # keep the views' rollup as a table for later sessions
 
 
@@ -56,30 +59,46 @@ class EtlResult:
         return float(pct.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
 
 
-def extract(spark: SparkSession, src_paths: list[str], lake_path: str) -> DataFrame:
-    """Land the raw files unchanged in the lake and return the lake scan."""
-    io.land_raw(spark.read.parquet(*src_paths), lake_path)
-    return spark.read.parquet(lake_path)
+def extract(spark: SparkSession, src_paths: list[str], lake_path: str, month: str | None = None) -> DataFrame:
+    """Land the raw files with all their columns in the lake, by month; returns the raw scan of the lake."""
+    io.land_files(spark, src_paths, lake_path, month)
+    return io.read_raw(spark, lake_path)
 
 
-def transform(raw: DataFrame, cluster: bool = False) -> tuple[DataFrame, object, object]:
-    """Featured, filtered fact plus raw/clean count observations.
+def in_date_order(raw: DataFrame, slack: int = 2) -> bool:
+    """Whether writing ``raw`` by date as it lies makes few files.
 
-    With ``cluster`` the rebalance exchange comes before the observations, so
-    both counts are taken in the write stage: a result stage applies each
-    partition's metrics once, while a re-executed shuffle map stage could
-    count rows twice.
+    Reads the pickup column only: counts the (task, date) pairs, each of
+    which would become a file.  In order, a task's dates are its own but for
+    the first and last, so pairs stay near dates + tasks.
     """
-    featured = add_features(raw)
+    pairs = raw.select(F.spark_partition_id().alias("task"), F.to_date("lpep_pickup_datetime").alias("day"))
+    n = (pairs.groupBy("task", "day").agg(F.lit(1).alias("one"))
+         .agg(F.count("one").alias("pairs"), F.countDistinct("day").alias("days"),
+              F.countDistinct("task").alias("tasks")).first())
+    return n.pairs <= slack * (n.days + n.tasks)
+
+
+def transform(raw: DataFrame, cluster: bool = False) -> tuple[DataFrame, Observation]:
+    """Filtered, featured fact with its date column, plus the clean count.
+
+    The gate comes first.  With ``cluster`` only the seven raw columns of
+    clean rows and the date cross the rebalance; features are derived after
+    it.  The count is observed in the write stage: a result stage applies
+    each partition's metrics once, while a re-executed shuffle map stage
+    could count rows twice.
+    """
+    clean = quality_filter(add_features(raw)).select(*RAW_COLUMNS)
     if cluster:
-        featured = io.cluster_by_time(featured)
-    clean, raw_obs, clean_obs = observed_filter(featured)
-    keep = FACT_COLUMNS + ([io.PARTITION_COL] if cluster else [])
-    return clean.select(*keep), raw_obs, clean_obs
+        clean = io.cluster_by_time(clean.withColumn(io.PARTITION_COL, F.to_date("lpep_pickup_datetime")))
+    count = Observation("clean")
+    fact = add_features(clean).observe(count, F.count(F.lit(1)).alias("rows"))
+    if not cluster:
+        fact = fact.withColumn(io.PARTITION_COL, F.to_date("lpep_pickup_datetime"))
+    return fact.select(*FACT_COLUMNS, io.PARTITION_COL), count
 
 
 def load(fact: DataFrame, cfg: EtlConfig) -> None:
-    # Already clustered by ``transform`` when cfg.cluster_fact is set.
     io.write_fact_parquet(fact, cfg.fact_path, dynamic_overwrite=cfg.dynamic_overwrite)
 
 
@@ -89,18 +108,19 @@ def run_etl(spark: SparkSession, cfg: EtlConfig, build_views: bool = True,
 
     ``raw`` replaces the raw file scan (for inputs Spark derives elsewhere).
     The views come from one rollup pass over the written fact and are also
-    registered as temp views under their names.
+    registered as temp views under their names.  With ``cfg.database`` they
+    are stored in the catalog as well, for other sessions.
     """
     if raw is None:
         paths = cfg.raw_paths
         if cfg.lake_path:
-            extract(spark, paths, cfg.lake_path)
-            paths = [cfg.lake_path]
-        raw = io.read_raw(spark, *paths)
-    fact, raw_obs, clean_obs = transform(raw, cluster=cfg.cluster_fact)
-    load(fact, cfg)                                   # the one scan of the raw data
-    result = EtlResult(raw_rows=int(raw_obs.get["rows"]), clean_rows=int(clean_obs.get["rows"]),
-                       fact_path=cfg.fact_path)
+            raw = extract(spark, paths, cfg.lake_path, cfg.month)
+        else:
+            raw = io.read_raw(spark, *paths)
+    cluster = cfg.cluster_fact if cfg.cluster_fact is not None else not in_date_order(raw)
+    fact, clean = transform(raw, cluster=cluster)
+    load(fact, cfg)
+    result = EtlResult(raw_rows=raw.count(), clean_rows=int(clean.get["rows"]), fact_path=cfg.fact_path)
     # Secondary sinks read the written fact, not the raw data again.
     written = io.read_fact_parquet(spark, cfg.fact_path)
     if cfg.fact_table:
@@ -117,4 +137,7 @@ def run_etl(spark: SparkSession, cfg: EtlConfig, build_views: bool = True,
         result.views = views_from_rollup(result.rollup, pay, ven)
         for name, view in result.views.items():
             view.createOrReplaceTempView(name)
+        if cfg.database:
+            store_views(spark, cfg.database, cfg.fact_path, {"dim_payment_type": pay, "dim_vendor": ven},
+                        {"dim_payment_type": "payment_type", "dim_vendor": "vendor_id"})
     return result

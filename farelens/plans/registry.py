@@ -8,28 +8,28 @@ the shared storage root (``spark.checkpoint.dir`` or
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farelens.functions.features import FEATURE_GROUPS, add_features
 from farelens.operators import checks, dims, keys, quality
 from farelens.plans import reports, rollup, tiles, views
-from farelens.plans.etl import EtlConfig, run_etl
+from farelens.plans.etl import EtlConfig, extract, run_etl
 from farelens.plans.fact import build_fact
+from farelens.plans.view_specs import SPECS
 from farelens.schema import FACT_COLUMNS
 from farelens.session import pin_session, storage_root
-from farelens.sources import io
+from farelens.sources import catalog, io
 from farelens.sources.fixtures import raw_trips
 from farelens.streaming.incremental import run_incremental_load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-ID_ORDER = ["pickup_datetime", "dropoff_datetime", "trip_key"]
-
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_session(spark)
@@ -48,9 +48,9 @@ def _dims(spark: SparkSession) -> dict[str, DataFrame]:
     return {"dim_payment_type": dims.dim_payment_type(spark), "dim_vendor": dims.dim_vendor(spark)}
 
 
-def _scratch(spark: SparkSession, sf_dir: str, what: str) -> str:
-    tag = os.path.basename(sf_dir.rstrip("/")) or "data"
-    return f"{storage_root(spark)}/{what}/{tag}"
+def _scratch(spark: SparkSession, what: str) -> str:
+    """A fresh folder under the shared root: results are read lazily, so no call may write into another's."""
+    return f"{storage_root(spark)}/{what}/{uuid.uuid4().hex}"
 
 
 # -- sources and sinks -------------------------------------------------------
@@ -59,7 +59,7 @@ def q_scan_raw_trips(spark, sf_dir):
 
 
 def q_land_raw_roundtrip(spark, sf_dir):
-    path = _scratch(spark, sf_dir, "lake/raw_trips")
+    path = _scratch(spark, "lake")
     io.land_raw(_raw(spark, sf_dir), path)
     return spark.read.parquet(path)
 
@@ -70,7 +70,7 @@ def q_fact_trips(spark, sf_dir):
 
 def q_fact_reload_rerun(spark, sf_dir):
     """Full reload twice into the same place; the second run replaces the first."""
-    path = _scratch(spark, sf_dir, "fact_parquet")
+    path = _scratch(spark, "fact_parquet")
     for _ in range(2):
         io.write_fact_parquet(_fact(spark, sf_dir), path)
     return io.read_fact_parquet(spark, path)
@@ -78,9 +78,8 @@ def q_fact_reload_rerun(spark, sf_dir):
 
 def q_fact_table_roundtrip(spark, sf_dir):
     """Create-or-reload a catalog table at a shared location, read it back."""
-    tag = "".join(ch if ch.isalnum() else "_" for ch in os.path.basename(sf_dir.rstrip("/")))
-    table = f"fact_trips_{tag}"
-    path = _scratch(spark, sf_dir, "fact_table")
+    path = _scratch(spark, "fact_table")
+    table = f"fact_trips_{os.path.basename(path)}"
     for _ in range(2):
         io.write_fact_table(_fact(spark, sf_dir), table, path=path)
     return spark.table(table).select(*FACT_COLUMNS)
@@ -88,7 +87,7 @@ def q_fact_table_roundtrip(spark, sf_dir):
 
 def q_etl_run_kpi(spark, sf_dir):
     """The whole job: raw scan -> fact parquet (counts observed) -> rollup -> KPI view."""
-    run_dir = f"{_scratch(spark, sf_dir, 'etl_runs')}/{uuid.uuid4().hex}"
+    run_dir = _scratch(spark, "etl_runs")
     raw_path = f"{run_dir}/raw"
     io.land_raw(_raw(spark, sf_dir).drop("trip_key"), raw_path)
     result = run_etl(spark, EtlConfig(raw_paths=[raw_path], fact_path=f"{run_dir}/fact"))
@@ -97,12 +96,65 @@ def q_etl_run_kpi(spark, sf_dir):
 
 def q_stream_fact_load(spark, sf_dir):
     """Incremental load of landed raw files through the exactly-once file sink."""
-    run_dir = f"{_scratch(spark, sf_dir, 'stream_runs')}/{uuid.uuid4().hex}"
+    run_dir = _scratch(spark, "stream_runs")
     io.land_raw(_raw(spark, sf_dir).drop("trip_key"), f"{run_dir}/raw")
-    run_incremental_load(spark, f"{run_dir}/raw", f"{run_dir}/fact", f"{run_dir}/checkpoint")
+    run_incremental_load(spark, f"{run_dir}/raw", f"{run_dir}/fact")
     return spark.read.parquet(f"{run_dir}/fact").select(*FACT_COLUMNS)
 
 
+def q_scan_raw_mixed_months(spark, sf_dir):
+    """Three raw months storing codes as int, bigint and text or double; some values fit no type."""
+    base = _scratch(spark, "mixed_months")
+    raw = _raw(spark, sf_dir)
+    key = F.col("trip_key")
+    io.land_raw(raw.filter(key % 3 == 0).drop("trip_key"), f"{base}/2024-01")
+    wide = raw.filter(key % 3 == 1).withColumns({
+        "VendorID": F.col("VendorID").cast("long"),
+        "payment_type": F.when(key % 70 == 1, F.lit(3_000_000_000)).otherwise(F.col("payment_type").cast("long"))})
+    io.land_raw(wide.drop("trip_key"), f"{base}/2024-02")
+    loose = raw.filter(key % 3 == 2).withColumns({
+        "VendorID": F.when(key % 90 == 2, F.lit("n/a")).otherwise(F.col("VendorID").cast("string")),
+        "payment_type": F.col("payment_type").cast("double")})
+    io.land_raw(loose.drop("trip_key"), f"{base}/2024-03")
+    return io.read_raw(spark, f"{base}/2024-01", f"{base}/2024-02", f"{base}/2024-03")
+
+
+def _two_months(spark, sf_dir) -> tuple[str, str]:
+    """Raw files of two months, one with a column more, as they arrive from outside."""
+    base = _scratch(spark, "two_months")
+    raw = _raw(spark, sf_dir)
+    even = F.col("trip_key") % 2 == 0
+    io.land_raw(raw.filter(even).withColumn("congestion_fee", F.col("trip_key").cast("double") / 4), f"{base}/in/2024-01")
+    io.land_raw(raw.filter(~even), f"{base}/in/2024-02")
+    return f"{base}/in", f"{base}/lake"
+
+
+def q_land_raw_extra_column(spark, sf_dir):
+    """Landing keeps a column that only one month has."""
+    src, lake = _two_months(spark, sf_dir)
+    extract(spark, [src], lake)
+    return spark.read.option("mergeSchema", "true").parquet(lake).drop(io.LOAD_MONTH)
+
+
+def q_land_raw_two_months(spark, sf_dir):
+    """Landing month two, and month one again, keeps both months once."""
+    src, lake = _two_months(spark, sf_dir)
+    for month in ("2024-01", "2024-02", "2024-01"):
+        extract(spark, [f"{src}/{month}"], lake)
+    return (spark.read.parquet(lake).groupBy(F.date_format(F.col(io.LOAD_MONTH).cast("date"), "yyyy-MM").alias("load_month"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.min("trip_key").alias("first_key"),
+                 F.max("trip_key").alias("last_key")))
+
+
+def q_fact_date_range(spark, sf_dir):
+    """Days 4 to 10 of the stored fact, by partition pruning."""
+    path = _scratch(spark, "fact_range")
+    fact = _fact(spark, sf_dir)
+    io.write_fact_parquet(fact, path)
+    first = fact.agg(F.min(F.to_date("pickup_datetime")).alias("d")).first().d
+    return io.read_fact_parquet(spark, path, str(first + dt.timedelta(days=3)), str(first + dt.timedelta(days=9)))
+
+
 # -- quality gate ------------------------------------------------------------
 def q_dq_rule_counts(spark, sf_dir):
     return quality.rule_failure_counts(_featured(spark, sf_dir))
@@ -122,25 +174,32 @@ def q_etl_counts(spark, sf_dir):
 
 
 # -- keys and integrity checks -------------------------------------------------
-def _with_trip_id(spark, sf_dir):
-    return keys.assign_dense_id(build_fact(_raw(spark, sf_dir), keep=["trip_key"]), ID_ORDER)
-
-
 def q_assign_trip_id(spark, sf_dir):
-    return _with_trip_id(spark, sf_dir)
+    """Numbers the stored fact twice: dense, unique, and the same both times."""
+    path = _scratch(spark, "trip_ids")
+    build_fact(_raw(spark, sf_dir), keep=["trip_key"]).write.parquet(path)
+    once = keys.assign_dense_id(spark, path).select("trip_key", "trip_id")
+    again = keys.assign_dense_id(spark, path).select("trip_key", F.col("trip_id").alias("again"))
+    moved = F.count_if(F.col("trip_id") != F.col("again"))
+    return once.join(again, "trip_key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("trip_id").alias("n_ids"),
+        F.min("trip_id").alias("min_id"), F.max("trip_id").alias("max_id"), moved.alias("n_moved"))
 
 
 def q_check_pk(spark, sf_dir):
-    return checks.check_pk(_with_trip_id(spark, sf_dir), ["trip_id"])
+    """Trips of one vendor that begin in the same second."""
+    return checks.check_pk(_fact(spark, sf_dir), ["VendorID", "pickup_datetime"])
 
 
 def q_check_pk_raw_key(spark, sf_dir):
-    return checks.check_pk(_raw(spark, sf_dir), ["trip_key"])
+    """A key that is far from unique and holds NULLs."""
+    return checks.check_pk(_raw(spark, sf_dir), ["trip_distance", "payment_type"])
 
 
 def q_check_fk_payment(spark, sf_dir):
-    return checks.check_fk(_fact(spark, sf_dir), "payment_type",
-                           dims.dim_payment_type(spark), "payment_type")
+    """Orphan codes against a dimension that lacks 5 and 6."""
+    known = dims.dim_payment_type(spark).filter("payment_type < 5")
+    return checks.check_fk(_fact(spark, sf_dir), "payment_type", known, "payment_type")
 
 
 def q_check_fk_vendor(spark, sf_dir):
@@ -159,7 +218,13 @@ def q_dim_vendor_upsert(spark, sf_dir):
 
 def q_dim_payment_upsert(spark, sf_dir):
     offered = _fact(spark, sf_dir).select("payment_type", F.col("payment_type_name").alias("payment_desc"))
-    return dims.insert_if_absent(dims.dim_payment_type(spark), offered, "payment_type")
+    # The stored dimension holds the codes below 4 so far; loaded twice, the second time in vain.
+    path = _scratch(spark, "dimension")
+    table = f"dim_payment_{os.path.basename(path)}"
+    catalog.create_table_if_absent(dims.dim_payment_type(spark).filter("payment_type < 4"), table, path)
+    for _ in range(2):
+        catalog.load_dimension(offered, table, "payment_type")
+    return spark.table(table)
 
 
 def _feature_query(group: str) -> Query:
@@ -186,7 +251,7 @@ def _view_query(name: str) -> Query:
 
 def _rollup_view_query(name: str) -> Query:
     def run(spark, sf_dir):
-        r = rollup.build_rollup(_fact(spark, sf_dir))
+        r = rollup.build_rollup(_fact(spark, sf_dir), [rollup.SET_OF_VIEW[name]])
         return rollup.views_from_rollup(r, dims.dim_payment_type(spark), dims.dim_vendor(spark))[name]
 
     run.__name__ = f"q_rollup_{name}"
@@ -204,6 +269,37 @@ def _tile_query(name: str) -> Query:
     return run
 
 
+def _stored_views(spark: SparkSession, sf_dir: str) -> str:
+    """The load with stored views; returns the database that holds them."""
+    run_dir = _scratch(spark, "stored_views")
+    database = f"trips_{os.path.basename(run_dir)}"
+    catalog.ensure_database(spark, database, f"{run_dir}/db")
+    run_etl(spark, EtlConfig(raw_paths=[], fact_path=f"{run_dir}/fact", database=database),
+            raw=_raw(spark, sf_dir).drop("trip_key"))
+    return database
+
+
+def _sql_tile_query(name: str) -> Query:
+    def run(spark, sf_dir):
+        return spark.sql(tiles.TILE_SQL[name].format(db=_stored_views(spark, sf_dir)))
+
+    run.__name__ = f"q_sql_{name}"
+    return run
+
+
+def _sorted_view_query(name: str) -> Query:
+    """A view with each row's position, so that its order is part of the result."""
+    view = _view_query(name)
+
+    def run(spark, sf_dir):
+        # Rows of a sorted result count upwards through its partitions.
+        placed = view(spark, sf_dir).withColumn("_at", F.monotonically_increasing_id())
+        return placed.withColumn("position", F.row_number().over(Window.orderBy("_at")).cast("long")).drop("_at")
+
+    run.__name__ = f"q_sorted_{name}"
+    return run
+
+
 def _report_query(name: str) -> Query:
     fn = reports.REPORTS[name]
 
@@ -218,6 +314,10 @@ def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {
         "scan_raw_trips": q_scan_raw_trips,
         "land_raw_roundtrip": q_land_raw_roundtrip,
+        "scan_raw_mixed_months": q_scan_raw_mixed_months,
+        "land_raw_extra_column": q_land_raw_extra_column,
+        "land_raw_two_months": q_land_raw_two_months,
+        "fact_date_range": q_fact_date_range,
     }
     for group in FEATURE_GROUPS:
         out[f"feat_{group}"] = _feature_query(group)
@@ -238,6 +338,11 @@ def all_queries() -> dict[str, Query]:
         out[f"rollup_{name}"] = _rollup_view_query(name)
     for name in tiles.TILES:
         out[name] = _tile_query(name)
+    for name in tiles.TILES:
+        out[f"sql_{name}"] = _sql_tile_query(name)
+    for name, spec in SPECS.items():
+        if spec.order:
+            out[f"sorted_{name}"] = _sorted_view_query(name)
     for name in reports.REPORTS:
         out[name] = _report_query(name)
     out.update({

@@ -93,8 +93,8 @@ def _conf(spark: SparkSession, key: str) -> str | None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when nothing is set
-    (local tests) do we create one of our own.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local session
+    (tests) gets one of its own when nothing is set; elsewhere that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -102,6 +102,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = _conf(spark, "spark.checkpoint.dir")
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            # A folder of the driver's machine is out of the executors' reach.
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {sc.master}")
         configured = tempfile.mkdtemp(prefix="farelens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -1,6 +1,7 @@
 """Dense keys, integrity checks and insert-if-absent."""
 
-from pyspark.sql import Window
+import uuid
+
 from pyspark.sql import functions as F
 
 from conftest import SF01
@@ -9,16 +10,24 @@ from farelens.plans.fact import build_fact
 from farelens.sources.fixtures import raw_trips
 
 
-def test_dense_ids_follow_order(spark):
+def test_dense_ids_in_place(spark, scratch_root):
+    path = f"{scratch_root}/t/{uuid.uuid4().hex}/fact"
     fact = build_fact(raw_trips(spark, SF01), keep=["trip_key"])
-    order = ["pickup_datetime", "dropoff_datetime", "trip_key"]
-    got = keys.assign_dense_id(fact, order, num_partitions=5)
-    ids = [r.trip_id for r in got.select("trip_id").collect()]
-    assert sorted(ids) == list(range(1, 8_823))
-    # Same numbering as a global row_number over the order (small data only).
-    want = fact.select("trip_key", F.row_number().over(Window.orderBy(*order)).alias("want"))
-    assert got.join(want, "trip_key").filter(F.col("trip_id") != F.col("want")).count() == 0
+    fact.repartition(5).write.parquet(path)
+    got = keys.assign_dense_id(spark, path)
     assert got.columns == ["trip_id"] + fact.columns
+    assert sorted(r.trip_id for r in got.select("trip_id").collect()) == list(range(1, 8_823))
+    # The same numbers again, whatever the columns read, and once stored for good.
+    again = keys.assign_dense_id(spark, path).select("trip_key", F.col("trip_id").alias("again"))
+    assert got.select("trip_key", "trip_id").join(again, "trip_key").filter("trip_id <> again").count() == 0
+    keys.write_with_ids(spark, path, f"{path}_ids")
+    stored = spark.read.parquet(f"{path}_ids").select("trip_key", F.col("trip_id").alias("stored"))
+    assert again.join(stored, "trip_key").filter("again <> stored").count() == 0
+    # No trip row crosses an exchange: only the per-task counts do.
+    plan = spark._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "formatted")
+    exchanged = [plan.splitlines()[i + 1] for i, line in enumerate(plan.splitlines())
+                 if line.startswith("(") and "Exchange" in line]
+    assert exchanged and not any("trip_key" in line for line in exchanged)
 
 
 def test_check_pk(spark):
@@ -52,11 +61,13 @@ def test_insert_if_absent(spark):
     assert again.count() == 7
 
 
-def test_dense_ids_are_stable_across_runs(spark):
-    fact = build_fact(raw_trips(spark, SF01), keep=["trip_key"])
-    order = ["pickup_datetime", "dropoff_datetime", "trip_key"]
-    a = keys.assign_dense_id(fact, order, num_partitions=7).select("trip_key", F.col("trip_id").alias("a"))
-    b = keys.assign_dense_id(fact, order, num_partitions=3).select("trip_key", F.col("trip_id").alias("b"))
-    joined = a.join(b, "trip_key")
-    assert joined.count() == 8_822
-    assert joined.filter(F.col("a") != F.col("b")).count() == 0
+def test_dimension_load_persists(spark, scratch_root):
+    from farelens.sources import catalog
+
+    table = f"dim_{uuid.uuid4().hex[:8]}"
+    dim = dims.dim_payment_type(spark)
+    assert catalog.load_dimension(dim.filter("payment_type < 3"), table, "payment_type") == 2
+    offered = spark.createDataFrame([(2, "other"), (9, "New")], "payment_type int, payment_desc string")
+    assert catalog.load_dimension(offered, table, "payment_type") == 1
+    assert catalog.load_dimension(offered, table, "payment_type") == 0
+    assert {tuple(r) for r in spark.table(table).collect()} == {(1, "Credit card"), (2, "Cash"), (9, "New")}

@@ -19,3 +19,23 @@ def test_session_pins_results_relevant_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"      # ANSI stays on
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    import pytest
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="shared folder"):
+        ensure_checkpoint_dir(Session())
