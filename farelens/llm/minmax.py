@@ -10,20 +10,21 @@ permutations name the buckets in which documents meet.
    band hashes and an 8-bit sketch of the signature.  Documents with one key
    form a class; only its smallest id goes on.
 2. Buckets with two classes or more are read as streams of sketches.  Members
-   are gathered into clusters as they come: a member is proposed as a link to
-   its closest member of every cluster it is likely to belong to (which joins
-   the clusters), and where it is unsure about a cluster, to that cluster's
-   closest few members.  So a bucket gives about one link a member, never all
-   its pairs.  What the "few" leaves untried is tried without that bound in a
-   second pass, if it is still in different components after step 4.  Large
-   buckets are divided into blocks, and every two blocks meet in a cell.
-3. Proposed links are confirmed on the full shingle sets: the texts needed
-   are routed to their pivot, hot pivots to several tasks.
-4. Components of the confirmed links, carried over to the classes.
+   whose estimate may reach the limit are gathered into loose clusters as
+   they come, and only the links that join clusters are emitted: at most one
+   a member, never all pairs of a bucket.  Components of these links are the
+   loose groups; a pair that shares a band and may be similar lies in one.
+3. The texts of a loose group meet in cells of bounded size and are compared
+   on their full shingle sets.  Only links that join something new are
+   emitted again.
+4. Components of these links, carried over to the classes.
+
+Large buckets and large groups are divided into blocks; every two blocks meet
+in a cell, so no task holds more than two.
 
 A pair of similarity 0.75 shares no band with probability 5e-6 (32 bands of
-4), a more similar one with less.  Proposals drop pairs whose estimate is
-below 0.5, six standard deviations under 0.75.
+4), a more similar one with less.  Pairs whose estimate is below 0.6, four
+standard deviations under 0.75, are not looked at.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens.llm.common import materialize
@@ -45,11 +46,11 @@ BAND = 4
 BANDS = 2 * PERMUTATIONS // BAND
 WORD_CACHE = 500_000
 BLOCK = 4_096           # members of a large bucket that stay together
-HOT_PIVOT = 1_000       # links of a pivot in one task
-# Estimates from which a pair may be similar, and from which it most likely is.
-MAYBE, LIKELY = 0.5, 0.82
-# Members of a cluster tried in the first pass for a document that is unsure about it.
-TRIES = 8
+# Members of a loose group that stay together, and their shingles (eight bytes each).
+GROUP_BLOCK, GROUP_SHINGLES = 2_048, 4_000_000
+MAYBE = 0.6             # estimate from which a pair may be similar
+# Hash values of the ids whose texts are fetched; bounds what is broadcast to filter the rest out.
+FILTER_VALUES = 1 << 20
 
 _M1, _M2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
@@ -148,96 +149,114 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          schema=_SIGNED_ARROW)
 
 
-class Bucket:
-    """Members of one cell so far, with their clusters."""
+class Members:
+    """Rows of one cell so far: sketches, sizes, and the cluster of each."""
 
-    def __init__(self, tries: int | None):
-        self.tries = tries
+    def __init__(self):
         self.n = 0
-        self.overflow = False
         self.ids = np.zeros(16, dtype=np.int64)
         self.sizes = np.zeros(16, dtype=np.int64)
-        self.labels = np.zeros(16, dtype=np.int64)
+        self.clusters = np.zeros(16, dtype=np.int64)
         self.table = np.zeros((16, 2 * PERMUTATIONS), dtype=np.uint8)
 
-    def add(self, doc: int, size: int, sketched: bytes, label: int) -> list[tuple[int, int]]:
-        """Proposed links of the next member; ``label`` is the component known for it, else its id."""
-        held, links, mine = self.n, [], np.frombuffer(sketched, dtype=np.uint8)
-        ids, sizes, labels = self.ids[:held], self.sizes[:held], self.labels[:held]
-        estimate = (self.table[:held] == mine).mean(axis=1) if held else np.zeros(0)
-        reach = 100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size)
-        near = np.flatnonzero((estimate >= MAYBE) & reach & (ids != doc))
-        near = near[np.argsort(-estimate[near], kind="stable")]
-        while len(near := near[labels[near] != label]) and estimate[near[0]] >= LIKELY:
-            links.append((int(ids[near[0]]), doc))
-            labels[labels == labels[near[0]]] = label
-        for cluster in dict.fromkeys(labels[near].tolist()):
-            own = near[labels[near] == cluster]
-            self.overflow |= self.tries is not None and len(own) > self.tries
-            links.extend((int(i), doc) for i in ids[own[:self.tries]])
-        if held == len(self.ids):
-            for name in ("ids", "sizes", "labels", "table"):
+    def append(self, doc: int, size: int, mine: np.ndarray) -> int:
+        at = self.n
+        if at == len(self.ids):
+            for name in ("ids", "sizes", "clusters", "table"):
                 old = getattr(self, name)
                 setattr(self, name, np.concatenate([old, np.zeros_like(old)]))
-        self.ids[held], self.sizes[held], self.labels[held], self.table[held] = doc, size, label, mine
+        self.ids[at], self.sizes[at], self.clusters[at], self.table[at] = doc, size, at, mine
         self.n += 1
-        return links
-
+        return at
 
-_LINKS = "a long, b long, bucket long"
+    def near(self, at: int) -> np.ndarray:
+        """Earlier rows that may be similar to row ``at``, most likely ones first."""
+        size = self.sizes[at]
+        sizes = self.sizes[:at]
+        rows = np.flatnonzero((100 * np.minimum(sizes, size) >= PERCENT * np.maximum(sizes, size))
+                              & (self.ids[:at] != self.ids[at]))
+        estimate = (self.table[rows] == self.table[at]).mean(axis=1) if len(rows) else np.zeros(0)
+        rows, estimate = rows[estimate >= MAYBE], estimate[estimate >= MAYBE]
+        return rows[np.argsort(-estimate, kind="stable")]
 
+    def join(self, i: int, at: int) -> tuple[int, int]:
+        """Joins the clusters of two rows; returns the link."""
+        clusters = self.clusters[:self.n]
+        clusters[clusters == clusters[i]] = clusters[at]
+        return int(min(self.ids[i], self.ids[at])), int(max(self.ids[i], self.ids[at]))
 
-def _propose(tries: int | None):
-    """Streams of (bucket, cell, doc_id, n_shingles, sketch, label), sorted: links, and buckets with untried pairs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, now, bucket = [], None, None
-        schema = pa.schema([(c, pa.int64()) for c in ("a", "b", "bucket")])
+_LINKS = "a long, b long"
+_LINKS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-        def flush():
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
 
-        def untried():
-            return [(None, None, now[0])] if bucket is not None and bucket.overflow else []
+def _link_batch(links: set[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*sorted(links))], schema=_LINKS_ARROW)
 
-        for batch in batches:
-            for r in zip(*[batch.column(c).to_pylist() for c in ("bucket", "cell", "doc_id", "n_shingles",
-                                                                 "sketch", "label")]):
-                if r[:2] != now:
-                    rows.extend(untried())
-                    now, bucket = r[:2], Bucket(tries)
-                rows.extend((min(p), max(p), None) for p in bucket.add(*r[2:]))
-                if len(rows) >= 5000:
-                    yield flush()
-                    rows = []
-        rows.extend(untried())
-        if rows:
-            yield flush()
 
-    return run
+def _loose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stream of (bucket, cell, doc_id, n_shingles, sketch), sorted: links that join clusters by estimate."""
+    now, cell, links = None, None, set()
+    for batch in batches:
+        for r in zip(*[batch.column(c).to_pylist() for c in ("bucket", "cell", "doc_id", "n_shingles", "sketch")]):
+            if r[:2] != now:
+                now, cell = r[:2], Members()
+            at = cell.append(r[2], r[3], np.frombuffer(r[4], dtype=np.uint8))
+            for i in cell.near(at):
+                if cell.clusters[i] != cell.clusters[at]:
+                    links.add(cell.join(i, at))
+            if len(links) >= 20_000:
+                yield _link_batch(links)
+                links = set()
+    if links:
+        yield _link_batch(links)
+
+
+def similar(mine: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Which of the shingle sets are similar enough to ``mine``."""
+    flat = np.concatenate(others)
+    at = np.searchsorted(mine, flat)
+    hit = mine[np.minimum(at, len(mine) - 1)] == flat
+    sizes = np.array([len(o) for o in others])
+    common = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes) - sizes)
+    return 100 * common >= PERCENT * (len(mine) + sizes - common)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams of (pivot, salt, role, doc_id, text): role 0 is the pivot's text, role 1 a partner's."""
-    shingler, rows, now, own = Shingler(), [], None, []
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """Stream of (group, cell, block, own, doc_id, text), sorted: links on full sets that join something new.
+
+    In a cell of two blocks only rows of different blocks are compared; each
+    block has a cell of its own.
+    """
+    shingler, (a, b) = Shingler(), coefficients()
+    now, cell, sets, blocks, links = None, None, [], [], set()
     for batch in batches:
-        for pivot, salt, role, doc, text in zip(*[batch.column(c).to_pylist()
-                                                  for c in ("pivot", "salt", "role", "doc_id")], batch.column("text")):
-            if (pivot, salt) != now:
-                now, own = (pivot, salt), []
-            shingles = shingler.shingles(shingler.words(text.as_py()))
-            if role == 0:
-                own.append(shingles)
+        for group, number, block, own, doc, text in zip(*[batch.column(c).to_pylist() for c in (
+                "group", "cell", "block", "own", "doc_id")], batch.column("text")):
+            if (group, number) != now:
+                now, cell, sets, blocks = (group, number), Members(), [], []
+            mine = shingler.shingles(shingler.words(text.as_py()))
+            if not len(mine):
                 continue
-            for mine in own:
-                common = len(np.intersect1d(mine, shingles, assume_unique=True))
-                if 100 * common >= PERCENT * (len(mine) + len(shingles) - common):
-                    rows.append((pivot, doc))
-                    break
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], schema=schema)
-            rows = []
+            at = cell.append(doc, len(mine), np.frombuffer(sketch(signature(mine, a, b)), dtype=np.uint8))
+            sets.append(mine)
+            blocks.append(block)
+            near = cell.near(at)
+            if not own:
+                near = near[np.array(blocks)[near] != block]
+            # The most likely row of every cluster first, then what is left of the clusters not reached.
+            while len(near := near[cell.clusters[near] != cell.clusters[at]]):
+                _, first = np.unique(cell.clusters[near], return_index=True)
+                tried = near[first]
+                reached = tried[similar(mine, [sets[i] for i in tried])]
+                for i in reached:
+                    links.add(cell.join(i, at))
+                near = np.delete(near, first)
+            if len(links) >= 20_000:
+                yield _link_batch(links)
+                links = set()
+    if links:
+        yield _link_batch(links)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -246,50 +265,44 @@ def signatures(docs: DataFrame) -> DataFrame:
                        "minmax_signatures")
 
 
-def bucket_members(reps: DataFrame) -> DataFrame:
-    """(bucket, cell, doc_id) of the buckets with two members or more.
+def _cells(df: DataFrame, blocks: Column, block: Column, own_cells: bool) -> DataFrame:
+    """Rows dealt to cells of two blocks (or one, if there is but one); ``own_cells``: also to their block's own."""
+    df = df.withColumns({"blocks": blocks.cast("int"), "block": F.pmod(block, blocks).cast("int")})
+    other = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1),
+                     lambda o: F.lit(own_cells) | (o != F.col("block")) | (F.col("blocks") == 1))
+    return (df.withColumn("other", F.explode(other))
+            .withColumns({"cell": F.least("block", "other") * F.col("blocks") + F.greatest("block", "other"),
+                          "own": F.col("block") == F.col("other")})
+            .drop("blocks", "other"))
 
-    A bucket of up to BLOCK members is one cell.  A larger one is divided
-    into blocks by a hash of the id; each pair of blocks makes a cell, so any
-    two members meet and no task holds more than two blocks.
-    """
+
+def loose_links(reps: DataFrame) -> DataFrame:
+    """Distinct (a, b), a < b, of representatives that may be similar, enough to hold their groups together."""
     met = reps.select("doc_id", F.explode("bands").alias("bucket"))
     crowded = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    placed = met.join(crowded, "bucket").select(
-        "bucket", "doc_id", blocks.alias("blocks"), F.pmod(F.xxhash64("doc_id"), blocks).cast("int").alias("block"))
-    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1),
-                               lambda o: (o != F.col("block")) | (F.col("blocks") == 1)))
-    cell = F.least("block", "other") * F.col("blocks") + F.greatest("block", "other")
-    return placed.withColumn("other", other).select("bucket", cell.alias("cell"), "doc_id")
-
-
-def propose_links(members: DataFrame, reps: DataFrame, labels: DataFrame | None = None,
-                  tries: int | None = TRIES) -> DataFrame:
-    """(a, b) of representatives that may be similar, a < b; rows without a and b name buckets with untried pairs."""
-    known = reps.select("doc_id", "n_shingles", "sketch")
-    if labels is None:
-        known = known.withColumn("label", F.col("doc_id"))
-    else:
-        known = known.join(labels, known["doc_id"] == labels["node"], "left").select(
-            "doc_id", "n_shingles", "sketch", F.coalesce("component", "doc_id").alias("label"))
+    dealt = _cells(met.join(crowded, "bucket"), F.ceil(F.col("members") / BLOCK), F.xxhash64("doc_id"), False)
     order = ["bucket", "cell", "doc_id"]
-    return (members.join(known, "doc_id").repartition("bucket", "cell").sortWithinPartitions(*order)
-            .select(*order, "n_shingles", "sketch", "label").mapInArrow(_propose(tries), _LINKS).distinct())
-
-
-def confirm_links(docs: DataFrame, links: DataFrame) -> DataFrame:
-    """The links whose full shingle sets are similar enough."""
-    degree = links.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HOT_PIVOT).cast("int").alias("salts"))
-    partners = links.join(degree, "a").select(
-        F.col("a").alias("pivot"), F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"),
-        F.lit(1).alias("role"), F.col("b").alias("doc_id"))
-    pivots = degree.select(F.col("a").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                           F.lit(0).alias("role"), F.col("a").alias("doc_id"))
-    routes = partners.unionByName(pivots)
-    routed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(routes, "doc_id")
-    return (routed.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "role")
-            .select("pivot", "salt", "role", "doc_id", "text").mapInArrow(_confirm, "a long, b long"))
+    return (dealt.select(*order).join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+            .repartition("bucket", "cell").sortWithinPartitions(*order)
+            .select(*order, "n_shingles", "sketch").mapInArrow(_loose, _LINKS).distinct())
+
+
+def confirmed_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> DataFrame:
+    """(a, b) similar on their full sets, enough to hold the components of each loose group together."""
+    members = reps.select("doc_id", "n_shingles").join(groups, reps["doc_id"] == groups["node"]).select(
+        "doc_id", "n_shingles", F.col("component").alias("group"))
+    size = members.groupBy("group").agg(F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK),
+                                                   F.ceil(F.sum("n_shingles") / GROUP_SHINGLES)).alias("wanted"))
+    dealt = _cells(members.join(size, "group"), F.col("wanted"), F.xxhash64("doc_id"), True)
+    dealt = dealt.select("doc_id", "group", "cell", "block", "own").distinct()
+    # Texts outside all groups are left out before the shuffle, as far as the filter can tell.
+    value = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_VALUES)).alias("value")
+    wanted = members.select(value).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = texts.join(F.broadcast(wanted), value == wanted["value"], "left_semi")
+    return (texts.join(dealt, "doc_id").repartition("group", "cell")
+            .sortWithinPartitions("group", "cell", "block", "doc_id")
+            .select("group", "cell", "block", "own", "doc_id", "text").mapInArrow(_confirm, _LINKS))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -308,21 +321,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
                        & (wordy["doc_id"] == classes["rep"]))
             .select("doc_id", "n_shingles", "bands", "sketch").dropDuplicates(["doc_id", "sketch"]))
     reps = materialize(reps, "minmax_reps")
-    members = materialize(bucket_members(reps), "minmax_members")
-    links = materialize(propose_links(members, reps), "minmax_proposed")
-    confirmed = materialize(confirm_links(docs, links.filter("a is not null").select("a", "b")), "minmax_confirmed")
     # Rows that share an id join the classes they belong to.
-    of_class = wordy.join(classes, ["key_hi", "key_lo"])
-    shared = (of_class.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b"))
+    of_class = wordy.select("doc_id", "key_hi", "key_lo").join(classes, ["key_hi", "key_lo"])
+    shared = of_class.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b")
     ties = of_class.join(shared.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    confirmed = confirmed.unionByName(ties)
+
+    loose = materialize(loose_links(reps), "minmax_loose")
+    groups = connected_components(loose)
+    confirmed = materialize(confirmed_links(docs, reps, groups).unionByName(ties), "minmax_confirmed")
     labels = connected_components(confirmed)
-    untried = links.filter("a is null").select("bucket").distinct()
-    if untried.limit(1).count():
-        rest = materialize(propose_links(members.join(untried, "bucket"), reps, labels, None), "minmax_untried")
-        rest = rest.filter("a is not null").select("a", "b").join(links.select("a", "b"), ["a", "b"], "left_anti")
-        confirmed = confirmed.unionByName(materialize(confirm_links(docs, rest), "minmax_confirmed"))
-        labels = connected_components(confirmed)
     named = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         "key_hi", "key_lo", F.coalesce("component", "rep").alias("component"))
     known = signed["doc_id"].isNotNull() & (signed["n_shingles"] > 0)
