@@ -13,17 +13,20 @@ runs on short pieces, all of them at once and one symbol per round:
 2. Segments meet by anchor.  A segment that occurs twice as a whole is
    repeated in all its windows.  An anchor seen in one segment only has no
    repeated window.  The rest, different segments around one anchor, goes on.
-3. Those segments' bytes are routed by anchor, and their collection's
+3. Those segments are cut by the anchor's offset into blocks.  All windows of
+   a block share its core, so equal windows lie in blocks with equal anchor,
+   offset range and core; blocks that are alone in this are dropped.
+4. The others' bytes are routed by that key, and their collection's
    Burrows-Wheeler transform and common prefix array are built column by
-   column: round j inserts the j-th last symbol of every segment, updating
+   column: round j inserts the j-th last symbol of every piece, updating
    both arrays in one sequential pass.  Neighbours with a common prefix of
    200 or more are the repeated windows.
-4. The windows' bytes are united per document and removed.
+5. The windows' bytes are united per document and removed.
 
 Segments that repeat inside one batch are combined before the shuffle, so a
 passage shared by very many documents sends a few rows per task.  An anchor
 with more than ``HOT`` different segments is not built in one task: its
-windows are counted by hash over all tasks instead.
+blocks are single windows, counted by a 128-bit hash over all tasks.
 """
 
 from __future__ import annotations
@@ -35,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import materialize
+from farelens.llm.common import materialize, may_have
 
 WINDOW = 200
 GRAM = 32
@@ -44,6 +47,8 @@ CHUNK = 1 << 20
 # Bytes of segments whose transform is built together.
 BUILD = 1 << 17
 HOT = 4096
+# Anchor offsets of one block; its core is WINDOW - BLOCK + 1 bytes.
+BLOCK = 43
 
 _POSITION_BITS = 24
 _RNG = np.random.default_rng(2024)
@@ -151,73 +156,78 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield flush()
 
 
-_FOUND = "anchor long, uid long, uid2 long, start long, windows int, offset int, kind int"
+_FOUND = "anchor long, uid long, uid2 long, start long, windows int, offset int, n int, kind int"
 _FOUND_ARROW = pa.schema([("anchor", pa.int64()), ("uid", pa.int64()), ("uid2", pa.int64()), ("start", pa.int64()),
-                          ("windows", pa.int32()), ("offset", pa.int32()), ("kind", pa.int32())])
-# kind: repeated as a whole; to be built; to be counted window by window.
-REPEATED, BUILT, COUNTED = 0, 1, 2
+                          ("windows", pa.int32()), ("offset", pa.int32()), ("n", pa.int32()), ("kind", pa.int32())])
+# kind: repeated as a whole; contested; contested by so many that its windows are counted.
+REPEATED, CONTESTED, COUNTED = 0, 1, 2
 
 
-def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stream of segments sorted by anchor and key.
+def _meet(hot_kind: int):
+    """Streams of pieces sorted by anchor and key (the piece's content), each standing for ``n`` equal ones.
 
-    Emits every repeated segment, and of anchors with different segments, not
-    all of them repeated, one of each.  Holds at most HOT rows.
+    Emits every repeated piece, and of anchors with different pieces, not all
+    of them repeated, one of each.  Holds at most HOT rows: an anchor with
+    more different pieces emits them as ``hot_kind`` while they pass.
     """
-    out: list[tuple] = []
-    now = key = first = None      # the anchor, its current key, the key's first row
-    total = 0                     # rows of the current key
-    classes: list[tuple] = []     # one row per finished key of the anchor
-    single, hot = False, False
-
-    def close_class():
-        nonlocal single, hot
-        if first is None:
-            return
-        if total >= 2:
-            out.append((*first, REPEATED))
-        else:
-            single = True
-        if hot:
-            out.append((*first, COUNTED))
-            return
-        classes.append(first)
-        if len(classes) > HOT:
-            hot = True
-            out.extend((*c, COUNTED) for c in classes)
-            classes.clear()
 
-    def close_anchor():
-        nonlocal single, hot
-        close_class()
-        if not hot and single and len(classes) > 1:
-            out.extend((*c, BUILT) for c in classes)
-        classes.clear()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        now = key = first = None      # the anchor, its current key, the key's first row
+        total = 0                     # pieces of the current key
+        classes: list[tuple] = []     # one row per finished key of the anchor
         single, hot = False, False
 
-    def flush():
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _FOUND_ARROW)],
-                                          schema=_FOUND_ARROW)
-
-    for batch in batches:
-        for r in zip(*[batch.column(c).to_pylist() for c in ("anchor", "key", "n", "uid", "uid2", "start", "windows",
-                                                             "offset")]):
-            anchor, this, n, row = r[0], r[1], r[2], (r[0], *r[3:])
-            if anchor != now:
-                close_anchor()
-                now, key, first, total = anchor, this, row, n
-            elif this != key:
-                close_class()
-                key, first, total = this, row, n
+        def close_class():
+            nonlocal single, hot
+            if first is None:
+                return
+            if total >= 2:
+                out.append((*first, total, REPEATED))
             else:
-                out.append((*row, REPEATED))
-                total += n
-        if len(out) >= 5000:
+                single = True
+            if hot:
+                out.append((*first, min(total, 2), hot_kind))
+                return
+            classes.append((*first, min(total, 2)))
+            if len(classes) > HOT:
+                hot = True
+                out.extend((*c, hot_kind) for c in classes)
+                classes.clear()
+
+        def close_anchor():
+            nonlocal single, hot
+            close_class()
+            if not hot and single and len(classes) > 1:
+                out.extend((*c, CONTESTED) for c in classes)
+            classes.clear()
+            single, hot = False, False
+
+        def flush():
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _FOUND_ARROW)],
+                                              schema=_FOUND_ARROW)
+
+        for batch in batches:
+            for r in zip(*[batch.column(c).to_pylist() for c in ("anchor", "key", "n", "uid", "uid2", "start",
+                                                                 "windows", "offset")]):
+                anchor, this, n, row = r[0], r[1], r[2], (r[0], *r[3:])
+                if anchor != now:
+                    close_anchor()
+                    now, key, first, total = anchor, this, row, n
+                elif this != key:
+                    close_class()
+                    key, first, total = this, row, n
+                else:
+                    out.append((*row, n, REPEATED))
+                    total += n
+            if len(out) >= 5000:
+                yield flush()
+                out = []
+        close_anchor()
+        if out:
             yield flush()
-            out = []
-    close_anchor()
-    if out:
-        yield flush()
+
+    return run
 
 
 def repeated_windows(pieces: list[bytes]) -> list[np.ndarray]:
@@ -232,9 +242,13 @@ def repeated_windows(pieces: list[bytes]) -> list[np.ndarray]:
     """
     m = len(pieces)
     length = np.array([len(p) for p in pieces], dtype=np.int64)
-    flat = np.frombuffer(b"".join(pieces), dtype=np.uint8).astype(np.uint16) + np.uint16(1)
+    flat = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    # Symbols numbered from 1 in byte order; one byte each unless all 256 occur.
+    symbols = np.unique(flat)
+    kind = np.uint8 if len(symbols) < 256 else np.uint16
+    flat = (np.searchsorted(symbols, np.arange(256)) + 1).astype(kind)[flat]
     end = np.cumsum(length)
-    bwt, lcp = np.zeros(m, dtype=np.uint16), np.zeros(m, dtype=np.int16)
+    bwt, lcp = np.zeros(m, dtype=kind), np.zeros(m, dtype=np.int16)
     newest = np.arange(m)
     for j in range(1, int(length.max(initial=0)) + 1):
         active = np.flatnonzero(length >= j)
@@ -247,7 +261,7 @@ def repeated_windows(pieces: list[bytes]) -> list[np.ndarray]:
         new = m - none + at                             # their ranks among all suffixes
         old = np.ones(len(bwt) + len(active), dtype=bool)
         old[new] = False
-        next_bwt, next_lcp = np.zeros(len(old), dtype=np.uint16), np.zeros(len(old), dtype=np.int16)
+        next_bwt, next_lcp = np.zeros(len(old), dtype=kind), np.zeros(len(old), dtype=np.int16)
         next_bwt[old], next_lcp[old] = bwt, lcp
         # New suffixes and those right after them get their common prefix anew.
         touched = np.unique(np.concatenate([at, at + 1]))
@@ -288,38 +302,73 @@ def runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b - a)) for a, b in zip(edges[::2], edges[1::2])]
 
 
+def blocks_of(start: int, windows: int, offset: int) -> list[tuple[int, int, int, int]]:
+    """(block, first window's start, windows, core's start) of a segment's blocks of anchor offsets."""
+    out, anchor = [], start + offset
+    for block in range((offset - windows + 1) // BLOCK, offset // BLOCK + 1):
+        high = min(offset, block * BLOCK + BLOCK - 1)        # offsets fall as windows move right
+        low = max(offset - windows + 1, block * BLOCK)
+        out.append((block, anchor - high, high - low + 1, anchor - block * BLOCK))
+    return out
+
+
+def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of contested segments: keyed by anchor, offsets and core, with a hash of their whole content."""
+    hasher, core = Hasher(), WINDOW - BLOCK + 1
+    for batch in batches:
+        cols: list[list] = [[] for _ in _SEGMENT_ARROW]
+        for uid, uid2, text, wanted in zip(batch.column("uid").to_pylist(), batch.column("uid2").to_pylist(),
+                                           batch.column("text"), batch.column("wanted").to_pylist()):
+            data = np.frombuffer(text.as_py().encode("utf-8", "surrogatepass"), dtype=np.uint8)
+            found = sorted((b[1], b, w["anchor"], w["n"]) for w in wanted
+                           for b in blocks_of(w["start"], w["windows"], w["offset"]))
+            at = 0
+            while at < len(found):                            # blocks within one chunk at a time
+                base, part = found[at][0], []
+                while at < len(found) and found[at][0] + 2 * WINDOW <= base + CHUNK:
+                    part.append(found[at])
+                    at += 1
+                block, start, windows, middle = (np.array(c) for c in zip(*[f[1] for f in part]))
+                here = data[base:base + CHUNK]
+                cores = hasher.ranges(here, middle - base, middle - base + core)
+                whole = hasher.ranges(here, start - base, start - base + windows - 1 + WINDOW)
+                place = np.array([f[2] for f in part], dtype=np.int64).view(np.uint64)
+                place = _mix((place + block.astype(np.uint64) * _STEP[7]) ^ (cores * _STEP[6]))
+                for col, values in zip(cols, (place.view(np.int64).tolist(), whole.view(np.int64).tolist(),
+                                              [uid] * len(part), [uid2] * len(part), start.tolist(),
+                                              windows.tolist(), [0] * len(part), [f[3] for f in part])):
+                    col.extend(values)
+        if cols[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _SEGMENT_ARROW)],
+                                             schema=_SEGMENT_ARROW)
+
+
 _BYTES = "anchor long, kind int, uid long, uid2 long, start long, bytes binary, hash1 long, hash2 long"
 _BYTES_ARROW = pa.schema([("anchor", pa.int64()), ("kind", pa.int32()), ("uid", pa.int64()), ("uid2", pa.int64()),
                           ("start", pa.int64()), ("bytes", pa.binary()), ("hash1", pa.int64()), ("hash2", pa.int64())])
 
 
 def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of the segments to be built, hashes of every window of those to be counted."""
+    """Bytes of the blocks to be built, hashes of every window of those to be counted."""
     from hashlib import blake2b
 
-    out = []
-
-    def flush():
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _BYTES_ARROW)],
-                                          schema=_BYTES_ARROW)
-
     for batch in batches:
+        out = []
         for uid, uid2, text, wanted in zip(batch.column("uid").to_pylist(), batch.column("uid2").to_pylist(),
                                            batch.column("text"), batch.column("wanted").to_pylist()):
             data = text.as_py().encode("utf-8", "surrogatepass")
             for w in wanted:
-                start, windows, kind = w["start"], w["windows"], w["kind"]
-                if kind == BUILT:
-                    out.append((w["anchor"], kind, uid, uid2, start, data[start:start + windows - 1 + WINDOW], None, None))
-                else:
-                    for s in range(start, start + windows):
-                        h = np.frombuffer(blake2b(data[s:s + WINDOW], digest_size=16).digest(), dtype=np.int64)
-                        out.append((w["anchor"], kind, uid, uid2, s, None, int(h[0]), int(h[1])))
-            if len(out) >= 5000:
-                yield flush()
-                out = []
-    if out:
-        yield flush()
+                start, windows = w["start"], w["windows"]
+                if w["kind"] == CONTESTED:
+                    out.append((w["anchor"], CONTESTED, uid, uid2, start, data[start:start + windows - 1 + WINDOW], None, None))
+                    continue
+                for s in range(start, start + windows):
+                    h = np.frombuffer(blake2b(data[s:s + WINDOW], digest_size=16).digest(), dtype=np.int64)
+                    # A block that stands for several equal ones counts twice.
+                    out += [(w["anchor"], COUNTED, uid, uid2, s, None, int(h[0]), int(h[1]))] * w["n"]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), _BYTES_ARROW)],
+                                             schema=_BYTES_ARROW)
 
 
 _SPAN = "uid long, uid2 long, start long, windows int"
@@ -327,7 +376,7 @@ _SPAN_ARROW = pa.schema([("uid", pa.int64()), ("uid2", pa.int64()), ("start", pa
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stream of segment bytes sorted by anchor: runs of repeated windows."""
+    """Stream of blocks' bytes sorted by anchor: runs of repeated windows."""
     held, size, now = [], 0, None
 
     def solve():
@@ -390,32 +439,41 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     text of 200 bytes or more goes in all of them.  Rows without an id are
     treated alike.  An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # uid and uid2 name a row's id and text; rows alike in both have the same repeats.
+    once = ["uid", "uid2"]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                         F.coalesce("doc_id", F.lit(-1)).cast("long").alias("uid"),
                         F.xxhash64(F.isnull("doc_id"), "text").alias("uid2"))
-    cut = materialize(texts.select("uid", "uid2", "text").mapInArrow(_cut, _SEGMENT), "bwt_segments")
-    met = (cut.filter("n > 0").repartition("anchor").sortWithinPartitions("anchor", "key")
-           .select("anchor", "key", "n", "uid", "uid2", "start", "windows", "offset").mapInArrow(_meet, _FOUND))
-    met = materialize(met, "bwt_met")
-
-    # One exchange of the texts serves both joins below.
-    dealt = texts.repartition(n, "uid", "uid2")
-    wanted = (met.filter(F.col("kind") != REPEATED).groupBy("uid", "uid2")
-              .agg(F.collect_set(F.struct("anchor", "kind", "start", "windows")).alias("wanted")))
-    fetched = materialize(
-        dealt.join(wanted, ["uid", "uid2"]).dropDuplicates(["uid", "uid2"])
-        .select("uid", "uid2", "text", "wanted").mapInArrow(_fetch, _BYTES), "bwt_bytes")
-    built = (fetched.filter(F.col("kind") == BUILT).repartition("anchor").sortWithinPartitions("anchor")
-             .select("anchor", "uid", "uid2", "start", "bytes").mapInArrow(_build, _SPAN))
-    windows = fetched.filter(F.col("kind") == COUNTED).select("hash1", "hash2", "uid", "uid2", "start")
+
+    def meet(pieces: DataFrame, hot_kind: int) -> DataFrame:
+        dealt = pieces.filter("n > 0").repartition("anchor").sortWithinPartitions("anchor", "key")
+        return dealt.select("anchor", "key", "n", *once, "start", "windows", "offset").mapInArrow(_meet(hot_kind), _FOUND)
+
+    def texts_of(pieces: DataFrame) -> DataFrame:
+        """One row per text with its pieces that are not settled yet."""
+        open_ = pieces.filter(F.col("kind") != REPEATED)
+        wanted = open_.groupBy(*once).agg(
+            F.collect_set(F.struct("anchor", "kind", "start", "windows", "offset", "n")).alias("wanted"))
+        return (may_have(texts.select(*once, "text"), once, open_)
+                .join(wanted.hint("merge"), once).dropDuplicates(once))
+
+    cut = materialize(texts.select(*once, "text").mapInArrow(_cut, _SEGMENT), "bwt_segments")
+    met = materialize(meet(cut, CONTESTED), "bwt_met")
+    split = texts_of(met).select(*once, "text", "wanted").mapInArrow(_split, _SEGMENT)
+    met_blocks = materialize(meet(split, COUNTED), "bwt_met_blocks")
+    fetched = materialize(texts_of(met_blocks).select(*once, "text", "wanted").mapInArrow(_fetch, _BYTES), "bwt_bytes")
+    built = (fetched.filter(F.col("kind") == CONTESTED).repartition("anchor").sortWithinPartitions("anchor")
+             .select("anchor", *once, "start", "bytes").mapInArrow(_build, _SPAN))
+    windows = fetched.filter(F.col("kind") == COUNTED).select("hash1", "hash2", *once, "start")
     twice = windows.groupBy("hash1", "hash2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    counted = windows.join(twice, ["hash1", "hash2"]).select("uid", "uid2", "start", F.lit(1).alias("windows"))
-    whole = (met.filter(F.col("kind") == REPEATED).select("uid", "uid2", "start", "windows")
-             .unionByName(cut.filter("n = 0").select("uid", "uid2", "start", "windows")))
-    spans = (whole.unionByName(built).unionByName(counted).groupBy("uid", "uid2")
-             .agg(F.collect_set(F.struct("start", "windows")).alias("spans")))
-    joined = dealt.join(spans, ["uid", "uid2"], "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_remove(keep_text), _OUT.replace("kept string", "kept binary"))
+    counted = windows.join(twice, ["hash1", "hash2"]).select(*once, "start", F.lit(1).alias("windows"))
+    spans = cut.filter("n = 0").select(*once, "start", "windows").unionByName(built).unionByName(counted)
+    for pieces in (met, met_blocks):
+        spans = spans.unionByName(pieces.filter(F.col("kind") == REPEATED).select(*once, "start", "windows"))
+    spans = materialize(spans.groupBy(*once).agg(F.collect_set(F.struct("start", "windows")).alias("spans")), "bwt_spans")
+
+    # Texts without a span need not meet any.
+    touched = may_have(texts, once, spans).join(spans.hint("merge"), once, "left").select("doc_id", "text", "spans")
+    free = may_have(texts, once, spans, absent=True).select("doc_id", "text", F.lit(None).cast(
+        "array<struct<start: bigint, windows: int>>").alias("spans"))
+    return touched.unionByName(free).mapInArrow(_remove(keep_text), _OUT.replace("kept string", "kept binary"))

@@ -37,3 +37,19 @@ def word_count(text: Column) -> Column:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Hash values kept by ``may_have``; bounds what it broadcasts (16 bytes a value).
+FILTER_VALUES = 1 << 20
+
+
+def may_have(df: DataFrame, keys: list[str], wanted: DataFrame, absent: bool = False) -> DataFrame:
+    """Rows of ``df`` whose key may be in ``wanted`` (``absent``: those whose key is surely not).
+
+    A filter in front of a shuffle, like a Bloom filter: keys are hashed to
+    FILTER_VALUES values and the set of those is broadcast, whose size does
+    not grow with the data.  With very many keys it lets everything pass.
+    """
+    value = F.pmod(F.xxhash64(*keys), F.lit(FILTER_VALUES))
+    values = wanted.select(value.alias("__value")).distinct()
+    return df.join(F.broadcast(values), value == values["__value"], "left_anti" if absent else "left_semi")

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelens.llm.common import materialize
+from farelens.llm.common import materialize, may_have
 from farelens.llm.components import connected_components
 
 SHINGLE = 5
@@ -49,8 +49,6 @@ BLOCK = 4_096           # members of a large bucket that stay together
 # Members of a loose group that stay together, and their shingles (eight bytes each).
 GROUP_BLOCK, GROUP_SHINGLES = 2_048, 4_000_000
 MAYBE = 0.6             # estimate from which a pair may be similar
-# Hash values of the ids whose texts are fetched; bounds what is broadcast to filter the rest out.
-FILTER_VALUES = 1 << 20
 
 _M1, _M2 = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
@@ -296,11 +294,8 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> Data
     dealt = _cells(members.join(size, "group"), F.col("wanted"), F.xxhash64("doc_id"), True)
     dealt = dealt.select("doc_id", "group", "cell", "block", "own").distinct()
     # Texts outside all groups are left out before the shuffle, as far as the filter can tell.
-    value = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_VALUES)).alias("value")
-    wanted = members.select(value).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(F.broadcast(wanted), value == wanted["value"], "left_semi")
-    return (texts.join(dealt, "doc_id").repartition("group", "cell")
+    texts = may_have(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id"], members)
+    return (texts.join(dealt.hint("merge"), "doc_id").repartition("group", "cell")
             .sortWithinPartitions("group", "cell", "block", "doc_id")
             .select("group", "cell", "block", "own", "doc_id", "text").mapInArrow(_confirm, _LINKS))
 
