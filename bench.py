@@ -6,8 +6,8 @@ Prints one JSON line:
 An untimed warm-up runs the same paths on sf0.001 first.  Timed work
 (each forces full computation; row outputs go to Spark's
 ``noop`` sink or are collected when they are a handful of aggregate rows):
-- etl_load: fixture -> features -> quality gate -> fact parquet (one raw
-  scan, counts via Observation)
+- etl_load: fixture -> quality gate -> features -> fact parquet (counts from
+  the footers and an Observation)
 - dashboard_rollup: the 17 views from one rollup pass over the written fact
 - views_direct: the 17 views one by one over the written fact (17 scans)
 - end-to-end registry queries from the events table
