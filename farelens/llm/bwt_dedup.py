@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import materialize, may_have
+from farelens.llm.common import materialize, may_have, spread
 
 WINDOW = 200
 GRAM = 32
@@ -462,7 +462,7 @@ def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     split = texts_of(met).select(*once, "text", "wanted").mapInArrow(_split, _SEGMENT)
     met_blocks = materialize(meet(split, COUNTED), "bwt_met_blocks")
     fetched = materialize(texts_of(met_blocks).select(*once, "text", "wanted").mapInArrow(_fetch, _BYTES), "bwt_bytes")
-    built = (fetched.filter(F.col("kind") == CONTESTED).repartition("anchor").sortWithinPartitions("anchor")
+    built = (spread(fetched.filter(F.col("kind") == CONTESTED), "anchor").sortWithinPartitions("anchor")
              .select("anchor", *once, "start", "bytes").mapInArrow(_build, _SPAN))
     windows = fetched.filter(F.col("kind") == COUNTED).select("hash1", "hash2", *once, "start")
     twice = windows.groupBy("hash1", "hash2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")

@@ -53,3 +53,11 @@ def may_have(df: DataFrame, keys: list[str], wanted: DataFrame, absent: bool = F
     value = F.pmod(F.xxhash64(*keys), F.lit(FILTER_VALUES))
     values = wanted.select(value.alias("__value")).distinct()
     return df.join(F.broadcast(values), value == values["__value"], "left_anti" if absent else "left_semi")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash partitions by ``keys`` for work that costs far more time than its bytes tell.
+
+    The number is given, so that the planner does not pack them together by size.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelens.llm.common import materialize, may_have
+from farelens.llm.common import materialize, may_have, spread
 from farelens.llm.components import connected_components
 
 SHINGLE = 5
@@ -280,8 +280,8 @@ def loose_links(reps: DataFrame) -> DataFrame:
     crowded = met.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     dealt = _cells(met.join(crowded, "bucket"), F.ceil(F.col("members") / BLOCK), F.xxhash64("doc_id"), False)
     order = ["bucket", "cell", "doc_id"]
-    return (dealt.select(*order).join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
-            .repartition("bucket", "cell").sortWithinPartitions(*order)
+    rows = dealt.select(*order).join(reps.select("doc_id", "n_shingles", "sketch"), "doc_id")
+    return (spread(rows, "bucket", "cell").sortWithinPartitions(*order)
             .select(*order, "n_shingles", "sketch").mapInArrow(_loose, _LINKS).distinct())
 
 
@@ -295,7 +295,7 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> Data
     dealt = dealt.select("doc_id", "group", "cell", "block", "own").distinct()
     # Texts outside all groups are left out before the shuffle, as far as the filter can tell.
     texts = may_have(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id"], members)
-    return (texts.join(dealt.hint("merge"), "doc_id").repartition("group", "cell")
+    return (spread(texts.join(dealt.hint("merge"), "doc_id"), "group", "cell")
             .sortWithinPartitions("group", "cell", "block", "doc_id")
             .select("group", "cell", "block", "own", "doc_id", "text").mapInArrow(_confirm, _LINKS))
 
