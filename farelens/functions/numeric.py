@@ -2,31 +2,36 @@
 
 Row-level features use Spark's own ``round`` on doubles (half-up on the
 shortest decimal form), exactly what the original transform does.  Measures
-are summed as decimals, which is exact and does not depend on the order of
+are summed as whole numbers, which is exact and does not depend on the order of
 the rows, and rounded once, half-up, like the warehouse's
 ``ROUND(x::numeric, 2)``.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Measures carry at most a few decimals (amounts two, minutes a 60th); sums of
-# 1e18 rows of up to 1e11 still fit.
-MEASURE = "decimal(28,8)"
+# Measures are summed in whole units of 1e-8 (they carry at most a few decimals:
+# amounts two, minutes a 60th).  One long would overflow at scale and a decimal
+# per row costs five times a double, so units are summed in two longs: the
+# multiples of SPLIT and the rest, enough for 9e12 rows.
+UNITS = 100_000_000
+SPLIT = 1_000_000
 # What a double or a quotient is rounded from: one rounding, at the 2nd place.
 WIDE = "decimal(38,18)"
 
 
-def exact(col: Column) -> Column:
-    """A measure as an exact decimal (NULL stays NULL).
+def units(col: Column) -> Column:
+    """A measure in whole units of 1e-8 (NULL stays NULL).
 
     Raw values that are no finite amounts are counted and rejected by the
-    gate (``values_castable``).  What remains is a rate that overflows, such
-    as a fare over a vanishing distance; that row alone has no rate then.
+    gate (``values_castable``).  What remains beyond 9e10 is a rate that
+    overflows, such as a fare over a vanishing distance; that row has none.
     """
-    return col.try_cast(MEASURE)
+    return F.rint(col * F.lit(float(UNITS))).try_cast("long")
 
 
 def agg2(col: Column) -> Column:
@@ -35,7 +40,11 @@ def agg2(col: Column) -> Column:
 
 
 def exact_sum(col: Column) -> Column:
-    return F.sum(exact(col))
+    """SUM as decimal(38,8), whatever the order of the rows."""
+    u = units(col)
+    high = F.sum(F.call_function("div", u, F.lit(SPLIT))).cast("decimal(20,0)")
+    low = F.sum(u % F.lit(SPLIT)).cast("decimal(19,0)")
+    return (high * F.lit(Decimal(SPLIT)) + low) * F.lit(Decimal(1) / UNITS)
 
 
 def exact_avg(total: Column, count: Column) -> Column:
@@ -49,7 +58,7 @@ def exact_avg(total: Column, count: Column) -> Column:
 
 def avg_of(col: Column) -> Column:
     """AVG (NULLs ignored), not rounded yet."""
-    return exact_avg(exact_sum(col), F.count(col))
+    return exact_avg(exact_sum(col), F.count(units(col)))
 
 
 def avg2(column: str) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from farelens import schema as S
-from farelens.functions.numeric import MEASURE, WIDE
+from farelens.functions.numeric import SPLIT, UNITS, WIDE
 
 
 @dataclass(frozen=True)
@@ -137,11 +137,13 @@ def render(spec: ViewSpec, measure, fact: str = "fact", prefix: str = "") -> str
 
 
 def spark_measure(kind: str, column: str) -> str:
-    total = f"SUM(TRY_CAST({column} AS {MEASURE}))"
+    units = f"TRY_CAST(RINT({column} * {UNITS}D) AS BIGINT)"
+    total = (f"((CAST(SUM({units} DIV {SPLIT}) AS DECIMAL(20,0)) * {SPLIT} "
+             f"+ CAST(SUM({units} % {SPLIT}) AS DECIMAL(19,0))) * 0.00000001BD)")
     value = {
         "n": "COUNT(*)",
         "sum": total,
-        "avg": f"try_divide(CAST({total} AS DECIMAL(30,8)), CAST(COUNT({column}) AS DECIMAL(13,0)))",
+        "avg": f"try_divide(CAST({total} AS DECIMAL(30,8)), CAST(COUNT({units}) AS DECIMAL(13,0)))",
         "min": f"MIN({column})",
         "max": f"MAX({column})",
         "share": "try_divide(CAST(100 * COUNT(*) AS DECIMAL(20,0)), CAST(SUM(COUNT(*)) OVER () AS DECIMAL(20,0)))",
