@@ -204,6 +204,9 @@ def _cutter(block_words: int):
 
         out = []
         for text, own, counts in zip(texts, blocks, words):
+            if text is None:
+                out.append(None)
+                continue
             starts = [m.start() for m in re.finditer("[^\x20\x09-\x0d]+", text)] + [len(text)]
             pieces = [text[starts[b * block_words]: starts[min(b * block_words + w, len(starts) - 1)]]
                       for b, w in sorted(zip(own, counts))]
@@ -237,9 +240,11 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options)
                                       F.col("_counts").alias("__mix_counts"))
     joined = left.join(own, same).filter(F.abs(F.col("__mix_rep") - F.col("__mix_own_rep")) < 1)
     whole = F.col("__mix_words") == F.col("__mix_size")
-    full = joined.filter(whole).select(*docs.columns)
-    cut = _cutter(block_words)("text", "__mix_blocks", "__mix_counts")
-    part = joined.filter(~whole).withColumn("text", cut)
+    # Whole passes go by without Python; one branch, so that the texts are shuffled once.
+    part = [F.when(~whole, F.col(c)) for c in ("text", "__mix_blocks", "__mix_counts")]
+    joined = joined.withColumn("__mix_cut", _cutter(block_words)(*part))
     if "n_chars" in docs.columns:
-        part = part.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return full.unionByName(part.select(*docs.columns))
+        n_chars = F.length("__mix_cut").cast(docs.schema["n_chars"].dataType)
+        joined = joined.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(n_chars))
+    joined = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(F.col("__mix_cut")))
+    return joined.select(*docs.columns)
