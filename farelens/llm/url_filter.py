@@ -2,9 +2,10 @@
 
 The vocabulary is searched with one Aho-Corasick pass per URL.  A term counts
 only between boundaries (no ASCII letter or digit next to it) and once per
-URL.  A strict term weighs the whole limit, a soft term a part of it; a URL
-is blocked when its distinct terms reach the limit, that is on one strict
-term or on several soft ones.
+URL.  A term is a word or a group ``(?:a|b)`` of its forms.  A strict term
+weighs the whole limit, a soft term a part of it; a URL is blocked when its
+distinct terms reach the limit, that is on one strict term or on several soft
+ones.
 """
 
 from __future__ import annotations
@@ -15,10 +16,43 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-STRICT_TERMS = ("spam-farm", "cheap-pills", "porn", "xxx", "warez", "malware", "phishing",
-                "viagra", "camgirls")
-SOFT_TERMS = ("adult", "bet", "casino", "cheap", "crack", "dating", "deals", "escort", "farm",
-              "free", "jackpot", "loan", "pills", "poker", "sex", "spam", "torrent", "win")
+def _terms(words: str) -> tuple[str, ...]:
+    """One term a line; the forms of a word, joined by ``|``, are one term and count once."""
+    return tuple(f"(?:{w})" if "|" in w else w for w in words.split())
+
+
+# Plain words of each category, no host names.  A single letter says nothing
+# by itself, so "x" stands only beside the words it marks.
+_X = ("adult", "adults", "cam", "cams", "clip", "clips", "movie", "movies", "rated", "sex", "tube", "video", "videos")
+
+STRICT_BY_CATEGORY = {
+    "adult": _terms("""porn|porno|pornos|pornstar|pornstars xxx|xxxx camgirl|camgirls|sexcam|sexcams hentai milf|milfs
+                       blowjob|blowjobs""") + (f"(?:{'|'.join([f'x-{w}' for w in _X] + [f'{w}-x' for w in _X])})",),
+    "gambling": _terms("sportsbook|sportsbooks"),
+    "ads": _terms("adserver|adservers|ad-server|ad-servers doubleclick popunder|popunders"),
+    "spam": _terms("link-farm|link-farms|linkfarm|linkfarms"),
+    "pharmacy": _terms("viagra cialis levitra no-prescription|without-prescription"),
+    "malware": _terms("malware|malwares phishing|phisher|phishers warez keygen|keygens"),
+}
+SOFT_BY_CATEGORY = {
+    "adult": _terms("""adult|adults dating|datings escort|escorts|escorting sex|sexy erotic|erotica nude|nudes|nudity
+                       fetish|fetishes webcam|webcams hookup|hookups nsfw"""),
+    "gambling": _terms("""bet|bets|betting|bettor|bettors casino|casinos jackpot|jackpots poker
+                          win|wins|winner|winners|winning gamble|gambler|gamblers|gambling roulette
+                          lottery|lotteries|lotto blackjack slots wager|wagers|wagering bingo"""),
+    "ads": _terms("""ad|ads|advert|adverts|advertise|advertising|advertisement|advertisements
+                     track|tracks|tracker|trackers|tracking banner|banners popup|popups|pop-up|pop-ups
+                     sponsored|sponsor|sponsors affiliate|affiliates click|clicks|clicker promo|promos telemetry"""),
+    "spam": _terms("""cheap|cheaper|cheapest deal|deals farm|farms|farming free|freebie|freebies loan|loans
+                      spam|spams|spammer|spammers|spamming|spammy payday discount|discounts|discounted
+                      coupon|coupons giveaway|giveaways replica|replicas backlink|backlinks bulk"""),
+    "pharmacy": _terms("""pill|pills pharmacy|pharmacies|pharma meds rx tramadol xanax phentermine
+                          steroid|steroids painkiller|painkillers"""),
+    "malware": _terms("""crack|cracks|cracked|cracking|cracker torrent|torrents trojan|trojans spyware|adware
+                         keylogger|keyloggers botnet|botnets nulled hack|hacks|hacked serial|serials"""),
+}
+STRICT_TERMS = tuple(t for terms in STRICT_BY_CATEGORY.values() for t in terms)
+SOFT_TERMS = tuple(t for terms in SOFT_BY_CATEGORY.values() for t in terms)
 SOFT_LIMIT = 2
 
 #: (verdict, host, path)
@@ -68,7 +102,8 @@ def term_counter(strict=STRICT_TERMS, soft=SOFT_TERMS):
         machine = ahocorasick.Automaton()
         kind = {t: 1 for t in soft} | {t: 0 for t in strict}
         for term in kind:
-            machine.add_word(term, term)
+            for form in term.removeprefix("(?:").removesuffix(")").split("|"):
+                machine.add_word(form, (form, term))
         machine.make_automaton()
         edge = frozenset("abcdefghijklmnopqrstuvwxyz0123456789")
         for urls in batches:
@@ -77,8 +112,8 @@ def term_counter(strict=STRICT_TERMS, soft=SOFT_TERMS):
                 found = set()
                 if url:
                     url = url.lower()
-                    for end, term in machine.iter(url):
-                        start = end - len(term)
+                    for end, (form, term) in machine.iter(url):
+                        start = end - len(form)
                         if (start < 0 or url[start] not in edge) and (end + 1 == len(url) or url[end + 1] not in edge):
                             found.add(term)
                 n_soft = sum(kind[t] for t in found)
