@@ -34,7 +34,7 @@ def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture of sources: a row per document and pass over its source."""
+    """The mixture of sources: a row per drawn block, by shard and within it by the keyed hash."""
     return mixing.mixed_documents(docs)
 
 

@@ -10,7 +10,8 @@
    hypergeometric distribution, so shard sizes and source quotas both come
    out exactly, as if all drawn blocks had been dealt from one shuffled deck.
 4. A shard takes the disjoint range of each source's permuted blocks that its
-   quota names, and orders its blocks by a keyed hash.
+   quota names, and orders its blocks by a keyed hash.  ``mixed_documents``
+   writes the drawn blocks so.
 
 Everything that grows with the documents stays in Spark; only one row per
 source (at most ``max_sources``, else an error) reaches the driver.
@@ -45,6 +46,7 @@ class Mix:
     sizes: DataFrame    # doc_id, rep, source, size, source_size, target
     draws: DataFrame    # one row per drawn block: doc, block, copy, words, shard, draw_key
     targets: DataFrame  # one row per source
+    n_shards: int
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHARE,
@@ -184,21 +186,24 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHA
              .withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("deal"))))
              .withColumn("draw_key", F.xxhash64(F.lit(seed + 1), "shard", "doc_id", "rep", "block", "copy"))
              .select("doc_id", "rep", "source", "size", "block", "copy", "words", "shard", "draw_key"))
-    return Mix(sizes, draws, targets)
+    return Mix(sizes, draws, targets, n_shards)
 
 
 def taken_words(mix: Mix) -> DataFrame:
-    """Words taken per document, zero for those never drawn."""
+    """Words taken per document and its drawn blocks in each shard, zero for those never drawn."""
     keys = ["doc_id", "rep", "source", "size"]
-    none = mix.sizes.select(*keys, "source_size", "target", F.lit(0).cast("long").alias("words"))
+    none = mix.sizes.select(*keys, "source_size", "target", F.lit(0).cast("long").alias("words"),
+                            F.lit(None).cast("int").alias("shard"))
     drawn = mix.draws.select(*keys, F.lit(None).cast("long").alias("source_size"),
-                             F.lit(None).cast("double").alias("target"), "words")
+                             F.lit(None).cast("double").alias("target"), "words", "shard")
     return none.unionByName(drawn).groupBy(*keys).agg(
-        F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("words").alias("taken"))
+        F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("words").alias("taken"),
+        F.count("shard").alias("blocks"),
+        F.array(*[F.count_if(F.col("shard") == i) for i in range(mix.n_shards)]).alias("shard_blocks"))
 
 
 def _cutter(block_words: int):
-    @F.pandas_udf("string")
+    @F.pandas_udf("array<string>")
     def cut(texts: pd.Series, blocks: pd.Series, words: pd.Series) -> pd.Series:
         import re
 
@@ -208,27 +213,27 @@ def _cutter(block_words: int):
                 out.append(None)
                 continue
             starts = [m.start() for m in re.finditer("[^\x20\x09-\x0d]+", text)] + [len(text)]
-            pieces = [text[starts[b * block_words]: starts[min(b * block_words + w, len(starts) - 1)]]
-                      for b, w in sorted(zip(own, counts))]
-            out.append("".join(p if p[-1:].isspace() else p + " " for p in pieces).rstrip())
+            out.append([text if w == len(starts) - 1 else
+                        text[starts[b * block_words]: starts[min(b * block_words + w, len(starts) - 1)]]
+                        .rstrip("\x20\t\n\x0b\x0c\r") for b, w in zip(own, counts)])
         return pd.Series(out, dtype="object")
 
     return cut
 
 
-def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) -> DataFrame:
-    """The mixture as documents: one row per document and pass over its source.
+def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) -> tuple[DataFrame, int]:
+    """The mixture, one row per drawn block, and the number of shards.
 
-    A whole pass keeps the text as it is; the last, partial pass holds the
-    drawn blocks of the document in text order.  Rows keep the columns of
-    ``docs``; ``n_chars`` (if there) is counted anew for cut texts.
+    Rows have the columns of ``docs`` and __mix_draw: the drawn block's
+    draw_key, block, copy, rep, shard and words.  A document drawn as one
+    whole block keeps its text as it is; ``n_chars`` (if there) is counted
+    anew for cut texts.
     """
     mix = mix_sources(docs, block_words=block_words, **options)
     keys = ["doc_id", "rep", "source", "size"]
-    own = (mix.draws.groupBy(*keys, "copy")
-           .agg(F.sum("words").alias("_words"), F.collect_list("block").alias("_blocks"),
-                F.collect_list("words").alias("_counts")))
-    # One shuffle of the texts: the numbering of repeated rows and the join
+    own = (mix.draws.groupBy(*keys)
+           .agg(F.collect_list(F.struct("draw_key", "block", "copy", "rep", "shard", "words")).alias("__mix_draws")))
+    # One shuffle of whole texts: the numbering of repeated rows and the join
     # share the hash of (id, source, size), NULLs under a stand-in beside a flag.
     key = {"__mix_id": F.coalesce("doc_id", F.lit(-1).cast("long")), "__mix_no_id": F.isnull("doc_id"),
            "__mix_source": F.coalesce("source", F.lit("")), "__mix_no_source": F.isnull("source")}
@@ -236,15 +241,38 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options)
     same = [*key, "__mix_size"]
     left = left.withColumn("__mix_rep", F.row_number().over(Window.partitionBy(*same).orderBy("__mix_id")))
     own = own.withColumns(key).select(*key, F.col("size").alias("__mix_size"), F.col("rep").alias("__mix_own_rep"),
-                                      F.col("_words").alias("__mix_words"), F.col("_blocks").alias("__mix_blocks"),
-                                      F.col("_counts").alias("__mix_counts"))
+                                      "__mix_draws")
     joined = left.join(own, same).filter(F.abs(F.col("__mix_rep") - F.col("__mix_own_rep")) < 1)
-    whole = F.col("__mix_words") == F.col("__mix_size")
-    # Whole passes go by without Python; one branch, so that the texts are shuffled once.
-    part = [F.when(~whole, F.col(c)) for c in ("text", "__mix_blocks", "__mix_counts")]
+    whole = F.forall("__mix_draws", lambda d: d["words"] == F.col("__mix_size"))
+    # Whole documents go by without Python; one branch, so that the texts are shuffled once.
+    part = [F.when(~whole, c) for c in (F.col("text"), F.col("__mix_draws.block"), F.col("__mix_draws.words"))]
     joined = joined.withColumn("__mix_cut", _cutter(block_words)(*part))
+    cut = F.coalesce("__mix_cut", F.transform("__mix_draws", lambda d: F.lit(None).cast("string")))
+    pairs = F.arrays_zip(F.col("__mix_draws").alias("draw"), cut.alias("cut"))
+    # The whole text is needed no more once a block of it was cut.
+    rows = joined.withColumn("__mix_whole", F.when(whole, F.col("text"))).drop("text")
+    rows = rows.withColumn("__mix_pair", F.explode(pairs))
+    rows = rows.withColumns({"__mix_draw": F.col("__mix_pair.draw"),
+                             "text": F.coalesce("__mix_pair.cut", "__mix_whole")})
     if "n_chars" in docs.columns:
-        n_chars = F.length("__mix_cut").cast(docs.schema["n_chars"].dataType)
-        joined = joined.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(n_chars))
-    joined = joined.withColumn("text", F.when(whole, F.col("text")).otherwise(F.col("__mix_cut")))
-    return joined.select(*docs.columns)
+        n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+        rows = rows.withColumn("n_chars", F.when(F.isnull("__mix_pair.cut"), F.col("n_chars")).otherwise(n_chars))
+    return rows.select(*docs.columns, "__mix_draw"), mix.n_shards
+
+
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) -> DataFrame:
+    """The mixture in the columns of ``docs``: one row per drawn block, dealt to shards.
+
+    Rows lie by shard and, within it, by the keyed hash of the draw, so the
+    copies of a document come apart.  A shard is a run of successive
+    partitions, each a range of the hash, as many as the session's shuffle
+    partitions ask for.
+    """
+    rows, n_shards = mixed_blocks(docs, block_words, **options)
+    draw = F.col("__mix_draw")
+    per_shard = -(-int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // n_shards)
+    place = F.floor((draw["draw_key"].cast("double") / 2.0**64 + 0.5) * per_shard).cast("int")
+    place = draw["shard"] * per_shard + F.least(place, F.lit(per_shard - 1))
+    return (rows.repartitionById(n_shards * per_shard, place.cast("int"))
+            .sortWithinPartitions(draw["draw_key"], "doc_id", draw["rep"], draw["block"], draw["copy"])
+            .select(*docs.columns))

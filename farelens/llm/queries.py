@@ -29,7 +29,8 @@ def tokenizer_path() -> str:
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
-    return mixing.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken", "blocks",
+                                       "shard_blocks")
 
 
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -110,6 +110,23 @@ def test_mixed_documents_hold_the_words_taken(docs, no_docs):  # noqa: F811
     assert mixing.mixed_documents(no_docs).count() == 0
 
 
+def test_mixture_lies_by_shard_and_keyed_hash(spark, docs):  # noqa: F811
+    docs = docs.filter("text is not null")
+    mix = mixing.mix_sources(docs, block_words=8, n_shards=4)
+    draws = sorted(mix.draws.collect(), key=lambda r: (r.shard, r.draw_key))
+    out = mixing.mixed_documents(docs, block_words=8, n_shards=4)
+    rows = [r.doc_id for part in out.select("doc_id").rdd.glom().collect() for r in part]
+    assert rows == [r.doc_id for r in draws]
+    # Copies of a document drawn twice are dealt apart: they are not all neighbours.
+    twice = {(r.doc_id, r.rep, r.block) for r in draws if r.copy == 1}
+    at = {(r.doc_id, r.rep, r.block, r.copy): i for i, r in enumerate(draws)}
+    gaps = [abs(at[(*k, 0)] - at[(*k, 1)]) for k in twice]
+    assert gaps and np.mean([g > 1 for g in gaps]) > 0.9
+    per_doc = Counter((r.doc_id, r.rep, r.shard) for r in draws)
+    for r in mixing.taken_words(mix).collect():
+        assert r.shard_blocks == [per_doc[r.doc_id, r.rep, i] for i in range(4)] and r.blocks == sum(r.shard_blocks)
+
+
 def test_splitting_tree_is_exact():
     quotas = [1000, 3, 0, 517, 40_000]
     out = mixing.split_quotas(quotas, 7, seed=1)
