@@ -11,7 +11,8 @@ ipv4    four octets up to 255                   the 32-bit number
 date    real calendar day, 1900 to 2099         the day's number
 ssn     no reserved area, group or serial       the number among the valid ones
 phone   7 to 15 digits                          digits after the country code
-card    13 to 19 digits, Luhn check             all but the check digit, which is computed anew
+card    13 to 19 digits, Luhn check, from the   all but the check digit, which is computed anew
+        begin to the end of numbers in a run
 secret  16 or more characters after a key word  characters, each in its class (hex stays hex)
 """
 
@@ -30,10 +31,23 @@ IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 DATE = (r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
         r"(?![0-9]|[/.-][0-9])")
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
+# Card numbers as they are usually written.
+FORMED = (r"(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}(?:[ -][0-9]{3}(?![ -]?[0-9]))?|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})"
+          r"(?![0-9A-Za-z])")
 PHONE = (r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"
          r"|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
-         r"|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9-])")
-CARD = r"(?<![0-9A-Za-z.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]|-[0-9])"
+         r"|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9-])"
+         # North American, also with spaces or a leading 1; with a trunk 0; French pairs.
+         r"|(?<![0-9A-Za-z.-])(?:1[ .-]?)?[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4}(?![0-9]|-[0-9])"
+         rf"|(?<![0-9A-Za-z.,-])(?!{FORMED})0[1-9][0-9]{{1,4}}[ /-](?!{FORMED})"
+         rf"(?:[0-9]{{3,4}}(?:[ -](?!{FORMED})[0-9]{{2}}){{2}}(?![0-9])|[0-9]{{6,8}}|[0-9]{{3,5}}(?:[ -](?!{FORMED})[0-9]{{2,4}})?)"
+         r"(?![0-9]|[.,-][0-9])"
+         r"|(?<![0-9A-Za-z.,-])0[1-9](?:[ .-][0-9]{2}){4}(?![0-9]|[.,-][0-9])")
+# A run of numbers as far as no other kind begins in it; the cards are looked
+# for inside.  Possessive, so that a long run is matched without recursion.
+_NUMBER = r"[0-9]++(?![0-9A-Za-z]|\.[0-9]|[A-Za-z0-9._%+-]{0,64}@)"
+CARD = (rf"(?<![0-9A-Za-z.-])(?=[0-9](?:[ -]?[0-9]){{12}})(?:{FORMED}|{_NUMBER})"
+        rf"(?:[ -](?:{FORMED}|(?!{DATE}|{SSN}|{PHONE}){_NUMBER}))*+")
 SECRET = (r"(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*[\"']?[A-Za-z0-9+/_-]{16,}"
           r"|[\"'][0-9a-fA-F]{32,}[\"']")
 ANY = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, IPV4, DATE, SSN, PHONE, CARD))
@@ -161,23 +175,81 @@ def _ssn(v: Column, key: str) -> tuple[Column, Column]:
 
 
 def _phone(v: Column, key: str) -> tuple[Column, Column]:
-    country = F.regexp_extract(v, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
+    country = F.regexp_extract(v, r"^(?:\+[0-9]{1,3}|1)(?=[ .(-])", 0)
     rest = F.substr(v, F.length(country) + 1)
     digits = F.regexp_replace(rest, "[^0-9]", "")
     n = F.length(F.regexp_replace(v, "[^0-9]", ""))
     return n.between(7, 15), F.concat(country, _refill(rest, permute_string(digits, key, "phone")))
 
 
-def _card(v: Column, key: str) -> tuple[Column, Column]:
+def _card(v: Column, key: str) -> Column:
     digits = F.regexp_replace(v, "[^0-9]", "")
-    valid = F.length(digits).between(13, 19) & (luhn_sum(digits) % 10 == 0)
     body = permute_string(F.substr(digits, F.lit(1), F.length(digits) - 1), key, "card")
 
     def close(b: Column) -> Column:
         check = F.pmod(-luhn_sum(F.concat(b, F.lit("0"))), F.lit(10))
         return _refill(v, F.concat(b, check.cast("string")))
 
-    return valid, F.element_at(F.transform(F.array(body), close), 1)
+    return F.element_at(F.transform(F.array(body), close), 1)
+
+
+_LONGEST = 37  # 19 digits with a separator between any two
+
+
+def _card_spans(v: Column) -> Column:
+    """Valid cards in a run of numbers, disjoint: array of struct(at, upto), by place.
+
+    A card begins and ends at an end of a number and has 13 to 19 digits.
+    Usual forms go before others, then earlier before later, longer before shorter.
+    """
+    def digit(s: Column, at: Column) -> Column:
+        return F.substr(s, at, F.lit(1)).rlike("[0-9]")
+
+    def valid(w: Column, n: Column) -> Column:
+        digits = F.regexp_replace(F.substr(w, F.lit(1), n), "[^0-9]", "")
+        return F.when(F.length(digits).between(13, 19), luhn_sum(digits) % 10 == 0).otherwise(F.lit(False))
+
+    def at_start(at: Column) -> Column:
+        w = F.substr(v, at, F.lit(_LONGEST + 1))
+
+        def inside(w: Column) -> Column:
+            ends = F.filter(F.sequence(F.lit(13), F.lit(_LONGEST)),
+                            lambda n: digit(w, n) & ~digit(w, n + 1) & valid(w, n))
+            return F.transform(ends, lambda n: F.struct(
+                F.when(F.substr(w, F.lit(1), n).rlike(f"^(?:{FORMED})$"), 0).otherwise(1).alias("unusual"),
+                at.alias("at"), (-n).alias("less")))
+
+        return F.element_at(F.transform(F.array(w), inside), 1)
+
+    starts = F.filter(F.sequence(F.lit(1), F.length(v)),
+                      lambda p: digit(v, p) & ((p == 1) | ~digit(v, F.greatest(p - 1, F.lit(1)))))
+    spans = F.array_sort(F.flatten(F.transform(starts, at_start)))
+    none = F.filter(F.transform(spans, lambda s: F.struct(s["at"].alias("at"), (s["at"] - s["less"]).alias("upto"))),
+                    lambda s: F.lit(False))
+
+    def take(acc: Column, s: Column) -> Column:
+        upto = s["at"] - s["less"]
+        taken = F.exists(acc, lambda t: (t["at"] < upto) & (s["at"] < t["upto"]))
+        return F.when(taken, acc).otherwise(F.concat(acc, F.array(F.struct(s["at"].alias("at"), upto.alias("upto")))))
+
+    return F.array_sort(F.aggregate(spans, none, take))
+
+
+def _cards(v: Column, key: str) -> Column:
+    """struct(text, n): a run of numbers with its n cards replaced; text is NULL if there are none."""
+
+    def replace(spans: Column) -> Column:
+        start = F.struct(F.lit("").alias("s"), F.lit(1).alias("i"))
+
+        def add(acc: Column, c: Column) -> Column:
+            card = _card(F.substr(v, c["at"], c["upto"] - c["at"]), key)
+            return F.struct(F.concat(acc["s"], F.substr(v, acc["i"], c["at"] - acc["i"]), card).alias("s"),
+                            c["upto"].alias("i"))
+
+        text = F.aggregate(spans, start, add, lambda acc: F.concat(acc["s"], F.substr(v, acc["i"])))
+        return F.struct(F.when(F.size(spans) > 0, text).alias("text"), F.size(spans).alias("n"))
+
+    return F.element_at(F.transform(F.array(_card_spans(v)), replace), 1)
 
 
 def _secret(v: Column, key: str) -> Column:
@@ -190,23 +262,26 @@ def _secret(v: Column, key: str) -> Column:
 
 
 def pseudonym(v: Column, key: str = KEY) -> Column:
-    """The pseudonym of one candidate; NULL if it does not validate."""
+    """struct(text, n): one candidate with its n values replaced; text is NULL if none validates."""
     ip_ok, ip = _ipv4(v, key)
     date_ok, date = _date(v, key)
     ssn_ok, ssn = _ssn(v, key)
     phone_ok, phone = _phone(v, key)
-    card_ok, card = _card(v, key)
 
     def whole(pattern: str) -> Column:
         return v.rlike(f"^(?:{pattern})$")
 
-    return (F.when(whole(EMAIL), _email(v, key))
-            .when(whole(SECRET), _secret(v, key))
-            .when(whole(IPV4), F.when(ip_ok, ip))
-            .when(whole(DATE), F.when(date_ok, date))
-            .when(whole(SSN), F.when(ssn_ok, ssn))
-            .when(whole(PHONE), F.when(phone_ok, phone))
-            .when(F.coalesce(card_ok, F.lit(False)), card))
+    def one(text: Column) -> Column:
+        return F.element_at(F.transform(F.array(text), lambda t: F.struct(
+            t.alias("text"), F.when(t.isNull(), 0).otherwise(1).alias("n"))), 1)
+
+    return (F.when(whole(EMAIL), one(_email(v, key)))
+            .when(whole(SECRET), one(_secret(v, key)))
+            .when(whole(IPV4), one(F.when(ip_ok, ip)))
+            .when(whole(DATE), one(F.when(date_ok, date)))
+            .when(whole(SSN), one(F.when(ssn_ok, ssn)))
+            .when(whole(PHONE), one(F.when(phone_ok, phone)))
+            .otherwise(_cards(v, key)))
 
 
 def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, counts: bool = True) -> DataFrame:
@@ -222,10 +297,14 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: str = KEY, counts
     searched = searched.withColumn("__pii_new", F.when(F.size(found) > 0,
                                                        F.transform(found, lambda v: pseudonym(v, key))))
     parts = F.split(text, ANY, -1)
-    filled = F.concat(F.zip_with(found, new, lambda v, p: F.coalesce(p, v)), F.array(F.lit("")))
+    filled = F.concat(F.zip_with(found, new, lambda v, p: F.coalesce(p["text"], v)), F.array(F.lit("")))
     masked = F.concat_ws("", F.zip_with(parts, filled, lambda a, b: F.concat(a, b)))
     added = {text_col: F.when(F.size(new) > 0, masked).otherwise(text)}
     if counts:
-        added["pii_found"] = F.when(found.isNull(), 0).otherwise(F.size(found))
-        added["pii_masked"] = F.when(new.isNull(), 0).otherwise(F.size(F.filter(new, lambda p: p.isNotNull())))
+        def total(least: int) -> Column:
+            return F.when(new.isNull(), 0).otherwise(
+                F.aggregate(new, F.lit(0), lambda n, p: n + F.greatest(p["n"], F.lit(least))))
+
+        # A run of numbers is one candidate, or as many as it has cards.
+        added["pii_found"], added["pii_masked"] = total(1), total(0)
     return searched.withColumns(added).drop("__pii_found", "__pii_new")

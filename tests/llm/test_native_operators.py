@@ -176,6 +176,32 @@ def test_what_does_not_validate_stays(spark):
     assert masked(spark, texts) == texts
 
 
+def test_cards_beside_other_numbers(spark):
+    card = "4111 1111 1111 1111"
+    texts = ["4111111111111111 123", card + " 2 items", "12 " + card, "pay 5 4111111111111111.", "1234 " + card + " 99",
+             "378282246310005 1234", "7 3782 822463 10005", "0412 " + card, "12 41111111 11111111",
+             "4111 1111 1111 1111 4539 1488 0343 6467", card + " 2024-01-02", card + " 123-45-6789", "030 12345678 " + card,
+             "743-555-3824 " + card, card + " 5 a@b.org", "4111 0111 1111 1111 0 10.0.0.1", "1 " * 2_000 + "2"]
+    for text, new in zip(texts[:-1], masked(spark, texts)):
+        assert re.sub("[0-9a-z]", "0", text) == re.sub("[0-9a-z]", "0", new) or "10.0.0.1" in text
+        for value in ("4111 1111 1111 1111", "4111111111111111", "378282246310005", "3782 822463 10005", "41111111 11111111",
+                      "4539 1488 0343 6467", "2024-01-02", "123-45-6789", "030 12345678", "743-555-3824", "a@b", "10.0.0.1"):
+            assert value not in new, (text, new)
+    # The same card has the same pseudonym, whatever stands beside it.
+    out = masked(spark, [card, card + " 2 items", "12 " + card, "1234 " + card])
+    assert out[1:] == [out[0] + " 2 items", "12 " + out[0], "1234 " + out[0]] and luhn(out[0].replace(" ", ""))
+    df = spark.createDataFrame([(0, f"{card} {card} 7"), (1, "1234 5678 9012 3456")], "doc_id long, text string")
+    assert [(r.pii_found, r.pii_masked) for r in pii.pseudonymize(df).orderBy("doc_id").collect()] == [(2, 2), (1, 0)]
+
+
+def test_phones_without_country_code(spark):
+    texts = ["743 555 3824", "1-743-555-3824", "030 12345678", "020 7946 0958", "07911 123456", "01 23 45 67 89", "call 743 555 3824 2x"]
+    for text, new in zip(texts, masked(spark, texts)):
+        assert new != text and re.sub("[0-9]", "0", text) == re.sub("[0-9]", "0", new), (text, new)
+    texts = ["in 2024 or 100 200 3000", "0.123 456", "012 345"]
+    assert masked(spark, texts) == texts
+
+
 def test_pseudonyms_of_awkward_rows(docs, no_docs):  # noqa: F811
     out = {r.doc_id: r for r in pii.pseudonymize(docs).collect()}
     assert out[3].text is None and out[3].pii_found == 0 and out[4].text == ""
