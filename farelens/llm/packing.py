@@ -24,15 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelens.llm.common import materialize
+from farelens.llm.tokens import ByteBpe, merges_by_rank
 
 WINDOW = 1024
 OPEN = 16
 END_ID = 0
 TOKENIZER = "byte_bpe_50k.json"
-# Entries of a task's chunk cache before it starts anew.
-CACHE = 1_000_000
-# Characters of texts encoded together.
-TOGETHER = 1_000_000
 # Leftover windows merged by one task of a merge round.
 FAN_IN = 256
 
@@ -40,81 +37,6 @@ _SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens lon
            "task long, sequence long, offset long, ids binary")
 
 
-# White space that is neither a plain space nor a line feed.
-OTHER_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-
-
-# Fixed values of byte-level BPE: the pattern that cuts a text into words, and
-# the printable character that stands for each byte.
-WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_CHARS = {b: b for b in _PRINTABLE} | {
-    b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _PRINTABLE)}
-
-
-def chunks(text: str) -> list[str]:
-    """Pieces that join to ``text`` and encode independently.
-
-    A byte-level BPE with the usual word pattern never joins a visible
-    character with a following space, so a text may be cut in front of every
-    space that stands alone between two visible characters.
-    """
-    words = text.split(" ")
-    if not ("" in words or " \n" in text or "\n " in text or any(c in text for c in OTHER_SPACE)):
-        return [words[0], *[" " + w for w in words[1:]]]
-    out = [words[0]]
-    for word in words[1:]:
-        if word and not word[0].isspace() and out[-1] and not out[-1][-1].isspace():
-            out.append(" " + word)
-        else:
-            out[-1] += " " + word
-    return out
-
-
-class ChunkEncoder:
-    """Token ids of texts as little-endian uint32 bytes; equal chunks are encoded once per task."""
-
-    def __init__(self, path: str, limit: int = CACHE):
-        import os
-
-        # Spark runs a worker per core; threads inside one would only compete.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        import regex
-
-        self.model = Tokenizer.from_file(path).model
-        self.split = regex.compile(WORD_PATTERN).findall
-        self.cache: dict[str, bytes] = {}     # by chunk
-        self.words: dict[str, bytes] = {}     # by word of the pattern
-        self.limit = limit
-
-    def _learn(self, new: set[str]) -> None:
-        words, tokenize = self.words, self.model.tokenize
-        for chunk in new:
-            ids = []
-            for word in self.split(chunk):
-                got = words.get(word)
-                if got is None:
-                    tokens = tokenize(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_CHARS))
-                    got = words[word] = b"".join([t.id.to_bytes(4, "little") for t in tokens])
-                ids.append(got)
-            self.cache[chunk] = b"".join(ids)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [chunks(t) if t else [] for t in texts]
-        if len(self.cache) > self.limit:
-            self.cache.clear()
-            self.words.clear()
-        cache = self.cache
-        new = set()
-        for p in parts:
-            new.update(p)
-        self._learn(new.difference(cache))
-        get = cache.__getitem__
-        return [b"".join(map(get, p)) for p in parts]
-
-
 class Packer:
     """Open windows of one task; ``done`` collects the pieces of emitted windows."""
 
@@ -211,28 +133,17 @@ def _pack(feed: Iterator[list[tuple]], task: int, window: int, n_open: int, last
         yield _rows([held], task, -1, True)
 
 
-def _pack_documents(path: str, window: int, n_open: int, end_id: int):
+def _pack_documents(path: str, ranked: bool, window: int, n_open: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, end = ChunkEncoder(path), np.array([end_id], dtype="<u4").tobytes()
+        encoder, end = ByteBpe(path, ranked, added=True), np.array([end_id], dtype="<u4").tobytes()
 
         def feed():
             for batch in batches:
-                docs, texts, size = [], [], 0
                 for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                    docs.append(doc)
-                    texts.append(text.as_py() or "")
-                    size += len(texts[-1])
-                    if size > TOGETHER:
-                        yield from encoded(docs, texts)
-                        docs, texts, size = [], [], 0
-                yield from encoded(docs, texts)
-
-        def encoded(docs, texts):
-            for doc, ids in zip(docs, encoder.encode(texts)):
-                ids += end
-                yield [(doc, 0, len(ids) // 4, ids)]
+                    ids = encoder.encode(text.as_py() or "") + end
+                    yield [(doc, 0, len(ids) // 4, ids)]
 
         yield from _pack(feed(), TaskContext.get().partitionId(), window, n_open, False)
 
@@ -267,12 +178,15 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, n
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     ``docs`` has doc_id and text (NULL: empty; it still has its end id).
-    Repeated rows are packed one by one.  Every sequence is either full or
-    has a power of two of ids, so nothing is padded.  An empty table gives
-    no rows.  No shuffle of documents; a task holds ``n_open`` windows.
+    Ids are those of ``Tokenizer.encode`` without special tokens around them;
+    an added token written out in a text gets its own id.  Repeated rows are
+    packed one by one.  Every sequence is either full or has a power of two
+    of ids, so nothing is padded.  An empty table gives no rows.  No shuffle
+    of documents; a task holds ``n_open`` windows and the ids of one document,
+    however long.
     """
     pieces = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                         .mapInArrow(_pack_documents(tokenizer_path, window, n_open, end_id), _SCHEMA), "pack_pieces")
+                         .mapInArrow(_pack_documents(tokenizer_path, merges_by_rank(tokenizer_path), window, n_open, end_id), _SCHEMA), "pack_pieces")
     parts, left, round_no = [pieces.filter("sequence >= 0")], pieces.filter("sequence < 0"), 0
     tasks = pieces.select(F.max("task")).first()[0]
     tasks = 0 if tasks is None else tasks + 1

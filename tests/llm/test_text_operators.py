@@ -1,15 +1,19 @@
 """URL filter, language ID, packing, fingerprints against plain references."""
 
+import functools
 import hashlib
+import json
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from llm_support import SF001, docs, no_docs  # noqa: F401
-from farelens.llm import langid, merkle, packing, queries, url_filter
+from llm_support import LONG, SF001, docs, no_docs  # noqa: F401
+from farelens.llm import langid, merkle, packing, queries, tokens, url_filter
 from farelens.llm.common import read_table
 
 
@@ -86,11 +90,13 @@ def test_chunked_ngrams_equal_whole(monkeypatch):
     assert (counts() == whole).all()
 
 
-def token_ids(text):
-    from tokenizers import Tokenizer
+@functools.cache
+def tokenizer():
+    return Tokenizer.from_file(queries.tokenizer_path())
+
 
-    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
-    return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
+def token_ids(text):
+    return np.array(tokenizer().encode(text or "", add_special_tokens=False).ids + [0], dtype="<u4")
 
 
 def check_packing(pieces, texts, window=1024):
@@ -132,12 +138,41 @@ def test_packing_awkward_rows_and_many_merge_rounds(docs, no_docs):  # noqa: F81
     assert packing.pack_documents(no_docs, queries.tokenizer_path()).count() == 0
 
 
-def test_chunk_encoder_equals_the_tokenizer():
-    texts = ["a  b \n c\t d", "\n\n x", " lead", "trail ", "don't   stop 12 34!! \u3000x", "\U0001F600 é", "a\n\n\nb", "",
-             "x \x1c y", "it's we'll", "Été <|endoftext| é", "tab\t\tz"]
-    encoder = packing.ChunkEncoder(queries.tokenizer_path())
-    for text, ids in zip(texts, encoder.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == token_ids(text)[:-1].tolist(), text
+END = "<|endoftext|>"
+TRICKY = ["a  b \n c\t d", "\n\n x", " lead", "trail ", "don't   stop 12 34!! \u3000x", "\U0001F600 é", "a\n\n\nb", "",
+          "x \x1c y", "it's we'll", "Été <|endoftext| é", "tab\t\tz", "<|endoftext", END, END * 2, END + " x", "x " + END,
+          f"in{END}side", f" {END} ", f"{END}\n\n{END}", "\u0085\u00a0\u180e\ufeff", "ａ１ ²½ \u0301e"]
+
+
+def random_texts(n, alphabet, seed=1):
+    rng = np.random.default_rng(seed)
+    return ["".join(rng.choice(alphabet, rng.integers(0, 30))) for _ in range(n)]
+
+
+def test_encoder_equals_the_tokenizer():
+    path = queries.tokenizer_path()
+    assert tokens.merges_by_rank(path)
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    encoders = {(r, a): tokens.ByteBpe(path, r, a) for r in (True, False) for a in (True, False)}
+    alphabet = [*"abeé'st 12!<|>\n\t\u3000\x1c", "  ", END, "the", " of", "\U0001F600"]
+    for text in TRICKY + random_texts(2000, alphabet) + [LONG[:200_000], "a" * 50_000]:
+        with_added = token_ids(text)[:-1].tolist()
+        as_text = plain.encode(text, add_special_tokens=False).ids
+        for ranked in (True, False):
+            if ranked or len(text) < 10_000:
+                for added, ids in ((True, with_added), (False, as_text)):
+                    assert np.frombuffer(encoders[ranked, added].encode(text), "<u4").tolist() == ids, text
+
+
+def test_files_that_are_not_ranked(tmp_path):
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    spec["model"]["merges"][0], spec["model"]["merges"][1] = spec["model"]["merges"][1], spec["model"]["merges"][0]
+    other = tmp_path / "swapped.json"
+    other.write_text(json.dumps(spec), encoding="utf-8")
+    assert not tokens.merges_by_rank(str(other))
+    assert not tokens.merges_by_rank(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def test_fingerprints_and_edited_texts(spark):
