@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import bwt_dedup, hnsw, langid, merkle, minmax, mixing, packing, pii, sharding, url_filter
+from farelens.llm import alignment, bwt_dedup, hnsw, langid, merkle, minmax, mixing, packing, pii, sharding, url_filter
 from farelens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,11 +20,13 @@ TOKENIZER_PATH = None  # None: the installed public tokenizer files
 
 
 def tokenizer_path() -> str:
-    if TOKENIZER_PATH:
-        return TOKENIZER_PATH
+    return TOKENIZER_PATH or public_file(packing.TOKENIZER)
+
+
+def public_file(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(packing.TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +77,15 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return alignment.align_documents(docs, public_file(alignment.BYTE_FILE), public_file(alignment.PIECE_FILE), whole=False)
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_mix_sources, op2_pii_pseudonyms, op3_url_filter, op4_language_id, op5_embedding_near_dedup, op6_pack_tokens,
-    op7_shuffle_shards, op8_repeated_passages, op9_document_fingerprints, op10_near_duplicates)}
+    op7_shuffle_shards, op8_repeated_passages, op9_document_fingerprints, op10_near_duplicates,
+    op11_token_alignment)}
 
 
 def _url_filter_sql() -> str:
