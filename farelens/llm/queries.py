@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import alignment, bwt_dedup, hnsw, langid, merkle, minmax, mixing, packing, pii, sharding, url_filter
+from farelens.llm import alignment, bwt_dedup, hnsw, langid, merkle, minmax, mixing, packing, pii, sharding, spelling, url_filter
 from farelens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,10 +82,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(docs, public_file(alignment.BYTE_FILE), public_file(alignment.PIECE_FILE), whole=False)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_mix_sources, op2_pii_pseudonyms, op3_url_filter, op4_language_id, op5_embedding_near_dedup, op6_pack_tokens,
     op7_shuffle_shards, op8_repeated_passages, op9_document_fingerprints, op10_near_duplicates,
-    op11_token_alignment)}
+    op11_token_alignment, op12_spelling_variants)}
 
 
 def _url_filter_sql() -> str:
@@ -111,4 +115,4 @@ SELECT page_id, host, path, rule, strict_hits, soft_hits,
 FROM ruled"""
 
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filter": _url_filter_sql()}
+ORACLE_SQL: dict[str, str] = {"op3_url_filter": _url_filter_sql(), "op12_spelling_variants": spelling.SQL}
