@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm import alignment, bwt_dedup, hnsw, langid, merkle, minmax, mixing, packing, pii, sharding, spelling, url_filter
+from farelens.llm import alignment, bwt_dedup, hnsw, langid, licences, merkle, minmax, mixing, packing, pii, sharding, spelling, url_filter
 from farelens.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,10 +86,17 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(read_table(spark, sf_dir, "documents"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_licences(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word",
+                        *[F.concat_ws(",", c).alias(c) for c in ("base_labels", "labels")], "score",
+                        F.size("spans").cast("long").alias("n_spans"))
+
+
 QUERIES: dict[str, Query] = {q.__name__: q for q in (
     op1_mix_sources, op2_pii_pseudonyms, op3_url_filter, op4_language_id, op5_embedding_near_dedup, op6_pack_tokens,
     op7_shuffle_shards, op8_repeated_passages, op9_document_fingerprints, op10_near_duplicates,
-    op11_token_alignment, op12_spelling_variants)}
+    op11_token_alignment, op12_spelling_variants, op13_license_scan)}
 
 
 def _url_filter_sql() -> str:
