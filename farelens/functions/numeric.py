@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 # multiples of SPLIT and the rest, enough for 9e12 rows.
 UNITS = 100_000_000
 SPLIT = 1_000_000
+# Amounts, distances and rates beyond this are errors, not measures; below it
+# every one has its units.
+LARGEST_MEASURE = 9e10
 # What a double or a quotient is rounded from: one rounding, at the 2nd place.
 WIDE = "decimal(38,18)"
 

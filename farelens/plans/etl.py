@@ -65,6 +65,14 @@ def extract(spark: SparkSession, src_paths: list[str], lake_path: str, month: st
     return io.read_raw(spark, lake_path)
 
 
+def _scanned(spark: SparkSession, cfg: EtlConfig) -> tuple[DataFrame, int]:
+    """The job's raw records and their number, from one look at the footers."""
+    if cfg.lake_path is None:
+        return io.scan_raw(spark, *cfg.raw_paths)
+    io.land_files(spark, cfg.raw_paths, cfg.lake_path, cfg.month)
+    return io.scan_raw(spark, cfg.lake_path)
+
+
 def in_date_order(raw: DataFrame, slack: int = 2) -> bool:
     """Whether writing ``raw`` by date as it lies makes few files.
 
@@ -111,16 +119,13 @@ def run_etl(spark: SparkSession, cfg: EtlConfig, build_views: bool = True,
     registered as temp views under their names.  With ``cfg.database`` they
     are stored in the catalog as well, for other sessions.
     """
+    raw_rows = None
     if raw is None:
-        paths = cfg.raw_paths
-        if cfg.lake_path:
-            raw = extract(spark, paths, cfg.lake_path, cfg.month)
-        else:
-            raw = io.read_raw(spark, *paths)
+        raw, raw_rows = _scanned(spark, cfg)
     cluster = cfg.cluster_fact if cfg.cluster_fact is not None else not in_date_order(raw)
     fact, clean = transform(raw, cluster=cluster)
     load(fact, cfg)
-    result = EtlResult(raw_rows=raw.count(), clean_rows=int(clean.get["rows"]), fact_path=cfg.fact_path)
+    result = EtlResult(raw_rows=raw.count() if raw_rows is None else raw_rows, clean_rows=int(clean.get["rows"]), fact_path=cfg.fact_path)
     # Secondary sinks read the written fact, not the raw data again.
     written = io.read_fact_parquet(spark, cfg.fact_path)
     if cfg.fact_table:

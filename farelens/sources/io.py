@@ -10,22 +10,22 @@
 
 from __future__ import annotations
 
+import json
 import re
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from farelens.functions.numeric import LARGEST_MEASURE
 from farelens.schema import FACT_COLUMNS, RAW_SCHEMA, UNCASTABLE
+from farelens.sources.footers import list_files, read_footers
 
 PARTITION_COL = "pickup_date"
 LOAD_MONTH = "load_month"
-# Amounts, distances and the like beyond this are errors, not measures.
-LARGEST_MEASURE = 1e18
-# Concurrent footer reads while schemas are resolved (one small read a file).
-FOOTER_READERS = 16
+# Lists in which the files of one schema reach the driver.
+LISTS = 64
 
 
 class SchemaMismatch(ValueError):
@@ -34,21 +34,35 @@ class SchemaMismatch(ValueError):
 
 def data_files(spark: SparkSession, *paths: str) -> list[str]:
     """The files under ``paths`` (globs, folders, partitioned folders), listed by Spark's own readers."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-    return sorted(r.path for r in listed.select("path").collect())
-
-
-def schema_groups(spark: SparkSession, *paths: str) -> list[tuple[T.StructType, list[str]]]:
-    """Files grouped by equal footer schema."""
-    files = data_files(spark, *paths)
-    if not files:
+    return sorted(r.path for r in list_files(spark, *paths).select("path").collect())
+
+
+def _grouped(spark: SparkSession, footers: DataFrame) -> list[tuple[T.StructType, list[str], int]]:
+    """(schema, files, rows) of each footer schema, from one job; an unreadable file is an error."""
+    some = footers.groupBy("schema", "error", F.pmod(F.xxhash64("path"), F.lit(LISTS)).alias("part")).agg(
+        F.collect_list("path").alias("files"), F.sum("row_count").alias("n")).collect()
+    groups: dict[str, tuple[T.StructType, list[str], list[int]]] = {}
+    for r in some:
+        if r.error:
+            raise SchemaMismatch(f"no parquet file: {min(r.files)}: {r.error}")
+        # Types that only Spark can tell: its own look at each such file.
+        schemas = {r.schema: r.files} if r.schema else {spark.read.parquet(f).schema.json(): [f] for f in r.files}
+        for key, files in schemas.items():
+            group = groups.setdefault(key, (T.StructType.fromJson(json.loads(key)), [], []))
+            group[1].extend(files)
+        group[2].append(r.n)
+    return sorted(((s, sorted(files), sum(n)) for s, files, n in groups.values()), key=lambda g: g[1])
+
+
+def schema_groups(spark: SparkSession, *paths: str, footers: DataFrame | None = None) -> list[tuple[T.StructType, list[str], int]]:
+    """Files grouped by equal footer schema, with their rows: one job, however many files.
+
+    ``footers`` are rows of ``footers.read_footers`` at hand already.
+    """
+    groups = _grouped(spark, read_footers(spark, *paths) if footers is None else footers)
+    if not groups:
         raise FileNotFoundError(f"no files under {paths}")
-    with ThreadPoolExecutor(FOOTER_READERS) as pool:
-        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema, files))
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for file, schema in zip(files, schemas):
-        groups.setdefault(schema.json(), (schema, []))[1].append(file)
-    return list(groups.values())
+    return groups
 
 
 def _cast(field: T.StructField, stored: T.DataType) -> tuple[Column, Column]:
@@ -72,7 +86,14 @@ def _cast(field: T.StructField, stored: T.DataType) -> tuple[Column, Column]:
 
 
 def read_raw(spark: SparkSession, *paths: str) -> DataFrame:
-    """Raw trip records: the seven transform columns typed as RAW_SCHEMA, plus UNCASTABLE.
+    """The records of ``scan_raw``."""
+    return scan_raw(spark, *paths)[0]
+
+
+def scan_raw(spark: SparkSession, *paths: str, footers: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """Raw trip records and their number, which the footers tell.
+
+    The records are the seven transform columns typed as RAW_SCHEMA, plus UNCASTABLE.
 
     Files are grouped by their own footer schema and cast group by group, so
     a code stored as int, bigint and double in different months lines up.  A
@@ -80,18 +101,18 @@ def read_raw(spark: SparkSession, *paths: str) -> DataFrame:
     columns of a row whose value does not fit the type (empty: none); the
     quality gate counts and rejects such rows.
     """
-    groups = schema_groups(spark, *paths)
-    for schema, files in groups:
+    groups = schema_groups(spark, *paths, footers=footers)
+    for schema, files, _ in groups:
         missing = [f.name for f in RAW_SCHEMA.fields if f.name not in schema.names]
         if missing:
             raise SchemaMismatch(f"raw trip files lack columns {missing}: {files[0]}")
     parts = []
-    for schema, files in groups:
+    for schema, files, _ in groups:
         casts = {f.name: _cast(f, schema[f.name].dataType) for f in RAW_SCHEMA.fields}
         bad = [F.when(b, F.lit(name)) for name, (_, b) in casts.items()]
         parts.append(spark.read.schema(schema).parquet(*files).select(
             *[c.alias(name) for name, (c, _) in casts.items()], F.concat_ws(",", *bad).alias(UNCASTABLE)))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts), sum(n for *_, n in groups)
 
 
 def land_raw(df: DataFrame, path: str, month: str | None = None, append: bool = False) -> None:
@@ -125,7 +146,7 @@ def land_files(spark: SparkSession, src_paths: list[str], lake_path: str, month:
     overrides the month in the file names; a file without either is an error.
     """
     by_month: dict[str, list[tuple[T.StructType, list[str]]]] = {}
-    for schema, files in schema_groups(spark, *src_paths):
+    for schema, files, _ in schema_groups(spark, *src_paths):
         for file in files:
             key = month or month_of(file)
             if key is None:

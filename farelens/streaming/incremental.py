@@ -38,11 +38,11 @@ def new_files(spark: SparkSession, raw_dir: str, max_files: int = FILES_PER_BATC
 
 def load_batch(spark: SparkSession, files: list[str], batch_id: int, fact_path: str) -> int:
     """Write the fact rows of ``files`` as one batch partition; returns the raw rows read."""
-    raw = io.read_raw(spark, *files)
+    raw, n = io.scan_raw(spark, *files)
     fact, _ = transform(raw, cluster=True)
     io.write_fact_parquet(fact.withColumn(LOAD_BATCH, F.lit(batch_id).cast("long")), fact_path,
                           dynamic_overwrite=True, partition_first=LOAD_BATCH)
-    return raw.count()
+    return n
 
 
 def start_incremental_load(spark: SparkSession, raw_dir: str, fact_path: str,
