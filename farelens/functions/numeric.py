@@ -30,9 +30,8 @@ WIDE = "decimal(38,18)"
 def units(col: Column) -> Column:
     """A measure in whole units of 1e-8 (NULL stays NULL).
 
-    Raw values that are no finite amounts are counted and rejected by the
-    gate (``values_castable``).  What remains beyond 9e10 is a rate that
-    overflows, such as a fare over a vanishing distance; that row has none.
+    What is beyond LARGEST_MEASURE would have none; the gate counts and rejects
+    such rows of files (``values_castable``, ``rates_in_range``).
     """
     return F.rint(col * F.lit(float(UNITS))).try_cast("long")
 

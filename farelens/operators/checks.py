@@ -1,22 +1,50 @@
 """Table constraints re-aimed as data checks that return offending rows.
 
 Spark tables do not enforce keys, so primary-key uniqueness, foreign keys
-and NOT NULL become queries.  Each check aggregates before anything else,
-so the shuffle carries one row per distinct key per task.
+and NOT NULL become queries.  The primary key check sends a few bits per row
+through the shuffle, the others one row per distinct key per task.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelens.operators.hashlists import hash_of, repeated_hashes, space_for
+from farelens.session import storage_root
 
-def check_pk(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Key values that occur more than once or contain a NULL, with counts."""
+# Hashes of repeated keys that are broadcast (16 bytes each); with more, rows are grouped as they are.
+MOST_REPEATED = 1 << 20
+
+
+def check_pk(df: DataFrame, keys: list[str], rows: int | None = None, most_repeated: int = MOST_REPEATED) -> DataFrame:
+    """Key values that occur more than once or contain a NULL, with counts.
+
+    Two passes.  The first finds the hashes of keys that two rows share from
+    compressed lists (a job of its own); the second groups only the rows with
+    such a hash, so next to nothing of a sound key is shuffled.  Equal keys
+    have equal hashes, so none is missed; unequal ones that share a hash fall
+    out again.  Where very many keys repeat, all rows are grouped, which
+    the map side then shrinks.
+
+    ``rows`` is the table's size if known; otherwise they are counted.
+    """
+    spark = df.sparkSession
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return (df.groupBy(*keys)
+    cuts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    space = space_for(max(1, df.count() if rows is None else rows), cuts)
+    h = hash_of(keys, cuts, space)
+    path = f"{storage_root(spark)}/check_pk/{uuid.uuid4().hex}"
+    repeated_hashes(df.filter(~any_null).select(h), cuts, space).write.parquet(path)
+    found = spark.read.schema("hash long").parquet(path)
+    some = df.select(*keys, h)
+    if found.count() <= most_repeated:
+        some = some.join(F.broadcast(found.withColumn("twice", F.lit(True))), "hash", "left").filter(
+            F.col("twice").isNotNull() | any_null)
+    return (some.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("n_rows"))
             .filter((F.col("n_rows") > 1) | any_null))
 

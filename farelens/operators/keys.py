@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _TASK = "__task"
+# Offsets (one row of 16 bytes per scan task) that are broadcast.
+MOST_TASKS = 1 << 20
 _POSITION_BITS = 33  # of monotonically_increasing_id: the row's position in its task
 
 
@@ -30,15 +32,19 @@ def task_offsets(stored: DataFrame) -> DataFrame:
 def assign_dense_id(spark: SparkSession, path: str, id_col: str = "trip_id") -> DataFrame:
     """Rows of the parquet table at ``path`` with ``id_col`` = 1..N.
 
-    Only the offsets are joined, two small columns per scan task; whether
-    they are broadcast is left to the planner, which knows their size.
+    Only the offsets are joined, two small columns per scan task.  The
+    planner takes them to be as large as the table they count, so they are
+    broadcast by hand; a scan of more than ``MOST_TASKS`` tasks is an error
+    (raise ``spark.sql.files.maxPartitionBytes``).
     """
     stored = spark.read.parquet(path)
+    if stored.rdd.getNumPartitions() > MOST_TASKS:
+        raise ValueError(f"a scan of more than {MOST_TASKS} tasks: raise spark.sql.files.maxPartitionBytes")
     place = F.monotonically_increasing_id()
     placed = stored.withColumns({
         _TASK: F.shiftright(place, _POSITION_BITS).cast("int"),
         id_col: place.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))})
-    return (placed.join(task_offsets(stored), _TASK)
+    return (placed.join(F.broadcast(task_offsets(stored)), _TASK)
             .withColumn(id_col, F.col(id_col) + F.col("first") + 1)
             .select(id_col, *stored.columns))
 

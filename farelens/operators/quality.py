@@ -1,7 +1,7 @@
 """Data-quality gate over featured trips.
 
-Six rules, and a seventh for rows read from files: a value that does not fit
-its column's type.  A row passes only when every rule is TRUE, so a NULL in any rule
+Six rules, and two for rows read from files: no value that does not fit its
+column's type, no rate too large for the exact sums.  A row passes only when every rule is TRUE, so a NULL in any rule
 drops the row (SQL filter semantics).  The complement keeps those NULL rows:
 a plain ``~pred`` would lose them, so each rule is coalesced to FALSE first.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelens import schema as S
-from farelens.functions.numeric import share_pct
+from farelens.functions.numeric import LARGEST_MEASURE, share_pct
 
 RULE_NAMES = [
     "total_amount_positive",
@@ -37,16 +37,20 @@ RULE_SQL = {
 }
 
 
-# For rows that carry UNCASTABLE, as ``sources.io.read_raw`` gives them.
-CASTABLE_RULE = "values_castable"
-CASTABLE_SQL = f"{S.UNCASTABLE} = ''"
+# For rows that carry UNCASTABLE, as ``sources.io.read_raw`` gives them: its
+# values fit their types, and the rates made of them can be summed.
+RATES = ("fare_per_mile", "fare_per_minute", "tip_percentage")
+FILE_RULE_SQL = {
+    "values_castable": f"{S.UNCASTABLE} = ''",
+    "rates_in_range": " AND ".join(f"coalesce(abs({c}) < {LARGEST_MEASURE:.0f}D, true)" for c in RATES),
+}
 
 
 def rules(df: DataFrame | None = None) -> list[tuple[str, Column]]:
     """Rule name -> predicate that must hold for a clean row of ``df``, in order."""
     out = [(name, F.expr(RULE_SQL[name])) for name in RULE_NAMES]
     if df is not None and S.UNCASTABLE in df.columns:
-        out.append((CASTABLE_RULE, F.expr(CASTABLE_SQL)))
+        out += [(name, F.expr(sql)) for name, sql in FILE_RULE_SQL.items()]
     return out
 
 
@@ -58,7 +62,7 @@ def passes(rule_col: Column) -> Column:
 def clean_predicate_sql(df: DataFrame | None = None) -> str:
     sql = [RULE_SQL[n] for n in RULE_NAMES]
     if df is not None and S.UNCASTABLE in df.columns:
-        sql.append(CASTABLE_SQL)
+        sql += FILE_RULE_SQL.values()
     return " AND ".join(f"({x})" for x in sql)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelens import schema as S
-from farelens.functions.numeric import agg2, exact_avg, exact_sum
+from farelens.functions.numeric import agg2, exact_avg, exact_sum, units
 from farelens.plans.views import day_name, rank_of, with_share
 from farelens.session import ensure_checkpoint_dir
 
@@ -73,7 +73,8 @@ def _set_name() -> Column:
 
 
 def _nn(c: str) -> Column:
-    return F.count(F.col(c))
+    """Rows whose measure is in the sums."""
+    return F.count(units(F.col(c)))
 
 
 def _sum_if(cond: Column, c: str) -> Column:
@@ -104,7 +105,7 @@ def build_rollup(fact: DataFrame, sets: list[str] | None = None) -> DataFrame:
                  exact_sum(F.col("avg_speed_mph")).alias("s_speed"), _nn("avg_speed_mph").alias("c_speed"),
                  # V5: rows with a speed
                  _sum_if(speed_ok, "trip_duration_min").alias("s_dur_speed"),
-                 F.count_if(speed_ok & d.isNotNull()).alias("c_dur_speed"),
+                 F.count_if(speed_ok & units(d).isNotNull()).alias("c_dur_speed"),
                  # V8: rows with both efficiency measures
                  F.count_if(eff_ok).alias("n_eff"),
                  _sum_if(eff_ok, "fare_per_mile").alias("s_fpm_eff"),
