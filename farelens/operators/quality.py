@@ -75,16 +75,24 @@ def quality_filter(featured: DataFrame) -> DataFrame:
     return featured.filter(clean_predicate_sql(featured))
 
 
-def quality_rejects(featured: DataFrame) -> DataFrame:
-    """Rows that fail at least one rule, with the failing rules named (F8)."""
+def _reasons(featured: DataFrame) -> dict[str, Column]:
     failing = [F.when(~passes(p), F.lit(name)) for name, p in rules(featured)]
     n_failed = sum((F.when(~passes(p), 1).otherwise(0) for _, p in rules(featured)), F.lit(0))
-    return (featured
-            .filter(~passes(clean_predicate(featured)))
-            .withColumns({
-                "reject_reasons": F.concat_ws(",", *failing),
-                "n_failed_rules": n_failed.cast("int"),
-            }))
+    return {"reject_reasons": F.concat_ws(",", *failing), "n_failed_rules": n_failed.cast("int")}
+
+
+def quality_rejects(featured: DataFrame) -> DataFrame:
+    """Rows that fail at least one rule, with the failing rules named (F8)."""
+    return featured.filter(~passes(clean_predicate(featured))).withColumns(_reasons(featured))
+
+
+VERDICT, CLEAN, REJECTED = "verdict", "clean", "rejected"
+
+
+def judged(featured: DataFrame) -> DataFrame:
+    """All rows with their verdict, and the failing rules of rejected ones (clean ones: empty, 0)."""
+    verdict = F.when(passes(clean_predicate(featured)), CLEAN).otherwise(REJECTED)
+    return featured.withColumns({**_reasons(featured), VERDICT: verdict})
 
 
 def rule_failure_counts(featured: DataFrame) -> DataFrame:

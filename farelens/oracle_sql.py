@@ -132,6 +132,8 @@ featured AS (
   FROM parts p
 )"""
 
+BATCHED_VIEWS = ["v_kpi_summary", "v_avg_duration_by_hour", "v_payment_distribution"]
+
 RULES = [
     ("total_amount_positive", "total_amount > 0"),
     ("distance_non_negative", "trip_distance >= 0"),
@@ -275,11 +277,41 @@ def statements() -> dict[str, str]:
     out["fact_reload_rerun"] = out["fact_trips"]
     out["fact_table_roundtrip"] = out["fact_trips"]
     out["stream_fact_load"] = out["fact_trips"]
+    out["fact_swap_reload"] = out["fact_trips"]
 
     # Views and tiles
     for name, body in VIEWS.items():
         out[name] = with_base(body)
     out["etl_run_kpi"] = out["v_kpi_summary"]
+    out["search_path_kpi"] = out["v_kpi_summary"]
+    for name in BATCHED_VIEWS:
+        out[f"batched_{name}"] = out[name]
+
+    # Amounts that no exact sum holds: rejected, and so in no sum.
+    def absurd(stmt: str, amount: str) -> str:
+        return stmt.replace("ELSE value END AS total_amount", f"WHEN event_id % 97 = 5 THEN {amount} ELSE value END AS total_amount")
+
+    out["etl_split_kpi"] = absurd(out["v_kpi_summary"], "CAST(NULL AS DOUBLE)")
+    file_rules = [("values_castable", "COALESCE(total_amount < 9e10, TRUE)"),
+                  ("rates_in_range", " AND ".join(f"COALESCE(abs({c}) < 9e10, TRUE)"
+                                                  for c in ("fare_per_mile", "fare_per_minute", "tip_percentage")))]
+    told = ", ".join(f"CASE WHEN {_fail('(' + p + ')')} THEN '{n}' END" for n, p in [*RULES, *file_rules])
+    counted = " + ".join(f"CASE WHEN {_fail('(' + p + ')')} THEN 1 ELSE 0 END" for _, p in [*RULES, *file_rules])
+    out["etl_split_rejects"] = absurd(with_base(f"""
+SELECT reject_reasons, n_failed_rules, COUNT(*) AS n_rows, ANY_VALUE(raw_rows) AS raw_rows,
+  ANY_VALUE(raw_rows - all_rejected) AS clean_rows
+FROM (SELECT *, COUNT(*) OVER () AS raw_rows, COUNT(*) FILTER (WHERE n_failed_rules > 0) OVER () AS all_rejected
+      FROM (SELECT concat_ws(',', {told}) AS reject_reasons, CAST({counted} AS INTEGER) AS n_failed_rules FROM featured))
+WHERE n_failed_rules > 0 GROUP BY reject_reasons, n_failed_rules"""), "CAST(1e11 AS DOUBLE)")
+    out["land_ledger"] = with_base("""
+SELECT CAST(run AS INTEGER) AS run, CASE WHEN run = 1 THEN n ELSE 0 END AS rows_copied, run = 1 AS refused,
+  'lacks columns total_amount' AS reasons, n AS lake_rows
+FROM (SELECT COUNT(*) AS n FROM raw_trips), (VALUES (1), (2)) runs(run)""")
+    out["hourly_windows"] = with_base(f"""
+SELECT hour_start, COUNT(*) AS trip_count, {total("total_amount")} AS total_revenue,
+  CASE WHEN hour_start + INTERVAL 1 HOUR <= newest - INTERVAL 2 HOUR THEN 'closed' ELSE 'open' END AS state
+FROM (SELECT date_trunc('hour', pickup_datetime) AS hour_start, total_amount, MAX(pickup_datetime) OVER () AS newest FROM fact)
+GROUP BY hour_start, newest""")
     for name, body in VIEWS.items():
         out[f"rollup_{name}"] = with_base(body)
     for name, (view, select) in TILES.items():

@@ -19,17 +19,21 @@ from pyspark.sql import functions as F
 from farelens.functions.features import FEATURE_GROUPS, add_features
 from farelens.operators import checks, dims, keys, quality
 from farelens.plans import reports, rollup, tiles, views
-from farelens.plans.etl import EtlConfig, extract, run_etl
+from farelens.plans.etl import EtlConfig, extract, run_etl, stored_rejects
 from farelens.plans.fact import build_fact
 from farelens.plans.view_specs import SPECS
 from farelens.schema import FACT_COLUMNS
 from farelens.session import pin_session, storage_root
-from farelens.sources import catalog, io
+from farelens.sources import catalog, io, ledger, versions
 from farelens.sources.fixtures import raw_trips
-from farelens.streaming.incremental import run_incremental_load
+from farelens.streaming.incremental import load_batch, run_incremental_load
+from farelens.streaming.windows import hours_so_far, start_hourly_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Views of three grouping sets of the rollup, for loads in batches (tests compare all 17).
+BATCHED_VIEWS = ("v_kpi_summary", "v_avg_duration_by_hour", "v_payment_distribution")
+
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     pin_session(spark)
@@ -85,6 +89,96 @@ def q_fact_table_roundtrip(spark, sf_dir):
     return spark.table(table).select(*FACT_COLUMNS)
 
 
+def _absurd_amounts(spark, sf_dir) -> str:
+    """Raw files in which one trip in 97 has an amount that no exact sum holds; returns their folder."""
+    base, key = _scratch(spark, "absurd_amounts"), F.col("trip_key")
+    absurd = (key % 97 == 5) & (key % 149 != 0) & (key % 151 != 0)
+    amount = F.when(absurd, F.lit(1e11)).otherwise(F.col("total_amount"))
+    io.land_raw(_raw(spark, sf_dir).withColumn("total_amount", amount).drop("trip_key"), f"{base}/raw")
+    return base
+
+
+def q_etl_split_rejects(spark, sf_dir):
+    """One scan stores clean and rejected rows; the stored rejects by reason, beside the load's counts."""
+    base = _absurd_amounts(spark, sf_dir)
+    result = run_etl(spark, EtlConfig(raw_paths=[f"{base}/raw"], fact_path=f"{base}/split", keep_rejects=True), build_views=False)
+    return (stored_rejects(spark, f"{base}/split").groupBy("reject_reasons", "n_failed_rules")
+            .agg(F.count(F.lit(1)).alias("n_rows"))
+            .withColumns({"raw_rows": F.lit(result.raw_rows).cast("long"), "clean_rows": F.lit(result.clean_rows).cast("long")}))
+
+
+def q_etl_split_kpi(spark, sf_dir):
+    """Sums over the clean rows of the same load."""
+    base = _absurd_amounts(spark, sf_dir)
+    result = run_etl(spark, EtlConfig(raw_paths=[f"{base}/raw"], fact_path=f"{base}/split", keep_rejects=True))
+    return result.views["v_kpi_summary"]
+
+
+def q_land_ledger(spark, sf_dir):
+    """Three files landed, one of them bad, twice: the second run copies and refuses none."""
+    base, raw = _scratch(spark, "ledger"), _raw(spark, sf_dir)
+    even = F.col("trip_key") % 2 == 0
+    io.land_raw(raw.filter(even).drop("trip_key"), f"{base}/in/2024-01")
+    io.land_raw(raw.filter(~even).withColumn("VendorID", F.col("VendorID").cast("long")), f"{base}/in/2024-02")
+    io.land_raw(raw.drop("total_amount"), f"{base}/in/2024-03")
+    runs = [ledger.land_new_files(spark, [f"{base}/in"], f"{base}/lake") for _ in range(2)]
+    lake_rows = io.read_raw(spark, f"{base}/lake").count()
+    refused = [r.reason for r in ledger.read_ledger(spark, f"{base}/lake").filter("status = 'refused'").select("reason").distinct().collect()]
+    rows = [(i, run.rows, run.refused > 0, ",".join(refused), lake_rows) for i, run in enumerate(runs, 1)]
+    return spark.createDataFrame(rows, "run int, rows_copied long, refused boolean, reasons string, lake_rows long")
+
+
+def _three_batches(spark, sf_dir) -> dict[str, DataFrame]:
+    """Three load batches, the second one twice, and the views from their stored rollups."""
+    base, raw = _scratch(spark, "batches"), _raw(spark, sf_dir)
+    for i in range(3):
+        io.land_raw(raw.filter(F.col("trip_key") % 3 == i).drop("trip_key"), f"{base}/raw/{i}")
+    for i in (0, 1, 2, 1):
+        load_batch(spark, io.data_files(spark, f"{base}/raw/{i}"), i, f"{base}/fact", f"{base}/rollup")
+    return rollup.views_from_rollup(rollup.merged_rollup(spark, f"{base}/rollup"), dims.dim_payment_type(spark), dims.dim_vendor(spark))
+
+
+def _batched_view_query(name: str) -> Query:
+    def run(spark, sf_dir):
+        return _three_batches(spark, sf_dir)[name]
+
+    run.__name__ = f"q_batched_{name}"
+    return run
+
+
+def q_hourly_windows(spark, sf_dir):
+    """Trips per hour over the stream of raw files: closed windows as written, open ones named."""
+    base, raw = _scratch(spark, "hours"), _raw(spark, sf_dir)
+    first = raw.agg(F.expr("percentile_approx(lpep_pickup_datetime, 0.5)").alias("mid")).first().mid
+    at = F.col("lpep_pickup_datetime")
+    for i, part in enumerate((at < F.lit(first), at >= F.lit(first))):      # two deliveries, in order of time
+        io.land_raw(raw.filter(part).drop("trip_key"), f"{base}/raw/{i}")
+        start_hourly_windows(spark, f"{base}/raw", f"{base}/hours").awaitTermination()
+    return hours_so_far(spark, f"{base}/raw", f"{base}/hours")
+
+
+def q_fact_swap_reload(spark, sf_dir):
+    """A fact table loaded with half the trips, then with all by a switch of versions."""
+    root = _scratch(spark, "fact_versions")
+    table = f"fact_versions_{os.path.basename(root)}"
+    fact = build_fact(_raw(spark, sf_dir), keep=["trip_key"]).withColumn(io.PARTITION_COL, F.to_date("pickup_datetime"))
+    for rows in (fact.filter("trip_key % 2 = 0"), fact):
+        versions.publish(rows.drop("trip_key"), table, root, partition_by=[io.PARTITION_COL])
+    return spark.table(table).select(*FACT_COLUMNS)
+
+
+def q_search_path_kpi(spark, sf_dir):
+    """Unqualified names resolved in the load's own database."""
+    database, before = _stored_views(spark, sf_dir), spark.catalog.currentDatabase()
+    catalog.use_database(spark, database)
+    try:
+        # Read inside the database; temp views of these names would come first.
+        spark.sql("CREATE VIEW own_kpi AS SELECT * FROM " + f"{database}.v_kpi_summary")
+        return spark.table("own_kpi")
+    finally:
+        catalog.use_database(spark, before)
+
+
 def q_etl_run_kpi(spark, sf_dir):
     """The whole job: raw scan -> fact parquet (counts observed) -> rollup -> KPI view."""
     run_dir = _scratch(spark, "etl_runs")
@@ -329,6 +423,12 @@ def all_queries() -> dict[str, Query]:
         "fact_trips": q_fact_trips,
         "fact_reload_rerun": q_fact_reload_rerun,
         "fact_table_roundtrip": q_fact_table_roundtrip,
+        "fact_swap_reload": q_fact_swap_reload,
+        "search_path_kpi": q_search_path_kpi,
+        "etl_split_rejects": q_etl_split_rejects,
+        "etl_split_kpi": q_etl_split_kpi,
+        "land_ledger": q_land_ledger,
+        "hourly_windows": q_hourly_windows,
         "etl_run_kpi": q_etl_run_kpi,
         "stream_fact_load": q_stream_fact_load,
     })
@@ -336,6 +436,8 @@ def all_queries() -> dict[str, Query]:
         out[name] = _view_query(name)
     for name in views.VIEW_NAMES:
         out[f"rollup_{name}"] = _rollup_view_query(name)
+    for name in BATCHED_VIEWS:
+        out[f"batched_{name}"] = _batched_view_query(name)
     for name in tiles.TILES:
         out[name] = _tile_query(name)
     for name in tiles.TILES:

@@ -271,3 +271,32 @@ def write_rollup(fact: DataFrame, path: str) -> DataFrame:
 
 def read_rollup(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+LOAD_BATCH = "load_batch"
+
+
+def write_rollup_batch(fact: DataFrame, path: str, batch: int) -> None:
+    """Store the rollup of one load batch; a batch that is loaded again replaces its own rows.
+
+    Only the batch's trips are read, whatever the fact holds already.
+    """
+    (build_rollup(fact).withColumn(LOAD_BATCH, F.lit(batch).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(LOAD_BATCH).parquet(path))
+
+
+def merged_rollup(spark, path: str) -> DataFrame:
+    """The batches' rollups as one: the rows that ``build_rollup`` of the whole fact gives.
+
+    Sums and counts add up exactly (decimals and longs), extremes are taken
+    of extremes; averages are made later, by the views.
+    """
+    stored = spark.read.parquet(path).drop(LOAD_BATCH)
+    keys = [*GRAIN, "grouping_set"]
+    merged = []
+    for f in stored.schema:
+        if f.name in keys:
+            continue
+        fold = F.min if f.name.startswith("min_") else F.max if f.name.startswith("max_") else F.sum
+        merged.append(fold(f.name).cast(f.dataType).alias(f.name))
+    return stored.groupBy(*keys).agg(*merged).select(*stored.columns)

@@ -9,10 +9,12 @@ TABLE``; the 17 views are stored in the catalog, so that every session on it
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from farelens.operators.dims import insert_if_absent
 from farelens.plans.view_specs import SPECS, spark_sql
 from farelens.session import ensure_checkpoint_dir
+from farelens.sources import versions
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -47,23 +49,35 @@ def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
-def load_dimension(offered: DataFrame, table: str, key: str) -> int:
+def load_dimension(offered: DataFrame, table: str, key: str, root: str | None = None) -> int:
     """Insert the offered rows whose key the table lacks; returns how many.
 
     Creates the table if need be.  Loading the same rows again inserts none.
+    The table's rows are kept as versions under ``root`` (by default a folder
+    beside the table's own): old and new rows are staged as the next version,
+    which only one of several loads can commit; the others start again from
+    its rows.  So two loads at once leave one row per key.
     """
     spark = offered.sparkSession
-    if not spark.catalog.tableExists(table):
-        create_table_if_absent(offered.limit(0), table)
-    existing = spark.table(table)
-    new = insert_if_absent(existing, offered, key).join(existing.select(key), key, "left_anti").select(*existing.columns)
-    # Cut off from the table before it is appended to.
     ensure_checkpoint_dir(spark)
-    rows = new.checkpoint()
-    n = rows.count()
-    if n:
-        rows.write.insertInto(table)
-    return n
+    # One row per distinct offer, which a load may look at more than once.
+    rows = offered.filter(F.col(key).isNotNull()).dropDuplicates().checkpoint()
+    added = [0]
+
+    def change(existing: DataFrame | None) -> DataFrame | None:
+        known = existing if existing is not None else rows.limit(0)
+        added[0] = insert_if_absent(known, rows, key).join(known.select(key), key, "left_anti").count()
+        if existing is not None and not added[0]:
+            return None
+        return insert_if_absent(known, rows, key).select(*known.columns).coalesce(1)
+
+    if root is None:
+        if not spark.catalog.tableExists(table):
+            create_table_if_absent(rows.limit(0), table)
+        root = versions.root_of(spark, table)
+    versions.adopt(spark, table, root)
+    versions.update(spark, table, root, change)
+    return added[0]
 
 
 def store_views(spark: SparkSession, database: str, fact_path: str, dims: dict[str, DataFrame],

@@ -1,0 +1,102 @@
+"""Tables replaced by a switch: failed loads, readers, writers at once."""
+
+import datetime as dt
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001
+from farelens.operators import dims
+from farelens.plans.etl import EtlConfig, run_etl
+from farelens.sources import catalog, io, versions
+from farelens.sources.fixtures import raw_trips
+
+
+def fresh(scratch_root, name):
+    root = f"{scratch_root}/{name}/{uuid.uuid4().hex}"
+    return root, f"{name}_{os.path.basename(root)}"
+
+
+def ids(spark, table):
+    return sorted(r.id for r in spark.table(table).select("id").collect())
+
+
+def test_a_failed_load_leaves_the_old_rows(spark, scratch_root):
+    root, table = fresh(scratch_root, "swap")
+    assert versions.publish(spark.range(5), table, root) == 1
+    failing = spark.range(1000, numPartitions=4).withColumn("id", F.expr("if(id = 900, raise_error('midway'), id)").cast("long"))
+    with pytest.raises(Exception, match="midway"):
+        versions.publish(failing, table, root)
+    assert ids(spark, table) == [0, 1, 2, 3, 4] and versions.current(spark, root)[0] == 1
+    assert versions.publish(spark.range(3), table, root) == 2 and ids(spark, table) == [0, 1, 2]
+
+
+def test_a_view_and_a_running_reader_survive_a_switch(spark, scratch_root):
+    root, table = fresh(scratch_root, "readers")
+    versions.publish(spark.range(5), table, root)
+    spark.sql(f"CREATE OR REPLACE VIEW v_{table} AS SELECT sum(id) AS s FROM {table}")
+    reader = spark.table(table)
+    reader.count()
+    versions.publish(spark.range(100), table, root)
+    assert reader.count() in (5, 100) and spark.table(f"v_{table}").first().s == 4950
+    assert versions.drop_old_versions(spark, root, keep=1) and spark.table(table).count() == 100
+    assert versions.publish(spark.range(2), table, root) == 3
+
+
+def test_partitioned_versions_prune(spark, scratch_root):
+    root, table = fresh(scratch_root, "pruned")
+    days = spark.range(50).select("id", F.expr("date_add(DATE'2024-01-01', cast(id % 5 as int))").alias("pickup_date"))
+    for df in (days.filter("id < 10"), days):
+        versions.publish(df, table, root, partition_by=["pickup_date"])
+    one = spark.table(table).filter(F.col("pickup_date") == dt.date(2024, 1, 3))
+    assert one.count() == 10 and spark.table(table).count() == 50
+    assert "PartitionFilters: [isnotnull(pickup_date" in spark._jvm.PythonSQLUtils.explainString(
+        one._jdf.queryExecution(), "formatted")
+
+
+def test_only_one_writer_gets_a_number(spark, scratch_root):
+    root, _ = fresh(scratch_root, "race")
+    assert versions.write_version(spark.range(1), root, 0) == 1
+    with pytest.raises(versions.CommitConflict):
+        versions.write_version(spark.range(2), root, 0)
+    assert versions.read_version(spark, root).count() == 1
+
+
+def test_an_insert_between_read_and_write_leaves_one_row_per_key(spark, scratch_root, monkeypatch):
+    root, table = fresh(scratch_root, "dim_race")
+    dim = dims.dim_payment_type(spark)
+    catalog.load_dimension(dim.filter("payment_type < 3"), table, "payment_type", root)
+    plain, others = versions.write_version, [dim.filter("payment_type < 5"), dim.filter("payment_type < 6")]
+
+    def interrupted(df, *args, **kw):
+        if others:                          # another load commits first, twice
+            offer = others.pop(0)
+            monkeypatch.setattr(versions, "write_version", plain)
+            catalog.load_dimension(offer, table, "payment_type", root)
+            monkeypatch.setattr(versions, "write_version", interrupted)
+        return plain(df, *args, **kw)
+
+    monkeypatch.setattr(versions, "write_version", interrupted)
+    catalog.load_dimension(dim, table, "payment_type", root)
+    keys = sorted(r.payment_type for r in spark.table(table).collect())
+    assert not others and keys == sorted(r.payment_type for r in dim.collect()) and len(keys) == len(set(keys))
+
+
+def test_dimensions_of_plain_tables_are_adopted(spark, scratch_root):
+    root, table = fresh(scratch_root, "adopted")
+    dim = dims.dim_vendor(spark)
+    catalog.create_table_if_absent(dim.limit(1), table, f"{root}/plain")
+    n = dim.count()
+    assert catalog.load_dimension(dim, table, "vendor_id") == n - 1
+    assert catalog.load_dimension(dim, table, "vendor_id") == 0 and spark.table(table).count() == n
+
+
+def test_job_publishes_its_fact_table(spark, scratch_root):
+    root, table = fresh(scratch_root, "job")
+    for rows in (raw_trips(spark, SF001).limit(100), raw_trips(spark, SF001)):
+        got = run_etl(spark, EtlConfig(raw_paths=[], fact_path=f"{root}/fact", fact_table=table, versions_path=f"{root}/versions"),
+                      build_views=False, raw=rows.drop("trip_key"))
+        assert spark.table(table).count() == got.clean_rows > 0
+    assert io.PARTITION_COL in spark.table(table).columns and versions.current(spark, f"{root}/versions")[0] == 2
