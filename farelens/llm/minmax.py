@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelens.llm.common import materialize, may_have, spread
@@ -44,7 +44,7 @@ PERCENT = 75            # 100 * intersection >= PERCENT * union
 PERMUTATIONS = 64
 BAND = 4
 BANDS = 2 * PERMUTATIONS // BAND
-WORD_CACHE = 500_000
+WORD_CACHE = 50_000     # words whose hashes a task keeps, some ten MB
 BLOCK = 4_096           # members of a large bucket that stay together
 # Members of a loose group that stay together, and their shingles (eight bytes each).
 GROUP_BLOCK, GROUP_SHINGLES = 2_048, 4_000_000
@@ -336,14 +336,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each near-duplicate component, the one with the smallest id.
+    """``docs`` with one row of each group of near duplicates, the one with the smallest id.
 
-    Of rows that share an id one stays; rows without an id all stay.
+    A text without words is a near duplicate of none and stays.  Where rows
+    share an id or have none, rows are told apart by a number of their own:
+    different texts all stay, whatever their ids, and of equal or similar
+    ones any one row does.  An empty table gives no rows; a very long text
+    is held by its shingles.
     """
-    judged = near_duplicates(docs).filter("kept and doc_id is not null")
-    keep = judged.select(F.col("doc_id").alias("__keep_id")).distinct()
-    kept = docs.join(keep, F.col("doc_id") == keep["__keep_id"]).drop("__keep_id")
-    if docs.groupBy("doc_id").count().filter("doc_id is not null and count > 1").limit(1).count():
-        one = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        kept = kept.withColumn("__row", F.row_number().over(one)).filter(F.col("__row") == 1).drop("__row")
-    return kept.unionByName(docs.filter("doc_id is null"))
+    unsound = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__rows")).filter("doc_id is null or __rows > 1")
+    if not unsound.limit(1).count():
+        keep = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__keep_id"))
+        return docs.join(keep, docs["doc_id"] == keep["__keep_id"], "left_semi")
+    numbered = materialize(docs.withColumn("__row_id", F.monotonically_increasing_id()), "minmax_numbered")
+    keep = near_duplicates(numbered.select(F.col("__row_id").alias("doc_id"), "text")).filter("kept").select(
+        F.col("doc_id").alias("__keep_id"))
+    return numbered.join(keep, numbered["__row_id"] == keep["__keep_id"], "left_semi").drop("__row_id")

@@ -20,21 +20,28 @@ BYTE_CHARS = {b: b for b in _PRINTABLE} | {
     b: 0x100 + i for i, b in enumerate(b for b in range(0x100) if b not in _PRINTABLE)}
 
 
+def _spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
 def token_bytes(path: str) -> dict[int, bytes]:
     """The bytes of each id of a byte-level vocabulary."""
+    return _token_bytes(_spec(path))
+
+
+def _token_bytes(spec: dict) -> dict[int, bytes]:
     char_bytes = {chr(c): b for b, c in BYTE_CHARS.items()}
-    with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
     # An added token may be listed in the vocabulary, too, and is no byte string.
-    return {i: bytes(char_bytes[c] for c in token) for token, i in vocab.items() if all(c in char_bytes for c in token)}
+    return {i: bytes(char_bytes[c] for c in token) for token, i in spec["model"]["vocab"].items()
+            if all(c in char_bytes for c in token)}
 
 
 def merges_by_rank(path: str) -> bool:
     """Whether encoding by ranks gives the ids that encoding by the file's merges gives."""
     from tokenizers import Tokenizer
 
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
+    spec = _spec(path)
     model, pre = spec["model"], spec.get("pre_tokenizer") or {}
     plain = (model["type"] == "BPE" and spec.get("normalizer") is None and pre.get("type") == "ByteLevel"
              and pre.get("use_regex", True) and not pre.get("add_prefix_space")
@@ -64,22 +71,30 @@ class ByteBpe:
     """
 
     def __init__(self, path: str, ranked: bool, added: bool):
-        import os
-
-        # Spark runs a worker per core; threads inside one would only compete.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.slow = Tokenizer.from_file(path)
-        self.slow.encode_special_tokens = not added
-        self.strings = [t.content for t in self.slow.get_added_tokens_decoder().values()] if added else []
+        spec = _spec(path)
+        self.path, self.added, self._slow = path, added, None
+        self.strings = [t["content"] for t in spec.get("added_tokens") or ()] if added else []
         self.fast = None
         if ranked:
             import tiktoken
 
-            ranks = {b: i for i, b in token_bytes(path).items()}
+            ranks = {b: i for i, b in _token_bytes(spec).items()}
             self.fast = tiktoken.Encoding(path, pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @property
+    def slow(self):
+        """The tokenizer itself, loaded when a text needs it."""
+        if self._slow is None:
+            import os
+
+            # Spark runs a worker per core; threads inside one would only compete.
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self.path)
+            self._slow.encode_special_tokens = not self.added
+        return self._slow
+
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         if self.fast is None or any(s in text for s in self.strings):
