@@ -122,4 +122,43 @@ SELECT page_id, host, path, rule, strict_hits, soft_hits,
 FROM ruled"""
 
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filter": _url_filter_sql(), "op12_spelling_variants": spelling.SQL}
+# Smallest node reachable over the links (a, b) from every row of ``nodes`` (node).
+_REACHED = """
+linked AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT node, node AS other FROM nodes
+          UNION SELECT reach.node, linked.b FROM reach JOIN linked ON reach.other = linked.a),
+components AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)"""
+
+_NEAR_VECTORS_SQL = f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id < b.vec_id
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+nodes AS (SELECT vec_id AS node FROM embeddings),{_REACHED}
+SELECT node AS vec_id, (SELECT count(*) FROM linked WHERE linked.a = node) AS n_links, component_id,
+       node = component_id AS kept
+FROM components"""
+
+_NEAR_DUPLICATES_SQL = f"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                             ELSE list_sort(list_distinct(list_transform(range(1, greatest(len(w) - {minmax.SHINGLE} + 1, 1) + 1),
+                                  lambda i: array_to_string(w[i:i + {minmax.SHINGLE - 1}], ' ')))) END AS shingles FROM split),
+keyed AS (SELECT doc_id, len(shingles) AS n, shingles, md5(array_to_string(shingles, chr(10))) AS class FROM sets),
+classes AS (SELECT class, min(doc_id) AS rep, any_value(n) AS n, any_value(shingles) AS shingles FROM keyed WHERE n > 0 GROUP BY class),
+cells AS (SELECT rep, n, unnest(shingles) AS shingle FROM classes),
+shared AS (SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS met
+           FROM cells a JOIN cells b ON a.shingle = b.shingle AND a.rep < b.rep GROUP BY a.rep, b.rep),
+links AS (SELECT a, b FROM shared WHERE 100 * met >= {minmax.PERCENT} * (n + m - met)),
+nodes AS (SELECT rep AS node FROM classes),{_REACHED}
+SELECT doc_id, keyed.n AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM keyed LEFT JOIN classes ON keyed.class = classes.class AND keyed.n > 0 LEFT JOIN components ON classes.rep = components.node"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_url_filter": _url_filter_sql(), "op5_embedding_near_dedup": _NEAR_VECTORS_SQL,
+    "op10_near_duplicates": _NEAR_DUPLICATES_SQL, "op12_spelling_variants": spelling.SQL}
