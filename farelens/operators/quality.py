@@ -38,11 +38,16 @@ RULE_SQL = {
 
 
 # For rows that carry UNCASTABLE, as ``sources.io.read_raw`` gives them: its
-# values fit their types, and the rates made of them can be summed.
-RATES = ("fare_per_mile", "fare_per_minute", "tip_percentage")
+# values fit their types, and the rates made of them (per mile, per minute, tip
+# per rest) can be summed.  Told from the parts, so that no rate is worked out
+# and rounded for the filter alone.
+_MOST = f"{LARGEST_MEASURE:.0f}D"
 FILE_RULE_SQL = {
     "values_castable": f"{S.UNCASTABLE} = ''",
-    "rates_in_range": " AND ".join(f"coalesce(abs({c}) < {LARGEST_MEASURE:.0f}D, true)" for c in RATES),
+    "rates_in_range": " AND ".join(f"coalesce({x}, true)" for x in (
+        f"trip_distance <= 0 OR abs(total_amount) < {_MOST} * trip_distance",
+        f"trip_duration_min <= 0 OR abs(total_amount) < {_MOST} * trip_duration_min",
+        f"total_amount = tip_amount OR abs(tip_amount) * 100 < {_MOST} * abs(total_amount - tip_amount)")),
 }
 
 
