@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from farelens.operators.hashlists import hash_of, repeated_hashes, space_for
 from farelens.session import storage_root
 
+_HASH, _TWICE = "__key_hash", "__key_twice"
 # Hashes of repeated keys that are broadcast (16 bytes each); with more, rows are grouped as they are.
 MOST_REPEATED = 1 << 20
 
@@ -36,14 +37,14 @@ def check_pk(df: DataFrame, keys: list[str], rows: int | None = None, most_repea
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     cuts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     space = space_for(max(1, df.count() if rows is None else rows), cuts)
-    h = hash_of(keys, cuts, space)
+    h = hash_of(keys, cuts, space).alias(_HASH)
     path = f"{storage_root(spark)}/check_pk/{uuid.uuid4().hex}"
     repeated_hashes(df.filter(~any_null).select(h), cuts, space).write.parquet(path)
     found = spark.read.schema("hash long").parquet(path)
     some = df.select(*keys, h)
     if found.count() <= most_repeated:
-        some = some.join(F.broadcast(found.withColumn("twice", F.lit(True))), "hash", "left").filter(
-            F.col("twice").isNotNull() | any_null)
+        some = some.join(F.broadcast(found.select(F.col("hash").alias(_HASH), F.lit(True).alias(_TWICE))), _HASH, "left").filter(
+            F.col(_TWICE).isNotNull() | any_null)
     return (some.groupBy(*keys)
             .agg(F.count(F.lit(1)).alias("n_rows"))
             .filter((F.col("n_rows") > 1) | any_null))

@@ -44,6 +44,13 @@ def test_check_equals_plain_grouping(spark, monkeypatch, most):
             assert {tuple(r) for r in checks.check_pk(df, ks, most_repeated=most).collect()} == offenders(df, ks)
 
 
+def test_keys_of_any_name(spark):
+    df = spark.createDataFrame([(1, 2), (1, 3), (4, 2)], "`hash` long, twice long")
+    assert [tuple(r) for r in checks.check_pk(df, ["hash"]).collect()] == [(1, 2)]
+    assert [tuple(r) for r in checks.check_pk(df, ["twice"]).collect()] == [(2, 2)]
+    assert checks.check_pk(df, ["hash", "twice"]).count() == 0
+
+
 def test_a_wrong_row_count_only_costs_bytes(spark):
     df = spark.range(2000).unionByName(spark.range(5))
     for rows in (1, 10, 10**9):
