@@ -23,10 +23,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
-from farelens.llm.common import materialize, word_count
+from farelens.llm.common import materialize, may_have, word_count
 
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
@@ -37,28 +38,30 @@ SHARDS = 16
 # inside a bucket and shifted by the sums of earlier buckets.
 BUCKETS = 1024
 MAX_SOURCES = 1_000_000
+# Repeats of one row that meet its text in one task.
+SAME_ROWS = 4096
 # numpy draws hypergeometric numbers exactly below this population.
 _EXACT_POPULATION = 10**9
 
 
 @dataclass
 class Mix:
-    sizes: DataFrame    # doc_id, rep, source, size, source_size, target
-    draws: DataFrame    # one row per drawn block: doc, block, copy, words, shard, draw_key
+    sizes: DataFrame    # uid, tag, rep, doc_id, source, size, source_size, target
+    draws: DataFrame    # one row per drawn block: uid, tag, rep, doc_id, block, copy, words, shard, draw_key
     targets: DataFrame  # one row per source
     n_shards: int
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHARE,
                    cap: float = CAP) -> DataFrame:
-    """One row per source: source_id, source, source_size, weight, target.
+    """One row per source: source_id, source, source_size, weight, target, from rows (source, size, same).
 
     Sources are weighed by code point order (NULL last), the weights repeating.
     Excess over a cap is reshared by weight; the end of that is the water
     level L with sum(min(cap_s, L * w_s)) = total: a source is capped when
     the demand at its own ratio cap_s / w_s stays within the total.
     """
-    src = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    src = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("same")).alias("source_size"))
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     src = src.withColumn("source_id", F.row_number().over(by_name).cast("long"))
     pattern = F.array(*[F.lit(float(w)) for w in weights])
@@ -83,16 +86,31 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, total_share: float = TOTAL
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """Draws without replacement; beyond numpy's range by a rounded normal, kept in bounds."""
+    """Draws without replacement; beyond numpy's range by inverting the distribution."""
     low, high = max(0, n - bad), min(good, n)
     if low >= high:
         return low
     if good + bad < _EXACT_POPULATION:
         return int(rng.hypergeometric(good, bad, n))
-    whole = good + bad
+    return invert_hypergeometric(rng.random(), good, bad, n)
+
+
+def invert_hypergeometric(u: float, good: int, bad: int, n: int) -> int:
+    """The smallest count whose cumulative probability exceeds ``u``.
+
+    Probabilities follow from ratios of neighbours, so no large factorial is
+    needed.  They are taken within 9 standard deviations of the mean (and 40
+    more); the rest has less weight than a double can tell from 0.
+    """
+    low, high, whole = max(0, n - bad), min(good, n), good + bad
     mean = n * (good / whole)
-    var = mean * (bad / whole) * ((whole - n) / (whole - 1))
-    return int(min(high, max(low, round(rng.normal(mean, var**0.5)))))
+    reach = int(9 * (mean * (bad / whole) * ((whole - n) / max(1, whole - 1))) ** 0.5) + 40
+    first, last = max(low, int(mean) - reach), min(high, int(mean) + reach)
+    k = np.arange(first, last, dtype=np.float64)
+    ratio = np.log(good - k) + np.log(n - k) - np.log(k + 1) - np.log(bad - n + k + 1)
+    weight = np.concatenate([[0.0], np.cumsum(ratio)])
+    total = np.cumsum(np.exp(weight - weight.max()))
+    return first + min(int(np.searchsorted(total, u * total[-1], side="right")), last - first)
 
 
 def split_quotas(quotas: list[int], n_shards: int, seed: int) -> np.ndarray:
@@ -121,29 +139,49 @@ def split_quotas(quotas: list[int], n_shards: int, seed: int) -> np.ndarray:
     return out
 
 
+def row_identity(docs: DataFrame) -> tuple[Column, Column]:
+    """(uid, tag): the id, or a hash of the row where it has none, and another hash of the row.
+
+    Rows that agree in both are equal in all columns.  Hashes pass over NULLs,
+    so the places of NULLs are hashed along; nested values go as JSON.
+    """
+    values = []
+    for name in docs.columns:
+        col = docs[f"`{name}`"]
+        if isinstance(docs.schema[name].dataType, (ArrayType, MapType, StructType)):
+            col = F.to_json(F.struct(col.alias("v")), {"ignoreNullFields": "false"})
+        values += [F.isnull(col), col]
+    return (F.coalesce(docs["doc_id"].cast("long"), F.xxhash64(F.lit("uid"), *values)),
+            F.xxhash64(F.lit("tag"), *values))
+
+
 def mix_sources(docs: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHARE, cap: float = CAP,
                 block_words: int = BLOCK_WORDS, n_shards: int = SHARDS, seed: int = 20,
                 max_sources: int = MAX_SOURCES) -> Mix:
     """Draws a mixture of ``docs`` (doc_id, text, source); reruns agree.
 
     A NULL text has size 0 and is never drawn, a NULL source is a source of
-    its own.  Rows alike in doc_id, source and size are told apart by ``rep``
-    and drawn separately.  An empty table gives empty draws.
+    its own.  Equal rows are counted as they are read, then told apart by
+    ``rep`` and drawn separately; what else ``docs`` holds takes part in that
+    alone.  An empty table gives empty draws.
     """
     spark = docs.sparkSession
-    same = Window.partitionBy("doc_id", "source", "size").orderBy("doc_id")
-    read = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    sized = materialize(read.withColumn("rep", F.row_number().over(same)), "mix_sizes")
+    uid, tag = row_identity(docs)
+    read = docs.select(uid.alias("uid"), tag.alias("tag"), "doc_id", "source",
+                       word_count(F.col("text")).alias("size"))
+    sized = materialize(read.groupBy(*read.columns).agg(F.count(F.lit(1)).alias("same")), "mix_sizes")
     targets = materialize(source_targets(sized, weights, total_share, cap), "mix_targets")
+    every_row = F.explode(F.sequence(F.lit(1).cast("long"), F.col("same")))
     sizes = materialize(
         sized.join(targets, sized["source"].eqNullSafe(targets["source"]))
-        .select("doc_id", "rep", sized["source"], "size", "source_id", "source_size", "target"), "mix_docs")
+        .select("uid", "tag", every_row.alias("rep"), "doc_id", sized["source"], "size", "source_id", "source_size",
+                "target", "same"), "mix_docs")
 
     # Blocks in the permuted order of their source.
     blocks = (sizes.filter("size > 0")
               .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("size") - 1) / block_words))))
               .withColumn("n", F.least(F.lit(block_words).cast("long"), F.col("size") - F.col("block") * block_words))
-              .withColumn("key", F.xxhash64(F.lit(seed), "doc_id", "rep", "source", "size", "block"))
+              .withColumn("key", F.xxhash64(F.lit(seed), "uid", "tag", "rep", "block"))
               .withColumn("bucket", F.pmod(F.col("key"), F.lit(BUCKETS))))
     stats = blocks.groupBy("source_id", "bucket").agg(F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_c"))
     before = Window.partitionBy("source_id").orderBy("bucket")
@@ -151,7 +189,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHA
                            (F.sum("_n").over(before) - F.col("_n")).alias("words_before"),
                            (F.sum("_c").over(before) - F.col("_c")).alias("blocks_before"),
                            F.sum("_c").over(Window.partitionBy("source_id")).alias("source_blocks"))
-    inside = Window.partitionBy("source_id", "bucket").orderBy("key", "doc_id", "rep", "block")
+    inside = Window.partitionBy("source_id", "bucket").orderBy("key", "uid", "tag", "rep", "block")
     passes = F.floor(F.col("target") / F.col("source_size")).cast("long")
     rest = F.floor(F.col("target") - passes * F.col("source_size")).cast("long")
     ranked = (blocks.withColumns({"_words": F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"),
@@ -162,7 +200,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHA
                             "part": F.greatest(F.lit(0).cast("long"),
                                                F.least(F.col("n"), rest - F.col("words_before") - F.col("_words")))})
               .filter("passes > 0 or part > 0")
-              .select("doc_id", "rep", "source", "source_id", "size", "block", "n", "rank", "passes", "part",
+              .select("uid", "tag", "rep", "doc_id", "same", "source_id", "block", "n", "rank", "passes", "part",
                       "source_blocks"))
     ranked = materialize(ranked, "mix_blocks")
 
@@ -184,20 +222,19 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHA
              .withColumn("deal", F.col("copy") * F.col("source_blocks") + F.col("rank"))
              .join(leaf, "source_id")
              .withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("deal"))))
-             .withColumn("draw_key", F.xxhash64(F.lit(seed + 1), "shard", "doc_id", "rep", "block", "copy"))
-             .select("doc_id", "rep", "source", "size", "block", "copy", "words", "shard", "draw_key"))
+             .withColumn("draw_key", F.xxhash64(F.lit(seed + 1), "shard", "uid", "tag", "rep", "block", "copy"))
+             .select("uid", "tag", "rep", "doc_id", "same", "block", "copy", "words", "shard", "draw_key"))
     return Mix(sizes, draws, targets, n_shards)
 
 
 def taken_words(mix: Mix) -> DataFrame:
     """Words taken per document and its drawn blocks in each shard, zero for those never drawn."""
-    keys = ["doc_id", "rep", "source", "size"]
-    none = mix.sizes.select(*keys, "source_size", "target", F.lit(0).cast("long").alias("words"),
+    keys = ["uid", "tag", "rep", "doc_id"]
+    none = mix.sizes.select(*keys, "source", "size", "source_size", "target", F.lit(0).cast("long").alias("words"),
                             F.lit(None).cast("int").alias("shard"))
-    drawn = mix.draws.select(*keys, F.lit(None).cast("long").alias("source_size"),
-                             F.lit(None).cast("double").alias("target"), "words", "shard")
-    return none.unionByName(drawn).groupBy(*keys).agg(
-        F.max("source_size").alias("source_size"), F.max("target").alias("target"), F.sum("words").alias("taken"),
+    drawn = mix.draws.select(*keys, "words", "shard")
+    return none.unionByName(drawn, allowMissingColumns=True).groupBy(*keys).agg(
+        *[F.max(c).alias(c) for c in ("source", "size", "source_size", "target")], F.sum("words").alias("taken"),
         F.count("shard").alias("blocks"),
         F.array(*[F.count_if(F.col("shard") == i) for i in range(mix.n_shards)]).alias("shard_blocks"))
 
@@ -225,24 +262,32 @@ def mixed_blocks(docs: DataFrame, block_words: int = BLOCK_WORDS, **options) ->
     """The mixture, one row per drawn block, and the number of shards.
 
     Rows have the columns of ``docs`` and __mix_draw: the drawn block's
-    draw_key, block, copy, rep, shard and words.  A document drawn as one
+    draw_key, uid, tag, block, copy, rep, shard and words.  A document drawn as one
     whole block keeps its text as it is; ``n_chars`` (if there) is counted
     anew for cut texts.
     """
     mix = mix_sources(docs, block_words=block_words, **options)
-    keys = ["doc_id", "rep", "source", "size"]
-    own = (mix.draws.groupBy(*keys)
-           .agg(F.collect_list(F.struct("draw_key", "block", "copy", "rep", "shard", "words")).alias("__mix_draws")))
-    # One shuffle of whole texts: the numbering of repeated rows and the join
-    # share the hash of (id, source, size), NULLs under a stand-in beside a flag.
-    key = {"__mix_id": F.coalesce("doc_id", F.lit(-1).cast("long")), "__mix_no_id": F.isnull("doc_id"),
-           "__mix_source": F.coalesce("source", F.lit("")), "__mix_no_source": F.isnull("source")}
-    left = docs.withColumn("__mix_size", word_count(F.col("text"))).withColumns(key)
-    same = [*key, "__mix_size"]
-    left = left.withColumn("__mix_rep", F.row_number().over(Window.partitionBy(*same).orderBy("__mix_id")))
-    own = own.withColumns(key).select(*key, F.col("size").alias("__mix_size"), F.col("rep").alias("__mix_own_rep"),
-                                      "__mix_draws")
-    joined = left.join(own, same).filter(F.abs(F.col("__mix_rep") - F.col("__mix_own_rep")) < 1)
+    own = (mix.draws.groupBy(F.col("uid").alias("__mix_uid"), F.col("tag").alias("__mix_tag"), "rep")
+           .agg(F.max("same").alias("__mix_same"), F.collect_list(
+               F.struct("draw_key", "uid", "tag", "block", "copy", "rep", "shard", "words")).alias("__mix_draws"))
+           .withColumn("__mix_part", F.floor((F.col("rep") - 1) / SAME_ROWS)).drop("rep"))
+    uid, tag = row_identity(docs)
+    left = docs.withColumns({"__mix_uid": uid, "__mix_tag": tag, "__mix_size": word_count(F.col("text"))})
+    # Equal rows are one text to join; one shuffle of whole texts serves the choice and the join.
+    first = Window.partitionBy("__mix_uid", "__mix_tag").orderBy("__mix_size")
+    one = left.withColumn("__mix_row", F.row_number().over(first)).filter("__mix_row = 1").drop("__mix_row")
+    joined = one.join(own.filter(F.col("__mix_same") <= SAME_ROWS).drop("__mix_part"), ["__mix_uid", "__mix_tag"])
+    often = materialize(
+        mix.sizes.filter((F.col("same") > SAME_ROWS) & ((F.col("rep") - 1) % SAME_ROWS == 0))
+        .select(F.col("uid").alias("__mix_uid"), F.col("tag").alias("__mix_tag"),
+                F.floor((F.col("rep") - 1) / SAME_ROWS).alias("__mix_part")), "mix_often")
+    if not often.isEmpty():
+        # A row repeated very often goes to one place per SAME_ROWS repeats.
+        keys = ["__mix_uid", "__mix_tag", "__mix_part"]
+        few = may_have(left, keys[:2], often).withColumn("__mix_row", F.row_number().over(first)).filter("__mix_row = 1")
+        spread_out = few.drop("__mix_row").join(often, keys[:2])
+        joined = joined.unionByName(
+            spread_out.join(own.filter(F.col("__mix_same") > SAME_ROWS), keys).drop("__mix_part"))
     whole = F.forall("__mix_draws", lambda d: d["words"] == F.col("__mix_size"))
     # Whole documents go by without Python; one branch, so that the texts are shuffled once.
     part = [F.when(~whole, c) for c in (F.col("text"), F.col("__mix_draws.block"), F.col("__mix_draws.words"))]
@@ -274,5 +319,5 @@ def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **options)
     place = F.floor((draw["draw_key"].cast("double") / 2.0**64 + 0.5) * per_shard).cast("int")
     place = draw["shard"] * per_shard + F.least(place, F.lit(per_shard - 1))
     return (rows.repartitionById(n_shards * per_shard, place.cast("int"))
-            .sortWithinPartitions(draw["draw_key"], "doc_id", draw["rep"], draw["block"], draw["copy"])
+            .sortWithinPartitions(*[draw[c] for c in ("draw_key", "uid", "tag", "rep", "block", "copy")])
             .select(*docs.columns))

@@ -30,7 +30,7 @@ def public_file(name: str) -> str:
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mix = mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+    mix = mixing.mix_sources(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixing.taken_words(mix).select("doc_id", "size", "source_size", "target", "taken", "blocks",
                                        "shard_blocks")
 

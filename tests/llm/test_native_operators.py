@@ -127,6 +127,48 @@ def test_mixture_lies_by_shard_and_keyed_hash(spark, docs):  # noqa: F811
         assert r.shard_blocks == [per_doc[r.doc_id, r.rep, i] for i in range(4)] and r.blocks == sum(r.shard_blocks)
 
 
+def test_many_equal_rows_without_an_id(spark, monkeypatch):
+    # A third of all rows is one row without an id; twins differ in a column that is not drawn by.
+    monkeypatch.setattr(mixing, "SAME_ROWS", 512)
+    hot = spark.range(20_000).selectExpr("cast(null as long) doc_id", "'one two three' text", "'s' source", "1 mark")
+    rest = spark.range(300).selectExpr("id doc_id", "repeat('w ', cast(id % 40 as int)) text", "null source", "2 mark")
+    twins = spark.range(2).selectExpr("7L doc_id", "'same words here' text", "'t' source", "cast(id as int) + 3 mark")
+    docs = hot.unionByName(rest).unionByName(twins)
+    mix = mixing.mix_sources(docs, block_words=8)
+    rows = mixing.taken_words(mix)
+    assert rows.count() == 20_302
+    check_mix(rows.filter("source is distinct from 's'").unionByName(
+        rows.filter("source = 's'").groupBy("source", "source_size", "target").agg(
+            F.sum("size").alias("size"), F.sum("taken").alias("taken")), allowMissingColumns=True).collect(),
+        [(r.doc_id, r.source, len(WORD.findall(r.text))) for r in docs.collect()])
+    # Every drawn block is written once, the hot row's beyond the others' path, too.
+    drawn = Counter((r.doc_id, r.words) for r in mix.draws.collect())
+    out = mixing.mixed_documents(docs, block_words=8).collect()
+    assert drawn == Counter((r.doc_id, len(WORD.findall(r.text))) for r in out)
+    marks = {r.mark for r in out if r.source == "t"}
+    assert marks == {3, 4}
+
+
+def test_row_identity_tells_places_of_nulls(spark):
+    rows = spark.createDataFrame([(None, "a", None, [None, "x"]), (None, None, "a", [None, "x"]),
+                                  (None, "a", None, ["x", None]), (None, "a", None, [None, "x"])],
+                                 "doc_id long, text string, source string, more array<string>")
+    uid, tag = mixing.row_identity(rows)
+    assert rows.select(uid, tag).distinct().count() == 3
+
+
+def test_inversion_is_the_hypergeometric_distribution():
+    from math import comb
+
+    good, bad, n = 23, 31, 17
+    share = [comb(good, k) * comb(bad, n - k) / comb(good + bad, n) for k in range(n + 1)]
+    ends = np.cumsum(share)
+    for k in range(n + 1):
+        if share[k] > 1e-9:
+            assert mixing.invert_hypergeometric(ends[k] - share[k] / 2, good, bad, n) == k
+    assert mixing.invert_hypergeometric(0.0, good, bad, n) == 0
+
+
 def test_splitting_tree_is_exact():
     quotas = [1000, 3, 0, 517, 40_000]
     out = mixing.split_quotas(quotas, 7, seed=1)
