@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 LEAF = 24
 # Range buckets of the neighbour order for each shuffle partition; the
-# driver holds one boundary and one id per bucket, at most MAX_BUCKETS.
+# driver holds one boundary and one id per bucket; ids that many rows share
+# add at most twice as many.
 BUCKETS_PER_PARTITION = 4
 MAX_BUCKETS = 16_384
 
@@ -143,38 +144,59 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document, of its edited text, and their likeness.
 
     ``docs`` has doc_id and text (NULL: empty).  The next document follows in
-    descending doc_id, rows without an id last, equal ids by text; after the
-    last comes the first.  The edited text's last third is replaced by the
-    next document's beginning.  An empty table gives no rows; a single
-    document follows itself.
+    descending doc_id, rows without an id last, equal ids by a hash of the
+    text and then by text; after the last comes the first.  The edited text's
+    last third is replaced by the next document's beginning.  An empty table
+    gives no rows; a single document follows itself.  A text is held whole,
+    with three trees of it, whatever its length.
 
     One shuffle of the texts into range buckets of the order; the first row
-    of each bucket is sent along to the bucket before.  Tasks read their rows
-    as a stream, whatever the bucket's size.
+    of each bucket is sent along to the bucket before.  An id that many rows
+    share, or none, takes as many buckets as its rows ask for, by the text's
+    hash.  Tasks read their rows as a stream, whatever the bucket's size.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.withColumn("mark", F.xxhash64(F.isnull("text"), "text"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n = min(MAX_BUCKETS, partitions * BUCKETS_PER_PARTITION)
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5]).alias("cuts")).first().cuts
-    bounds = np.unique(np.array(cuts or [], dtype=np.int64))
+    seen = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5]).alias("cuts"),
+                    F.count_if(F.isnull("doc_id")).alias("without"), F.count(F.lit(1)).alias("rows")).first()
+    bounds, times = np.unique(np.array(seen.cuts or [], dtype=np.int64), return_counts=True)
+    # An id that is a boundary more than once has about that many buckets of rows.
+    hot = {int(b): int(t) for b, t in zip(bounds, times) if t > 1}
+    none = -(-n * seen.without // max(1, seen.rows))
+    width = max([1, none, *hot.values()])
 
     @F.pandas_udf("int")
-    def bucket_of(ids: pd.Series) -> pd.Series:
-        known = ids.notna()
-        at = len(bounds) - np.searchsorted(bounds, ids.fillna(0).astype("int64").to_numpy(), side="left")
-        return pd.Series(np.where(known, at, len(bounds) + 1)).astype("int32")
-
-    placed = docs.withColumn("bucket", bucket_of("doc_id"))
-    # One row per bucket: its first id (NULL in the bucket of rows without id).
-    heads = sorted(tuple(r) for r in docs.select("doc_id", bucket_of("doc_id").alias("bucket"))
-                   .groupBy("bucket").agg(F.max("doc_id").alias("doc_id")).collect())
-    ahead = spark.createDataFrame([(heads[i - 1][0], head) for i, (_, head) in enumerate(heads)],
-                                  "bucket int, head long")
-    first_texts = (docs.join(F.broadcast(ahead), docs["doc_id"].eqNullSafe(ahead["head"]))
-                   .groupBy("bucket", "doc_id").agg(F.min("text").alias("text")))
-    rows = (placed.select("bucket", F.lit(0).alias("after"), "doc_id", "text")
-            .unionByName(first_texts.select("bucket", F.lit(1).alias("after"), "doc_id", "text")))
+    def bucket_of(ids: pd.Series, marks: pd.Series) -> pd.Series:
+        known = ids.notna().to_numpy()
+        ids = ids.fillna(0).astype("int64").to_numpy()
+        at = len(bounds) - np.searchsorted(bounds, ids, side="left")
+        # Where an id has several buckets, all other ids of its range come before or after them.
+        place = np.where(known, 2 * at, 2 * len(bounds) + 2).astype(np.int64)
+        parts = np.where(known, 1, none)
+        if hot:
+            share = pd.Series(ids).map(hot).fillna(1).to_numpy(dtype=np.int64)
+            parts = np.where(known, share, parts)
+            place -= (known & (share > 1)).astype(np.int64)
+        unit = marks.to_numpy().astype(np.float64) / 2.0**64 + 0.5
+        inside = np.minimum((unit * parts).astype(np.int64), np.maximum(parts, 1) - 1)
+        return pd.Series(place * width + inside).astype("int32")
+
+    placed = docs.withColumn("bucket", bucket_of("doc_id", "mark"))
+    # One row per bucket: its first row in the order (nothing of its text but the hash).
+    order = F.struct(F.isnotnull("doc_id"), "doc_id", -(F.col("mark").cast("decimal(20,0)")))
+    heads = sorted((r.bucket, r.head[1], -int(r.head[2])) for r in
+                   placed.groupBy("bucket").agg(F.max(order).alias("head")).collect())
+    ahead = spark.createDataFrame([(heads[i - 1][0], head, mark) for i, (_, head, mark) in enumerate(heads)],
+                                  "bucket int, head long, head_mark long")
+    first_texts = (docs.join(F.broadcast(ahead), docs["doc_id"].eqNullSafe(ahead["head"])
+                             & (docs["mark"] == ahead["head_mark"]))
+                   .groupBy("bucket", "doc_id", "mark").agg(F.min("text").alias("text")))
+    columns = ["bucket", "after", "doc_id", "mark", "text"]
+    rows = (placed.withColumn("after", F.lit(0)).select(columns)
+            .unionByName(first_texts.withColumn("after", F.lit(1)).select(columns)))
     ordered = rows.repartition(partitions, "bucket").sortWithinPartitions(
-        "bucket", "after", F.col("doc_id").desc_nulls_last(), F.col("text").asc_nulls_last())
+        "bucket", "after", F.col("doc_id").desc_nulls_last(), "mark", F.col("text").asc_nulls_last())
     return ordered.select("doc_id", "text", "after").mapInArrow(_compare, _OUT)

@@ -4,7 +4,7 @@ import functools
 import hashlib
 import json
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -181,18 +181,48 @@ def test_fingerprints_and_edited_texts(spark):
                        [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
 
 
-def check_fingerprints(rows, texts):
-    order = sorted(texts, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is None, r[1] or ""))
+def pieces(text):
+    """The leaves' texts, cut character by character."""
+    out, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] not in ".!?\n" and end - at < 24:
+            end += 1
+        if end > at:
+            while end < len(text) and text[end] in ".!?":
+                end += 1
+            end += text[end:end + 1] == "\n"
+        else:
+            while end < len(text) and text[end] in ".!?\n":
+                end += 1
+        out.append(text[at:end])
+        at = end
+    return out
+
+
+def plain_likeness(a, b):
+    if a == b:
+        return 1.0
+    common = Counter(pieces(a)) & Counter(pieces(b))
+    return 2 * sum(len(p) * n for p, n in common.items()) / (len(a) + len(b))
+
+
+def check_fingerprints(rows, texts, marks=None):
+    """``marks``: the order of texts under one id, where it is not their own."""
+    marks = marks or {}
+    order = sorted(texts, key=lambda r: (r[0] is None, -(r[0] or 0), marks.get(r[1], 0), r[1] is None, r[1] or ""))
     want = defaultdict(list)
     for i, (doc, text) in enumerate(order):
         text, after = text or "", order[(i + 1) % len(order)][1] or ""
         k = len(text) // 3
         edited = text[:len(text) - k] + after[:k]
         want[doc].append((len(text), hashlib.sha256(edited.encode()).hexdigest(), merkle.Tree(text).root,
-                          merkle.Tree(edited).root))
+                          merkle.Tree(edited).root, round(plain_likeness(text, edited), 12),
+                          round(plain_likeness(text, after), 12)))
     got = defaultdict(list)
     for r in rows:
-        got[r.doc_id].append((r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint))
+        got[r.doc_id].append((r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint,
+                               round(r.near_edited, 12), round(r.near_next, 12)))
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         assert (r.near_edited == 1) == (r.fingerprint == r.edited_fingerprint) == (r.edit_start is None)
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
@@ -205,6 +235,15 @@ def test_fingerprints_of_awkward_rows(docs, no_docs):  # noqa: F811
     check_fingerprints(merkle.compare_with_next(one).collect(), [(8, "Un texte court.")])
 
 
+def test_fingerprints_where_rows_share_an_id(spark):
+    # A third without an id, a third under one id, many rows equal.
+    rows = [(None, f"row {i % 150} without. An id {i % 150}!") for i in range(300)] + [(5, None), (5, "")]
+    rows += [(5, f"row {i} of five. And more {i % 3}.") for i in range(300)] + [(i, f"text {i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    marks = {r.text: r.mark for r in docs.select("text", F.expr("xxhash64(text is null, text)").alias("mark")).collect()}
+    check_fingerprints(merkle.compare_with_next(docs).collect(), rows, marks)
+
+
 def test_trees_locate_edits():
     text = "".join(f"Sentence number {i} of the text. It has two parts!\n" + "\n" * (i % 7 == 0) for i in range(200))
     at = text.index("number 120")
