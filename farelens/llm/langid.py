@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 COLUMNS = 1 << 16
 NGRAMS = 3
 CHUNK = 1 << 18
-# Bound of the labelled documents the counts are learnt from (expected number).
-SAMPLE_ROWS = 20_000
-MAX_LABELS = 1000
+# Bound of the labelled documents of each label that the counts are learnt from (expected number).
+SAMPLE_ROWS = 5_000
+# The matrix takes 256 KB a label.
+MAX_LABELS = 500
 UNKNOWN = "und"
 
 
@@ -64,49 +65,50 @@ def has_letter(text: str | None) -> bool:
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, smoothing: float = 0.1) -> Model | None:
     """Learns from ``text`` and non-NULL ``lang`` of the documents not held out.
 
-    A corpus with more than ``sample_rows`` labelled documents is thinned by a
-    hash of the id to about that many.  No labelled text: no model (None).
+    A label with more than ``sample_rows`` documents is thinned by a hash of
+    id and text to about that many, so a rare label is learnt from all of
+    its documents; equal rows are taken or left together.  Priors count all
+    documents.  No labelled text: no model (None).
     """
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    n = labelled.count()
-    if not n:
+    sizes = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+             .limit(MAX_LABELS + 1).collect()}
+    if len(sizes) > MAX_LABELS:
+        raise ValueError(f"more than {MAX_LABELS} labels")
+    if not sizes:
         return None
-    cut = int(min(1.0, sample_rows / n) * (1 << 31))
-    sample = labelled.filter(F.pmod(F.xxhash64(F.lit("langid"), "doc_id"), F.lit(1 << 31)) < cut) \
-        if cut < (1 << 31) else labelled
+    sample = labelled
+    thinned = {lang: int(sample_rows / n * (1 << 31)) for lang, n in sizes.items() if n > sample_rows}
+    if thinned:
+        cuts = F.create_map(*[F.lit(v) for pair in thinned.items() for v in pair])
+        cut = F.coalesce(F.try_element_at(cuts, F.col("lang")), F.lit(1 << 31))
+        place = F.pmod(F.xxhash64(F.lit("langid"), F.isnull("doc_id"), "doc_id", "text"), F.lit(1 << 31))
+        sample = labelled.filter(place < cut)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
         for batch in batches:
             for text, lang in zip(batch["text"], batch["lang"]):
                 into = seen.setdefault(lang, np.zeros(COLUMNS, dtype=np.int64))
-                rows[lang] = rows.get(lang, 0) + 1
                 for cols in ngram_columns(text):
                     into += np.bincount(cols, minlength=COLUMNS)
         for lang, into in seen.items():
             cols = np.flatnonzero(into)
-            yield pd.DataFrame({"lang": lang, "col": np.append(cols, -1),
-                                "n": np.append(into[cols], rows[lang])})
-
-    # At most COLUMNS + 1 rows per label after the sum.
-    counts = (sample.select("text", "lang").mapInPandas(count, "lang string, col long, n long")
-              .groupBy("lang", "col").agg(F.sum("n").alias("n"))
-              .groupBy("lang").agg(F.collect_list(F.struct("col", "n")).alias("cells"))
-              .orderBy("lang").limit(MAX_LABELS + 1).collect())
-    if len(counts) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} labels")
-    labels = [r.lang for r in counts]
-    table = np.zeros((COLUMNS, len(labels)))
-    prior = np.zeros(len(labels))
-    for j, row in enumerate(counts):
-        cells = np.array(row.cells, dtype=np.int64).reshape(-1, 2)
-        prior[j] = cells[cells[:, 0] < 0, 1].sum()
-        cells = cells[cells[:, 0] >= 0]
-        table[cells[:, 0], j] = cells[:, 1]
-    table += smoothing
-    log_prob = np.log(table / table.sum(axis=0))
-    return Model(labels, log_prob.astype(np.float32), np.log(prior / prior.sum()))
+            yield pd.DataFrame({"lang": lang, "col": cols, "n": into[cols]})
+
+    # At most COLUMNS cells a label after the sum; the driver reads one label at a time.
+    cells = (sample.select("text", "lang").mapInPandas(count, "lang string, col long, n long")
+             .groupBy("lang", "col").agg(F.sum("n").alias("n"))
+             .groupBy("lang").agg(F.collect_list("col").alias("cols"), F.collect_list("n").alias("ns")))
+    labels = sorted(sizes)
+    log_prob = np.empty((COLUMNS, len(labels)), dtype=np.float32)
+    log_prob[:] = -np.log(COLUMNS)       # a label none of whose documents was sampled
+    for row in cells.toLocalIterator():
+        column = np.full(COLUMNS, smoothing)
+        column[np.array(row.cols, dtype=np.int64)] += np.array(row.ns, dtype=np.float64)
+        log_prob[:, labels.index(row.lang)] = np.log(column / column.sum())
+    prior = np.array([sizes[lang] for lang in labels], dtype=np.float64)
+    return Model(labels, log_prob, np.log(prior / prior.sum()))
 
 
 def score_text(labels: list[str], log_prob: np.ndarray, log_prior: np.ndarray, text: str) -> tuple[str, float]:
@@ -136,6 +138,8 @@ def judgement(spark: SparkSession, model: Model | None, text: Column) -> Column:
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` plus lang_pred and score (posterior of the best label, 0 to 1).
 
+    Of labels equally likely the first by code point wins.
+
     A text that is NULL or has no letter gets ``und`` and 0; so does every
     text without a model.  Only ``text`` goes into a prediction.  Columns of
     these names in ``docs`` are replaced.

@@ -127,16 +127,25 @@ def judge_urls(pages: DataFrame, url_col: str = "url", rules=RULES, strict=STRIC
                soft=SOFT_TERMS, soft_limit: int = SOFT_LIMIT) -> DataFrame:
     """``pages`` without the URL's other columns being read, plus the verdict.
 
-    Adds host, path, rule, strict_hits, soft_hits and verdict (allow/block).
+    Adds host, path, rule, strict_hits, soft_hits and verdict (allow/block);
+    columns of these names in ``pages`` give way to them, all others stay.
     A NULL or relative URL has empty host and path, fits no rule and is
-    judged by its terms alone (NULL: none, allow).  One narrow stage: no
-    shuffle, so hot hosts do not matter.
+    judged by its terms alone (NULL: none, allow).  Repeated rows are judged
+    alike, long URLs are read whole, an empty table gives no rows.  One
+    narrow stage: no shuffle, so hot hosts do not matter.
     """
-    url = F.col(url_col)
-    parsed = pages.withColumns({"host": host_of(url), "path": path_of(url),
-                                "_terms": term_counter(strict, soft)(url)})
-    rule, ruled = match_rule(F.col("host"), F.col("path"), rules)
-    score = (F.col("_terms.strict") * soft_limit + F.col("_terms.soft")) >= soft_limit
-    return parsed.withColumns({
-        "rule": rule, "strict_hits": F.col("_terms.strict"), "soft_hits": F.col("_terms.soft"),
-        "verdict": F.coalesce(ruled, F.when(score, "block").otherwise("allow"))}).drop("_terms")
+    own = ("host", "path", "rule", "strict_hits", "soft_hits", "verdict")
+    # The judgement is one column of a name the table does not have.
+    name = "__judged"
+    while name in pages.columns:
+        name += "_"
+    url = pages[f"`{url_col}`"]
+    parts = pages.withColumn(name, F.struct(host_of(url).alias("host"), path_of(url).alias("path"),
+                                            term_counter(strict, soft)(url).alias("terms")))
+    at = parts[name]
+    rule, ruled = match_rule(at["host"], at["path"], rules)
+    score = (at["terms"]["strict"] * soft_limit + at["terms"]["soft"]) >= soft_limit
+    verdict = F.coalesce(ruled, F.when(score, "block").otherwise("allow"))
+    values = (at["host"], at["path"], rule, at["terms"]["strict"], at["terms"]["soft"], verdict)
+    return parts.select(*[parts[f"`{c}`"] for c in pages.columns if c not in own],
+                        *[v.alias(c) for c, v in zip(own, values)])

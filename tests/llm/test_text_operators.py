@@ -58,6 +58,50 @@ def test_url_vocabulary(spark):
     assert [v for *_, v in judge(spark, planted)] == ["block"] * 6
 
 
+def test_url_columns_of_the_same_names(spark):
+    rows = [("keep", "http://poker.casino.org/a", "x", 1, "t", 7)] * 2 + [(None, None, None, None, None, None)] + \
+        [("long", "http://a.org/" + "ok/" * 50_000 + "viagra", "h", 2, "t", 8)]
+    pages = spark.createDataFrame(rows, "_terms string, url string, host string, verdict int, __judged string, `a.b` int")
+    out = url_filter.judge_urls(pages)
+    assert out.columns == ["_terms", "url", "__judged", "a.b", "host", "path", "rule", "strict_hits", "soft_hits",
+                           "verdict"]
+    got = sorted(((r["_terms"], r["__judged"], r["a.b"], r["host"], r["verdict"]) for r in out.collect()), key=str)
+    assert got == [("keep", "t", 7, "poker.casino.org", "block")] * 2 + [("long", "t", 8, "a.org", "block"),
+                                                                         (None, None, None, "", "allow")]
+
+
+def test_rare_language_is_learnt(spark):
+    common = spark.range(6_000).selectExpr("id doc_id", "concat('the house and the river ', id) text", "'en' lang")
+    rare = spark.range(40).selectExpr("100000 + id doc_id", "concat('żółw i jeż nad rzeką ', id) text", "'pl' lang")
+    model = langid.train(common.unionByName(rare), sample_rows=50)
+    assert model.labels == ["en", "pl"] and model.log_prior[0] - model.log_prior[1] > 4
+    new = spark.createDataFrame([("jeż i żółw",), ("a river and a house",)], "text string")
+    assert [r.lang_pred for r in langid.predict(new, model).collect()] == ["pl", "en"]
+
+
+def test_scores_equal_plain_naive_bayes(spark):
+    """Counts, priors and posteriors again, by dictionaries of n-grams' columns, text by text."""
+    docs = read_table(spark, SF001, "documents").select("doc_id", "text", "lang")
+    rows = [r for r in docs.collect() if r.text and r.lang and zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+
+    def grams(text):
+        return Counter(int(c) for cols in langid.ngram_columns(text) for c in cols)
+
+    counts, n = defaultdict(Counter), Counter(r.lang for r in rows)
+    for r in rows:
+        counts[r.lang].update(grams(r.text))
+    whole = {lang: sum(c.values()) + 0.1 * langid.COLUMNS for lang, c in counts.items()}
+    for r in langid.identify_languages(docs).limit(40).collect():
+        if r.lang_pred == "und":
+            continue
+        mine = grams(r.text)
+        logs = {lang: np.log(n[lang] / len(rows)) + sum(k * np.log((counts[lang][g] + 0.1) / whole[lang])
+                                                        for g, k in mine.items()) for lang in counts}
+        top = max(logs.values())
+        assert logs[r.lang_pred] == pytest.approx(top, abs=1e-2)
+        assert r.score == pytest.approx(1 / sum(np.exp(v - top) for v in logs.values()), abs=1e-2)
+
+
 def test_held_out_languages(spark):
     docs = read_table(spark, SF001, "documents")
     out = langid.identify_languages(docs).withColumn("held_out", langid.held_out(F.col("doc_id"))).collect()
