@@ -197,6 +197,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     columns = ["bucket", "after", "doc_id", "mark", "text"]
     rows = (placed.withColumn("after", F.lit(0)).select(columns)
             .unionByName(first_texts.withColumn("after", F.lit(1)).select(columns)))
-    ordered = rows.repartition(partitions, "bucket").sortWithinPartitions(
+    # Dealt in turn, so that tasks have equally many buckets.
+    turn = F.floor(F.col("bucket") / (2 * width)) + F.pmod(F.col("bucket"), F.lit(width))
+    ordered = rows.repartitionById(partitions, F.pmod(turn, F.lit(partitions)).cast("int")).sortWithinPartitions(
         "bucket", "after", F.col("doc_id").desc_nulls_last(), "mark", F.col("text").asc_nulls_last())
     return ordered.select("doc_id", "text", "after").mapInArrow(_compare, _OUT)
