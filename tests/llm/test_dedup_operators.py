@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_support import SF001, docs, no_docs  # noqa: F401
@@ -228,6 +229,122 @@ def test_segments_depend_on_content_only(monkeypatch):
     assert windows(data) == whole
 
 
+def record(columns, schema):
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def rows_in(batches):
+    return sorted((tuple(r.values()) for b in batches for r in b.to_pylist()), key=repr)
+
+
+def test_short_texts_are_cut_together(monkeypatch):
+    """Equal to each text cut alone, with a few calls for many texts; no window crosses two texts."""
+    rng = np.random.default_rng(6)
+    texts = [bytes(rng.integers(97, 123, n).astype(np.uint8)).decode() for n in rng.integers(0, 900, 400)]
+    texts[3:6], texts[9] = [None, "", "é" * 150], texts[8]
+    texts.append("long text " * 20_000)                                             # longer than a pack
+    schema = pa.schema([("uid", pa.int64()), ("uid2", pa.int64()), ("text", pa.string())])
+    calls, grams = [], bwt_dedup.Hasher.grams
+    monkeypatch.setattr(bwt_dedup.Hasher, "grams", lambda self, data: calls.append(len(data)) or grams(self, data))
+    together = pa.Table.from_batches(bwt_dedup._cut(
+        [record(([-1], [-1], ["not in the slice"]), schema), record((range(401), [7] * 401, texts), schema).slice(0, 300),
+         record((range(401), [7] * 401, texts), schema).slice(300)])).drop_columns(["n"])
+    assert len(calls) < 20
+    alone = [(int(a), int(k), i, 7, int(s), int(w), int(o)) for i, t in enumerate(texts)
+             for cut in bwt_dedup.segments(np.frombuffer((t or "").encode(), dtype=np.uint8), bwt_dedup.Hasher())
+             for s, w, o, a, k in zip(*cut)]
+    assert rows_in([together]) == sorted(alone, key=repr)
+
+
+@pytest.mark.parametrize("most", [4096, 2])
+def test_pieces_meet_alike_in_any_batches(monkeypatch, most):
+    """Anchors within a batch are settled at once, as those cut by its edges are row by row."""
+    monkeypatch.setattr(bwt_dedup, "HOT", most)
+    rng = np.random.default_rng(7)
+    rows = sorted((int(a), int(k), int(n)) for a, k, n in zip(rng.integers(0, 60, 400), rng.integers(0, 5, 400),
+                                                              rng.choice([1, 1, 1, 2, 5], 400)))
+    rows += [(100, k, 1) for k in range(6)] + [(101, 1, 1)] + [(102, 1, 1)] * 2 + [(103, 1, 3), (104, 1, 1), (104, 2, 1)]
+    schema = pa.schema([(c, bwt_dedup._SEGMENT_ARROW.field(c).type)
+                        for c in ("anchor", "key", "n", "uid", "uid2", "start", "windows", "offset")])
+    anchor, key, n = zip(*rows)
+    i = range(len(rows))
+    whole = record((anchor, key, n, i, [0] * len(rows), i, [3] * len(rows), [1] * len(rows)), schema)
+
+    def met(size):
+        parts = [whole.slice(at, size) for at in range(0, len(rows), size)]
+        out = rows_in(bwt_dedup._meet(bwt_dedup.COUNTED)(parts))
+        # A repeated piece's number is not read later on.
+        return [r if r[7] != bwt_dedup.REPEATED else (*r[:6], None, r[7]) for r in out]
+
+    classes, members = Counter(a for a, _ in {(a, k) for a, k, _ in rows}), Counter()
+    for a, k, c in rows:
+        members[a, k] += c
+    single = {a for (a, _), c in members.items() if c == 1}
+    contested = {a for a, c in classes.items() if c > most or (c > 1 and a in single)}
+    for size in (1, 7, 64, len(rows)):
+        got = Counter((r[0], r[7]) for r in met(size))
+        assert sorted(met(size), key=repr) == sorted(met(1), key=repr)
+        for a in classes:
+            kind = bwt_dedup.COUNTED if classes[a] > most else bwt_dedup.CONTESTED
+            assert got[a, kind] == (classes[a] if a in contested else 0)
+            assert got[a, bwt_dedup.REPEATED] == sum(1 for x, k, _ in rows if x == a and members[x, k] > 1)
+
+
+def test_core_of_a_block_is_one_symbol(monkeypatch):
+    """Rounds are as many as the symbols of a piece: 85 with the core as one, 242 byte by byte."""
+    rng = np.random.default_rng(8)
+
+    def some(low, high, n):
+        return bytes(rng.integers(low, high, n).astype(np.uint8))
+
+    cores = [some(0, 256, bwt_dedup.CORE) for _ in range(4)] + [b"a" * bwt_dedup.CORE]
+    sides = [(some(97, 99, 42), some(97, 99, 42)) for _ in range(3)]
+    sides.append((sides[0][0], sides[1][1]))
+    pieces, at = [], []
+    for core in cores:
+        for _ in range(12):
+            (left, _), (_, right) = sides[rng.integers(4)], sides[rng.integers(4)]
+            most = int(rng.integers(0, 43))                                         # bytes before the core
+            least = int(rng.integers(0, most + 1))
+            pieces.append(left[42 - most:] + core + right[:42 - least])
+            at.append(most)
+    lengths, construct = [], bwt_dedup.construct
+    monkeypatch.setattr(bwt_dedup, "construct",
+                        lambda flat, length, window: lengths.extend(length) or construct(flat, length, window))
+    # Equal windows of a block hold its core at the same offset.
+    places = [(i, s, (at[i] - s, p[s:s + 200])) for i, p in enumerate(pieces) for s in range(len(p) - 199)]
+    counts = Counter(w for _, _, w in places)
+    want = {(i, s) for i, s, w in places if counts[w] > 1}
+    found = bwt_dedup.repeated_around(pieces, at)
+    assert {(i, s + k) for i, s, n in found for k in range(n)} == want and want
+    assert max(lengths) <= 2 * (bwt_dedup.BLOCK - 1) + 1
+    schema = pa.schema([(c, bwt_dedup._BYTES_ARROW.field(c).type) for c in ("anchor", "uid", "uid2", "start", "core", "bytes")])
+    lengths.clear()
+    batch = record((range(len(pieces)), range(len(pieces)), [0] * len(pieces), [1000] * len(pieces), at, pieces), schema)
+    spans = rows_in(bwt_dedup._build([batch]))
+    assert spans == sorted(((i, 0, 1000 + s, n) for i, s, n in found), key=repr)
+    assert lengths and max(lengths) <= 85
+
+
+def test_spans_that_touch_or_overlap_are_one_in_each_text():
+    texts = ["a" * 300 + "b" * 300, "c" * 250, None, "é" * 200, "d" * 700]
+    spans = [[(300, 101), (0, 101)], [(0, 51)], None, [], [(0, 1), (100, 5), (400, 3), (410, 1)]]
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()),
+                        ("spans", pa.list_(pa.struct([("start", pa.int64()), ("windows", pa.int32())])))])
+    batch = record((range(5), texts, [s and [{"start": a, "windows": w} for a, w in s] for s in spans]), schema)
+    for part in (batch, batch.slice(1), batch.slice(0, 0)):
+        out = [r for b in bwt_dedup._remove(True)([part]) for r in b.to_pylist()]
+        for r in out:
+            data, cover = (texts[r["doc_id"]] or "").encode(), set()
+            for a, w in spans[r["doc_id"]] or []:
+                cover.update(range(a, a + w + 199))
+            kept = bytes(c for i, c in enumerate(data) if i not in cover)
+            assert (r["n_bytes"], r["n_removed"], r["kept"]) == (len(data), len(cover), kept)
+            assert r["n_spans"] == sum(1 for i in cover if i - 1 not in cover)
+            assert r["kept_sha256"] == hashlib.sha256(kept).hexdigest()
+        assert len(out) == part.num_rows
+
+
 def brute_vectors(rows, threshold=0.9):
     good = [(i, np.array(v, dtype=float)) for i, v in rows
             if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
