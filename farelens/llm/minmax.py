@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import materialize, may_have, spread
+from farelens.llm.common import few_files, materialize, may_have, spread
 from farelens.llm.components import connected_components
 
 SHINGLE = 5
@@ -297,7 +297,7 @@ def confirmed_links(docs: DataFrame, reps: DataFrame, groups: DataFrame) -> Data
     texts = may_have(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ["doc_id"], members)
     return (spread(texts.join(dealt.hint("merge"), "doc_id"), "group", "cell")
             .sortWithinPartitions("group", "cell", "block", "doc_id")
-            .select("group", "cell", "block", "own", "doc_id", "text").mapInArrow(_confirm, _LINKS))
+            .select("group", "cell", "block", "own", "doc_id", "text").mapInArrow(_confirm, _LINKS).distinct())
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -309,21 +309,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component_id is NULL and it is kept.  An empty table gives no rows.
     """
     signed = signatures(docs)
+    rows = signed.count()   # what follows has narrow rows, about as many
     wordy = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = wordy.groupBy("key_hi", "key_lo").agg(F.min("doc_id").alias("rep"))
-    classes = materialize(classes, "minmax_classes")
+    classes = materialize(few_files(classes, rows), "minmax_classes")
     reps = (wordy.join(classes, (wordy["key_hi"] == classes["key_hi"]) & (wordy["key_lo"] == classes["key_lo"])
                        & (wordy["doc_id"] == classes["rep"]))
             .select("doc_id", "n_shingles", "bands", "sketch").dropDuplicates(["doc_id", "sketch"]))
-    reps = materialize(reps, "minmax_reps")
+    reps = materialize(few_files(reps, rows), "minmax_reps")
     # Rows that share an id join the classes they belong to.
     of_class = wordy.select("doc_id", "key_hi", "key_lo").join(classes, ["key_hi", "key_lo"])
     shared = of_class.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b")
     ties = of_class.join(shared.select("doc_id"), "doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
-    loose = materialize(loose_links(reps), "minmax_loose")
+    loose = materialize(few_files(loose_links(reps), rows), "minmax_loose")
     groups = connected_components(loose)
-    confirmed = materialize(confirmed_links(docs, reps, groups).unionByName(ties), "minmax_confirmed")
+    confirmed = materialize(few_files(confirmed_links(docs, reps, groups).unionByName(ties), rows), "minmax_confirmed")
     labels = connected_components(confirmed)
     named = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         "key_hi", "key_lo", F.coalesce("component", "rep").alias("component"))

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
-from farelens.llm.common import materialize, may_have, word_count
+from farelens.llm.common import few_files, materialize, may_have, word_count
 
 WEIGHTS = (5, 2, 1)
 TOTAL_SHARE = 1.5
@@ -169,13 +169,16 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHA
     uid, tag = row_identity(docs)
     read = docs.select(uid.alias("uid"), tag.alias("tag"), "doc_id", "source",
                        word_count(F.col("text")).alias("size"))
-    sized = materialize(read.groupBy(*read.columns).agg(F.count(F.lit(1)).alias("same")), "mix_sizes")
+    counted = read.groupBy(*read.columns).agg(F.count(F.lit(1)).alias("same"))
+    sized = materialize(few_files(counted, docs.count()), "mix_sizes")   # rows without their texts: few files
     targets = materialize(source_targets(sized, weights, total_share, cap), "mix_targets")
+    whole = sized.agg(F.sum("same").alias("rows"), F.sum(
+        F.col("same") * F.ceil(F.col("size") / block_words)).alias("blocks")).first()
     every_row = F.explode(F.sequence(F.lit(1).cast("long"), F.col("same")))
-    sizes = materialize(
+    sizes = materialize(few_files(
         sized.join(targets, sized["source"].eqNullSafe(targets["source"]))
         .select("uid", "tag", every_row.alias("rep"), "doc_id", sized["source"], "size", "source_id", "source_size",
-                "target", "same"), "mix_docs")
+                "target", "same"), whole.rows or 0), "mix_docs")
 
     # Blocks in the permuted order of their source.
     blocks = (sizes.filter("size > 0")
@@ -202,7 +205,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, total_share: float = TOTAL_SHA
               .filter("passes > 0 or part > 0")
               .select("uid", "tag", "rep", "doc_id", "same", "source_id", "block", "n", "rank", "passes", "part",
                       "source_blocks"))
-    ranked = materialize(ranked, "mix_blocks")
+    ranked = materialize(few_files(ranked, whole.blocks or 0), "mix_blocks")
 
     # Quotas per source: one row each, checked before they reach the driver.
     quota_rows = (ranked.groupBy("source_id")

@@ -9,8 +9,10 @@ import pyarrow as pa
 import pytest
 
 from llm_support import SF001, docs, no_docs  # noqa: F401
-from farelens.llm import bwt_dedup, hnsw, minmax
-from farelens.llm.common import read_table
+from pyspark.sql import functions as F
+
+from farelens.llm import bwt_dedup, hnsw, minmax, mixing
+from farelens.llm.common import ROWS_PER_FILE, few_files, materialize, read_table
 from farelens.llm.components import connected_components
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -161,6 +163,50 @@ def test_components_of_chains_and_stars(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """Shuffles of 64 partitions that are not put together, as a job with large texts has them."""
+    names = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {n: spark.conf.get(n) for n in names}
+    for n, v in names.items():
+        spark.conf.set(n, v)
+    yield
+    for n, v in old.items():
+        spark.conf.set(n, v)
+
+
+def test_few_rows_go_to_few_files(spark, many_partitions, monkeypatch):
+    files = {}
+
+    def counted(df, name):
+        files[name] = (out := materialize(df, name)).inputFiles()
+        return out
+
+    monkeypatch.setattr(minmax, "materialize", counted)
+    monkeypatch.setattr(mixing, "materialize", counted)
+    words = [" ".join(f"w{i // 2}x{k}" for k in range(30 + i % 2)) for i in range(60)]
+    table = spark.createDataFrame([(i, t, "s") for i, t in enumerate(words)], "doc_id long, text string, source string")
+    kept = minmax.keep_one_of_each(table.repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 60, 2))
+    taken = mixing.taken_words(mixing.mix_sources(table)).agg(F.sum("taken"), F.count("doc_id")).first()
+    assert tuple(taken) == (30 * 61 * 3 // 2, 60)
+    assert len(files) == 9 and all(len(f) <= 3 for f in files.values()), {n: len(f) for n, f in files.items()}
+
+
+def test_rounds_over_few_edges_write_few_files(spark, many_partitions):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    found = connected_components(edges)
+    assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(41)}
+    assert found.rdd.getNumPartitions() <= 2
+
+
+def test_many_rows_keep_their_partitions(spark, many_partitions):
+    table = spark.range(1000).repartition(64, "id")
+    assert few_files(table, 64 * ROWS_PER_FILE) is table
+    some = few_files(table, 10 * ROWS_PER_FILE + 1)
+    assert some.rdd.getNumPartitions() == 11 and some.distinct().count() == 1000
+
+
 def brute_repeats(texts, n=200):
     data = [(i, (t or "").encode()) for i, t in texts]
     counts = Counter(b[s:s + n] for _, b in data for s in range(len(b) - n + 1))
