@@ -452,3 +452,56 @@ def test_graph_finds_what_brute_force_finds():
     want = (sims >= 0.9).sum(axis=1)
     assert counts.sum() >= 0.99 * want.sum() and (counts <= want).all()
     assert len(links) < 2 * len(x)
+
+
+def families(rng, groups, d=16):
+    rows = []
+    for i in range(groups):
+        v = rng.standard_normal(d)
+        for _ in range(1 + 3 * (i % 40 == 0) + 60 * (i == 5)):
+            rows.append((len(rows), [float(x) for x in v + 0.08 * rng.standard_normal(d)]))
+    return rows
+
+
+def test_vectors_are_not_sent_to_every_shard(spark, monkeypatch):
+    rows = families(np.random.default_rng(8), 400)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    dealt, kind = [], type(df)
+
+    def counted(self, *args, send=kind.mapInArrow, **kw):
+        dealt.append(self.count())
+        return send(self, *args, **kw)
+
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    check_vectors(hnsw.near_vectors(df, min_shards=60).collect(), rows)
+    assert max(dealt) <= 30 * len(rows)
+
+
+def test_vectors_in_rounds_and_large_cells_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "HOT_ROWS", 40)
+    monkeypatch.setattr(hnsw, "ROUND_BYTES", 1)
+    monkeypatch.setattr(hnsw, "ROUND_COPIES", 12)
+    rows = families(np.random.default_rng(9), 200)
+    rows += [(3, rows[0][1]), (3, rows[3][1]), (None, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    check_vectors(hnsw.near_vectors(df, min_shards=3).collect(), rows)
+
+
+def test_a_dimension_that_the_sample_lacks(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "_graphs", lambda *_: {})
+    rows = families(np.random.default_rng(10), 100)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    check_vectors(hnsw.near_vectors(df, min_shards=3).collect(), rows)
+
+
+def test_a_dense_group_counts_each_pair_once():
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.standard_normal(24) + 0.12 * rng.standard_normal((1200, 24)), rng.standard_normal((2000, 24))])
+    shard = hnsw.Shard(np.arange(len(x)), x, 0.9)
+    members, counts = shard.members, np.zeros(len(x), dtype=int)
+    for cell, rows in shard.cells.items():
+        counts[rows] += hnsw.meet(cell, members.at(rows), None, 0.9)[0]
+    sims = hnsw.unit(x) @ hnsw.unit(x).T
+    np.fill_diagonal(sims, 0)
+    assert (counts == (sims >= 0.9).sum(axis=1)).all()
+    assert (shard.answer(members.ids, x)[0] == counts).all()
