@@ -505,3 +505,11 @@ def test_a_dense_group_counts_each_pair_once():
     np.fill_diagonal(sims, 0)
     assert (counts == (sims >= 0.9).sum(axis=1)).all()
     assert (shard.answer(members.ids, x)[0] == counts).all()
+
+
+def test_equal_vectors_count_each_other(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "HOT_ROWS", 150)
+    some = families(np.random.default_rng(13), 60)
+    rows = [(len(some) * k + i, v) for k in range(5) for i, v in some]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    check_vectors(hnsw.near_vectors(df, min_shards=3).collect(), rows)
